@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from tripscope.functions import calendar_keys, pickup
 from tripscope.operators.trips import CALENDAR_KEYS
 from tripscope.schema import PICKUP
+from tripscope.operators.ordering import sort_bounded
 
 # The point the next-hour model is asked about (hour of day,
 # day of week, month), and the forecast horizons after the latest pickup.
@@ -138,7 +139,7 @@ def hourly_totals(trips: DataFrame) -> DataFrame:
             F.sum("passenger_count").alias("total_passengers"),
             F.count(F.lit(1)).alias("pickups"),
         )
-        .orderBy("hour")
+        .transform(sort_bounded, "hour")
     )
 
 
@@ -153,7 +154,7 @@ def calendar_totals(trips: DataFrame) -> DataFrame:
             F.sum("passenger_count").alias("total_passengers"),
             F.count(F.lit(1)).alias("pickups"),
         )
-        .orderBy(*CALENDAR_KEYS)
+        .transform(sort_bounded, *CALENDAR_KEYS)
     )
 
 
@@ -174,7 +175,12 @@ def next_hour_labels(trips: DataFrame) -> DataFrame:
     pickups and the pickups of the following clock hour (0 when that hour has
     none).  The last bucket is dropped: its next hour lies beyond the data.
     """
-    buckets = (
+    # The one pass over the trips.  The per-hour table (bounded by the hours
+    # the data spans) is checkpointed: the self-join and the last-bucket
+    # subquery below then read it, instead of each rescanning the trips (the
+    # optimizer pushes the last-bucket filter below the aggregate, so the
+    # three uses would otherwise not share one exchange).
+    buckets = materialize(
         trips.where(pickup().isNotNull())
         .groupBy(_hour_bucket(pickup()).alias("hour_bucket"))
         .agg(F.count(F.lit(1)).alias("pickups"))
@@ -214,6 +220,8 @@ def _model_row(model: LinearRegressionModel, features: list[str]) -> dict[str, f
 
 def fit_next_hour_model(trips: DataFrame) -> LinearRegressionModel:
     """``pickups_next_hour ~ hour + day_of_week + month`` over hour buckets."""
+    # Checkpointed again after the self-join: the estimator makes several
+    # passes (feature statistics, normal equations, summary).
     train = materialize(next_hour_labels(trips).drop("hour_bucket"))
     return _fit(train, list(CALENDAR_KEYS), "pickups_next_hour")
 
@@ -230,14 +238,30 @@ def demand_lr_next_hour(trips: DataFrame, point: tuple[int, int, int] = NEXT_HOU
     return out.withColumns({k: F.col(k).cast("int") for k in features})
 
 
-def fit_hourly_total_model(trips: DataFrame) -> LinearRegressionModel:
-    """``total_passengers ~ hour + day_of_week + month`` over calendar cells."""
-    train = materialize(
-        calendar_totals(trips).where(F.col("total_passengers").isNotNull()).drop("pickups")
+def _calendar_training(trips: DataFrame) -> DataFrame:
+    """Training table of the hourly-total model, checkpointed: one row per
+    calendar cell with its passengers and its latest pickup (so a forecast
+    needs no second pass over the trips to find the latest one)."""
+    return materialize(
+        trips.withColumns(calendar_keys())
+        .groupBy(*CALENDAR_KEYS)
+        .agg(
+            F.sum("passenger_count").alias("total_passengers"),
+            F.max(PICKUP).alias("latest_pickup"),
+        )
     )
+
+
+def _fit_hourly_total(training: DataFrame) -> LinearRegressionModel:
+    train = training.where(F.col("total_passengers").isNotNull())
     return _fit(train, list(CALENDAR_KEYS), "total_passengers")
 
 
+def fit_hourly_total_model(trips: DataFrame) -> LinearRegressionModel:
+    """``total_passengers ~ hour + day_of_week + month`` over calendar cells."""
+    return _fit_hourly_total(_calendar_training(trips))
+
+
 def demand_lr_hourly_total(trips: DataFrame) -> DataFrame:
     """The hourly-total model: coefficients, intercept, R^2, RMSE."""
     model = fit_hourly_total_model(trips)
@@ -258,8 +282,12 @@ def demand_forecast(trips: DataFrame, model: LinearRegressionModel | None = None
     are computed in the plan (day of week coded as in training), so nothing
     passes through driver Python but the fitted model.
     """
-    model = fit_hourly_total_model(trips) if model is None else model
-    latest = trips.agg(F.max(PICKUP)).scalar()
+    if model is None:
+        training = _calendar_training(trips)
+        model = _fit_hourly_total(training)
+        latest = training.agg(F.max("latest_pickup")).scalar()
+    else:
+        latest = trips.agg(F.max(PICKUP)).scalar()
     target: Column = latest + F.make_dt_interval(
         F.col("offset_days"), F.col("offset_hours"), F.lit(0), F.lit(0)
     )

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripscope.functions import with_measures
+from tripscope.operators.ordering import sort_bounded
 
 
 def fare_by_od(trips: DataFrame) -> DataFrame:
@@ -18,7 +19,7 @@ def fare_by_od(trips: DataFrame) -> DataFrame:
     return (
         trips.groupBy("PULocationID", "DOLocationID")
         .agg(F.avg("fare_amount").alias("avg_fare"))
-        .orderBy(F.desc("avg_fare"), "PULocationID", "DOLocationID")
+        .transform(sort_bounded, F.desc("avg_fare"), "PULocationID", "DOLocationID")
     )
 
 
@@ -27,7 +28,7 @@ def fare_by_passengers(trips: DataFrame) -> DataFrame:
     return (
         trips.groupBy("passenger_count")
         .agg(F.avg("fare_amount").alias("avg_fare"))
-        .orderBy("passenger_count")
+        .transform(sort_bounded, "passenger_count")
     )
 
 

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripscope.operators.ordering import sort_bounded
+
 TOP_K = 10
 
 
@@ -21,19 +23,19 @@ def _counts(trips: DataFrame, zone: str) -> DataFrame:
 
 def pickup_counts(trips: DataFrame) -> DataFrame:
     """Trips per pickup zone, busiest first."""
-    return _counts(trips, "PULocationID").orderBy(F.desc("count"), "PULocationID")
+    return sort_bounded(_counts(trips, "PULocationID"), F.desc("count"), "PULocationID")
 
 
 def dropoff_counts(trips: DataFrame) -> DataFrame:
     """Trips per dropoff zone, busiest first."""
-    return _counts(trips, "DOLocationID").orderBy(F.desc("count"), "DOLocationID")
+    return sort_bounded(_counts(trips, "DOLocationID"), F.desc("count"), "DOLocationID")
 
 
 def top_pickups(trips: DataFrame, k: int = TOP_K) -> DataFrame:
     """The k busiest pickup zones."""
-    return pickup_counts(trips).limit(k)
+    return _counts(trips, "PULocationID").orderBy(F.desc("count"), "PULocationID").limit(k)
 
 
 def top_dropoffs(trips: DataFrame, k: int = TOP_K) -> DataFrame:
     """The k busiest dropoff zones."""
-    return dropoff_counts(trips).limit(k)
+    return _counts(trips, "DOLocationID").orderBy(F.desc("count"), "DOLocationID").limit(k)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tripscope.functions import calendar_keys, iso_week_of, pickup, with_measures
 from tripscope.operators.trips import CALENDAR_KEYS
+from tripscope.operators.ordering import sort_bounded
 
 
 def _speed_by(trips: DataFrame, key: str) -> DataFrame:
@@ -20,7 +21,7 @@ def _speed_by(trips: DataFrame, key: str) -> DataFrame:
     return (
         t.groupBy(calendar_keys()[key].alias(key))
         .agg(F.avg("trip_speed_mph").alias("avg_speed_mph"))
-        .orderBy(key)
+        .transform(sort_bounded, key)
     )
 
 
@@ -42,7 +43,7 @@ def speed_by_pickup_hour(trips: DataFrame) -> DataFrame:
     return (
         t.groupBy("PULocationID", calendar_keys()["hour"].alias("hour"))
         .agg(F.avg("trip_speed_mph").alias("avg_speed_mph"))
-        .orderBy(F.asc_nulls_first("avg_speed_mph"), "PULocationID", "hour")
+        .transform(sort_bounded, F.asc_nulls_first("avg_speed_mph"), "PULocationID", "hour")
     )
 
 
@@ -70,7 +71,7 @@ def speed_spread_by_od(trips: DataFrame) -> DataFrame:
             F.stddev_samp("trip_speed_mph").alias("stddev_speed_mph"),
         )
         .withColumn("speed_cv", F.try_divide(F.col("stddev_speed_mph"), F.col("avg_speed_mph")))
-        .orderBy("PULocationID", "DOLocationID")
+        .transform(sort_bounded, "PULocationID", "DOLocationID")
     )
 
 

@@ -22,6 +22,7 @@ from tripscope.functions import (
     with_measures,
 )
 from tripscope.operators.trips import CALENDAR_KEYS
+from tripscope.operators.ordering import sort_bounded
 
 
 def _tip_pct_by(trips: DataFrame, key: str) -> DataFrame:
@@ -29,7 +30,7 @@ def _tip_pct_by(trips: DataFrame, key: str) -> DataFrame:
     return (
         t.groupBy(calendar_keys()[key].alias(key))
         .agg(F.avg("tip_percentage").alias("avg_tip_percentage"))
-        .orderBy(key)
+        .transform(sort_bounded, key)
     )
 
 
@@ -55,7 +56,7 @@ def tip_ratio_by_pickup(trips: DataFrame) -> DataFrame:
                 "tip_percentage"
             )
         )
-        .orderBy(F.desc("tip_percentage"), "PULocationID")
+        .transform(sort_bounded, F.desc("tip_percentage"), "PULocationID")
     )
 
 
@@ -64,7 +65,7 @@ def tip_amount_by_hour(trips: DataFrame) -> DataFrame:
     return (
         trips.groupBy(calendar_keys()["hour"].alias("hour"))
         .agg(F.avg("tip_amount").alias("avg_tip_amount"))
-        .orderBy("hour")
+        .transform(sort_bounded, "hour")
     )
 
 
@@ -73,7 +74,7 @@ def tip_amount_by_payment(trips: DataFrame) -> DataFrame:
     return (
         trips.groupBy("payment_type")
         .agg(F.avg("tip_amount").alias("avg_tip_amount"))
-        .orderBy("payment_type")
+        .transform(sort_bounded, "payment_type")
     )
 
 
@@ -87,7 +88,7 @@ def tip_clamped_by_od(trips: DataFrame) -> DataFrame:
             F.avg("tip_percentage_clamped").alias("avg_tip_percentage"),
             F.avg("trip_distance").alias("avg_distance"),
         )
-        .orderBy(F.desc("avg_tip_percentage"), "PULocationID", "DOLocationID")
+        .transform(sort_bounded, F.desc("avg_tip_percentage"), "PULocationID", "DOLocationID")
     )
 
 
@@ -100,7 +101,7 @@ def tip_clamped_by_hour_dow_month(trips: DataFrame) -> DataFrame:
             F.avg("tip_percentage_clamped").alias("avg_tip_percentage"),
             F.sum("tip_amount").alias("total_tip_amount"),
         )
-        .orderBy(*CALENDAR_KEYS)
+        .transform(sort_bounded, *CALENDAR_KEYS)
     )
 
 
@@ -114,7 +115,7 @@ def tip_clamped_by_payment(trips: DataFrame) -> DataFrame:
             F.avg("tip_amount").alias("avg_tip_amount"),
             F.sum("tip_amount").alias("total_tip_amount"),
         )
-        .orderBy("payment_type")
+        .transform(sort_bounded, "payment_type")
     )
 
 
@@ -135,7 +136,7 @@ def tip_pct_by_year_week(trips: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("trips"),
             F.avg("tip_percentage").alias("avg_tip_percentage"),
         )
-        .orderBy("iso_year", "iso_week")
+        .transform(sort_bounded, "iso_year", "iso_week")
     )
 
 
@@ -176,5 +177,5 @@ def tip_pct_by_holiday(trips: DataFrame, holidays: DataFrame | None = None) -> D
                 "avg_tip_percentage"
             ),
         )
-        .orderBy(F.col("holiday_name").asc_nulls_first())
+        .transform(sort_bounded, F.col("holiday_name").asc_nulls_first())
     )

@@ -12,19 +12,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripscope.functions import calendar_keys, day_of_month_of, pickup, with_measures
+from tripscope.operators.ordering import sort_bounded
 
 CALENDAR_KEYS = ("hour", "day_of_week", "month")
 
 
 def _by(trips: DataFrame, key: str) -> DataFrame:
     t = with_measures(trips)
-    return (
-        t.groupBy(calendar_keys()[key].alias(key))
-        .agg(
+    return sort_bounded(
+        t.groupBy(calendar_keys()[key].alias(key)).agg(
             F.avg("trip_duration_min").alias("avg_duration_min"),
             F.avg("trip_distance").alias("avg_distance"),
-        )
-        .orderBy(key)
+        ),
+        key,
     )
 
 
@@ -46,10 +46,11 @@ def trip_by_month(trips: DataFrame) -> DataFrame:
 def duration_by_day_of_month(trips: DataFrame) -> DataFrame:
     """Average duration (minutes) per day of month, ascending."""
     t = with_measures(trips)
-    return (
-        t.groupBy(day_of_month_of(pickup()).alias("day_of_month"))
-        .agg(F.avg("trip_duration_min").alias("avg_duration_min"))
-        .orderBy("day_of_month")
+    return sort_bounded(
+        t.groupBy(day_of_month_of(pickup()).alias("day_of_month")).agg(
+            F.avg("trip_duration_min").alias("avg_duration_min")
+        ),
+        "day_of_month",
     )
 
 
@@ -57,13 +58,12 @@ def trip_by_hour_dow_month(trips: DataFrame) -> DataFrame:
     """Average duration (seconds) and distance per passenger for each
     hour x day of week x month cell."""
     t = with_measures(trips).withColumns(calendar_keys())
-    return (
-        t.groupBy(*CALENDAR_KEYS)
-        .agg(
+    return sort_bounded(
+        t.groupBy(*CALENDAR_KEYS).agg(
             F.avg("trip_duration_s").alias("avg_duration_s"),
             F.avg("distance_per_passenger").alias("avg_distance_per_passenger"),
-        )
-        .orderBy(*CALENDAR_KEYS)
+        ),
+        *CALENDAR_KEYS,
     )
 
 
@@ -78,7 +78,7 @@ def trip_calendar_sets(trips: DataFrame) -> DataFrame:
     t = with_measures(trips).withColumns(calendar_keys())
     keys = [F.col(k) for k in CALENDAR_KEYS]
     gid = F.grouping_id(*keys)
-    return (
+    result = (
         t.groupingSets([[k] for k in keys], *keys)
         .agg(
             gid.alias("__gid"),
@@ -95,5 +95,5 @@ def trip_calendar_sets(trips: DataFrame) -> DataFrame:
             "avg_duration_min",
             "avg_distance",
         )
-        .orderBy("grouping", *CALENDAR_KEYS)
     )
+    return sort_bounded(result, "grouping", *CALENDAR_KEYS)
