@@ -1,0 +1,111 @@
+"""Scans in several formats, the schema check, sinks and the batch jobs."""
+
+import datetime as dt
+import glob
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+import tripscope.operators as ops
+from tripscope.jobs import describe_source, duration_reports
+from tripscope.schema import REQUIRED_COLUMNS, TripSchemaError, conform
+from tripscope.sinks import write_result, write_single_csv
+from tripscope.sources import read_trips, source_profile
+
+from helpers import make_trips, ts
+
+ROWS = [
+    {"PULocationID": 3, "passenger_count": None, "tip_amount": 1.25},
+    {"PULocationID": 4, "tpep_pickup_datetime": ts(2021, 7, 4, 23, 59, 59)},
+    {"DOLocationID": 9, "total_amount": 0.0},
+]
+
+
+def _same(a, b):
+    key = lambda r: tuple(str(v) for v in r)
+    return sorted(map(tuple, a.collect()), key=key) == sorted(map(tuple, b.collect()), key=key)
+
+
+def test_csv_round_trip(spark, tmp_dir):
+    t = make_trips(spark, ROWS)
+    path = os.path.join(tmp_dir, "trips_csv")
+    write_single_csv(t, path, ["PULocationID"])
+    assert len(glob.glob(os.path.join(path, "*.csv"))) == 1
+    back = read_trips(spark, path, "csv")
+    assert back.schema == t.schema
+    assert _same(back, t)
+
+
+def test_csv_columns_matched_by_header_not_position(spark, tmp_dir):
+    t = make_trips(spark, ROWS)
+    path = os.path.join(tmp_dir, "reordered")
+    write_single_csv(t.select(*reversed(t.columns)), path)
+    assert _same(read_trips(spark, path, "csv"), t)
+
+
+def test_json_and_parquet_scans(spark, tmp_dir):
+    t = make_trips(spark, ROWS)
+    for fmt in ("json", "parquet", "orc"):
+        path = os.path.join(tmp_dir, fmt)
+        write_result(t, path, fmt)
+        back = read_trips(spark, path, fmt)
+        # JSON is read against TRIP_SCHEMA (no inference pass): optional
+        # columns absent from the files come back as NULL.
+        assert _same(back.select(*t.columns), t), fmt
+
+
+def test_parquet_glob_of_monthly_files(spark, tmp_dir):
+    t = make_trips(spark, ROWS)
+    for m in ("01", "02"):
+        write_result(t, os.path.join(tmp_dir, f"yellow_2021-{m}"))
+    back = read_trips(spark, os.path.join(tmp_dir, "yellow_2021-*"))
+    assert back.count() == 2 * len(ROWS)
+
+
+def test_missing_required_column_is_reported(spark):
+    t = make_trips(spark, ROWS).drop("tip_amount")
+    with pytest.raises(TripSchemaError, match="tip_amount"):
+        conform(t)
+
+
+def test_conform_casts_by_name_and_bad_values_become_null(spark):
+    t = make_trips(spark, ROWS[:1])
+    as_text = t.select(*[F.col(c).cast("string").alias(c.lower()) for c in t.columns])
+    as_text = as_text.withColumn("fare_amount", F.lit("n/a"))
+    back = conform(as_text)
+    assert back.schema == t.schema
+    assert back.first().fare_amount is None
+
+
+def test_source_profile_counts(spark):
+    t = make_trips(spark, ROWS)
+    prof = {r.column_name: r for r in source_profile(t).collect()}
+    assert list(prof) == list(REQUIRED_COLUMNS)
+    assert prof["passenger_count"].non_null_count == 2
+    assert prof["passenger_count"].data_type == "double"
+    assert prof["tpep_pickup_datetime"].data_type == "timestamp_ntz"
+    assert all(r.row_count == 3 for r in prof.values())
+
+
+def test_duration_reports_job(spark, tmp_dir):
+    t = make_trips(
+        spark,
+        [
+            {"tpep_pickup_datetime": ts(2021, 1, 5, 8), "tpep_dropoff_datetime": ts(2021, 1, 5, 8, 10)},
+            {"tpep_pickup_datetime": ts(2021, 1, 6, 8), "tpep_dropoff_datetime": ts(2021, 1, 6, 8, 20)},
+            {"tpep_pickup_datetime": ts(2021, 2, 5, 9), "tpep_dropoff_datetime": ts(2021, 2, 5, 9, 30)},
+        ],
+    )
+    src = os.path.join(tmp_dir, "in")
+    write_result(t, src)
+    out = os.path.join(tmp_dir, "out")
+    written = duration_reports(spark, src, out)
+    assert set(written) == {"month_analysis", "day_analysis", "hour_analysis"}
+    month = [tuple(r) for r in spark.read.option("header", True).option("inferSchema", True).csv(written["month_analysis"]).collect()]
+    assert month == [(1, 15.0), (2, 30.0)]
+    day = [tuple(r) for r in spark.read.option("header", True).option("inferSchema", True).csv(written["day_analysis"]).collect()]
+    assert day == [(5, 20.0), (6, 20.0)]
+    hour = [tuple(r) for r in spark.read.option("header", True).option("inferSchema", True).csv(written["hour_analysis"]).collect()]
+    assert hour == [(8, 15.0), (9, 30.0)]
+    assert describe_source(spark, src).count() == len(REQUIRED_COLUMNS)

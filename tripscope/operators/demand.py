@@ -22,8 +22,6 @@ Scale notes
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
@@ -31,9 +29,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripscope.functions import calendar_keys, pickup
+from tripscope.operators.ordering import sort_bounded
 from tripscope.operators.trips import CALENDAR_KEYS
 from tripscope.schema import PICKUP
-from tripscope.operators.ordering import sort_bounded
+from tripscope.session import materialize
 
 # The point the next-hour model is asked about (hour of day,
 # day of week, month), and the forecast horizons after the latest pickup.
@@ -44,34 +43,6 @@ FORECAST_HORIZONS = (("hour", 0, 1), ("day", 1, 0), ("month", 30, 0))  # (name,
 # ---------------------------------------------------------------- helpers
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The checkpoint folder: the cluster's ``spark.checkpoint.dir`` if set.
-
-    Only a local session without one (tests, a laptop) gets a fresh local
-    folder; on a cluster an unset folder is an error, since a machine-local
-    path would not survive the loss of that machine.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return configured
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
-    local = tempfile.mkdtemp(prefix="tripscope-checkpoint-")
-    sc.setCheckpointDir(local)
-    return local
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of a small aggregated table (cuts the lineage)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def _fit(train: DataFrame, features: list[str], label: str) -> LinearRegressionModel:
     """Unregularised least squares with an intercept (the normal equations,
     one distributed pass; the tiny solve happens on the driver)."""

@@ -6,9 +6,10 @@ for any key it already sets (``getOrCreate`` keeps an existing session).
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Mapping
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     # Runtime re-planning: coalesce small shuffle partitions, split skewed
@@ -35,3 +36,31 @@ def build_session(
     for key, value in {**DEFAULT_CONF, **dict(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The checkpoint folder: the cluster's ``spark.checkpoint.dir`` if set.
+
+    Only a local session without one (tests, a laptop) gets a fresh local
+    folder; on a cluster an unset folder is an error, since a machine-local
+    path would not survive the loss of that machine.
+    """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        sc.setCheckpointDir(configured)
+        return configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
+    local = tempfile.mkdtemp(prefix="tripscope-checkpoint-")
+    sc.setCheckpointDir(local)
+    return local
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint of a small aggregated table (cuts the lineage)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
