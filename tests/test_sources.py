@@ -109,3 +109,8 @@ def test_duration_reports_job(spark, tmp_dir):
     hour = [tuple(r) for r in spark.read.option("header", True).option("inferSchema", True).csv(written["hour_analysis"]).collect()]
     assert hour == [(8, 15.0), (9, 30.0)]
     assert describe_source(spark, src).count() == len(REQUIRED_COLUMNS)
+
+
+def test_lineitem_fixture_is_already_conformed(trips_small):
+    assert conform(trips_small).schema == trips_small.schema
+    assert trips_small.columns == list(REQUIRED_COLUMNS)

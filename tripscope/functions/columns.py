@@ -50,17 +50,26 @@ def fare_per_mile() -> Column:
     return F.try_divide(F.col("fare_amount"), F.col("trip_distance"))
 
 
-def with_measures(trips: DataFrame) -> DataFrame:
-    """Add every derived measure; Catalyst drops the ones a query never reads."""
-    tip_pct = tip_percentage()
-    return trips.withColumns(
-        {
-            "trip_duration_s": duration_seconds(),
-            "trip_duration_min": duration_minutes(),
-            "distance_per_passenger": distance_per_passenger(),
-            "tip_percentage": tip_pct,
-            "tip_percentage_clamped": clamp_tip_percentage(tip_pct),
-            "trip_speed_mph": speed_mph(),
-            "fare_per_mile": fare_per_mile(),
-        }
-    )
+_BUILDERS = {
+    "trip_duration_s": duration_seconds,
+    "trip_duration_min": duration_minutes,
+    "distance_per_passenger": distance_per_passenger,
+    "tip_percentage": tip_percentage,
+    "tip_percentage_clamped": lambda: clamp_tip_percentage(tip_percentage()),
+    "trip_speed_mph": speed_mph,
+    "fare_per_mile": fare_per_mile,
+}
+MEASURES = tuple(_BUILDERS)
+
+
+def with_measures(
+    trips: DataFrame, *names: str, extra: dict[str, Column] | None = None
+) -> DataFrame:
+    """Add the named derived measures (default: all of MEASURES) and any
+    ``extra`` columns, in one projection.
+
+    Naming only what a query reads keeps the plan small to build; Catalyst
+    would drop unread ones from the executed plan either way.
+    """
+    cols = {n: _BUILDERS[n]() for n in (names or MEASURES)}
+    return trips.withColumns({**cols, **(extra or {})})

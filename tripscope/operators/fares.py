@@ -40,7 +40,7 @@ def fare_distance_corr(trips: DataFrame) -> DataFrame:
 def fare_per_mile_distance_corr(trips: DataFrame) -> DataFrame:
     """Pearson r(fare per mile, distance); zero-distance trips have no fare
     per mile and drop out."""
-    t = with_measures(trips)
+    t = with_measures(trips, "fare_per_mile")
     return t.agg(F.corr("fare_per_mile", "trip_distance").alias("correlation"))
 
 

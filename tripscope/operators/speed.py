@@ -17,7 +17,7 @@ from tripscope.operators.trips import CALENDAR_KEYS
 
 
 def _speed_by(trips: DataFrame, key: str) -> DataFrame:
-    t = with_measures(trips)
+    t = with_measures(trips, "trip_speed_mph")
     return (
         t.groupBy(calendar_keys()[key].alias(key))
         .agg(F.avg("trip_speed_mph").alias("avg_speed_mph"))
@@ -39,7 +39,7 @@ def speed_by_month(trips: DataFrame) -> DataFrame:
 
 def speed_by_pickup_hour(trips: DataFrame) -> DataFrame:
     """Mean speed per pickup zone x hour of day, slowest first."""
-    t = with_measures(trips)
+    t = with_measures(trips, "trip_speed_mph")
     return (
         t.groupBy("PULocationID", calendar_keys()["hour"].alias("hour"))
         .agg(F.avg("trip_speed_mph").alias("avg_speed_mph"))
@@ -50,7 +50,7 @@ def speed_by_pickup_hour(trips: DataFrame) -> DataFrame:
 def speed_by_od_hour_dow_month(trips: DataFrame) -> DataFrame:
     """Mean speed per pickup x dropoff x hour x day of week x month."""
     keys = ("PULocationID", "DOLocationID", *CALENDAR_KEYS)
-    t = with_measures(trips).withColumns(calendar_keys())
+    t = with_measures(trips, "trip_speed_mph", extra=calendar_keys())
     return (
         t.groupBy(*keys)
         .agg(F.avg("trip_speed_mph").alias("avg_speed_mph"))
@@ -62,7 +62,7 @@ def speed_spread_by_od(trips: DataFrame) -> DataFrame:
     """Do similar trips have similar speeds?  Per pickup x dropoff pair:
     trips with a speed, mean, sample standard deviation and coefficient of
     variation (stddev / mean) of the speed."""
-    t = with_measures(trips)
+    t = with_measures(trips, "trip_speed_mph")
     return (
         t.groupBy("PULocationID", "DOLocationID")
         .agg(
@@ -77,7 +77,7 @@ def speed_spread_by_od(trips: DataFrame) -> DataFrame:
 
 def speed_by_od_week(trips: DataFrame) -> DataFrame:
     """Mean speed per pickup x dropoff pair and ISO week of year."""
-    t = with_measures(trips)
+    t = with_measures(trips, "trip_speed_mph")
     return (
         t.groupBy("PULocationID", "DOLocationID", iso_week_of(pickup()).alias("week_of_year"))
         .agg(F.avg("trip_speed_mph").alias("avg_speed_mph"))

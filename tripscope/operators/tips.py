@@ -26,7 +26,7 @@ from tripscope.operators.trips import CALENDAR_KEYS
 
 
 def _tip_pct_by(trips: DataFrame, key: str) -> DataFrame:
-    t = with_measures(trips)
+    t = with_measures(trips, "tip_percentage")
     return (
         t.groupBy(calendar_keys()[key].alias(key))
         .agg(F.avg("tip_percentage").alias("avg_tip_percentage"))
@@ -81,7 +81,7 @@ def tip_amount_by_payment(trips: DataFrame) -> DataFrame:
 def tip_clamped_by_od(trips: DataFrame) -> DataFrame:
     """Average clamped tip percentage and average distance per
     pickup x dropoff zone pair, highest tip first."""
-    t = with_measures(trips)
+    t = with_measures(trips, "tip_percentage_clamped")
     return (
         t.groupBy("PULocationID", "DOLocationID")
         .agg(
@@ -94,7 +94,7 @@ def tip_clamped_by_od(trips: DataFrame) -> DataFrame:
 
 def tip_clamped_by_hour_dow_month(trips: DataFrame) -> DataFrame:
     """Average clamped tip percentage and total tips per calendar cell."""
-    t = with_measures(trips).withColumns(calendar_keys())
+    t = with_measures(trips, "tip_percentage_clamped", extra=calendar_keys())
     return (
         t.groupBy(*CALENDAR_KEYS)
         .agg(
@@ -107,7 +107,7 @@ def tip_clamped_by_hour_dow_month(trips: DataFrame) -> DataFrame:
 
 def tip_clamped_by_payment(trips: DataFrame) -> DataFrame:
     """Average clamped tip percentage, average and total tip per payment type."""
-    t = with_measures(trips)
+    t = with_measures(trips, "tip_percentage_clamped")
     return (
         t.groupBy("payment_type")
         .agg(
@@ -122,13 +122,13 @@ def tip_clamped_by_payment(trips: DataFrame) -> DataFrame:
 def tip_distance_corr(trips: DataFrame) -> DataFrame:
     """Pearson r between per-trip tip percentage and distance (pairs with a
     NULL are left out), as a one-row DataFrame."""
-    t = with_measures(trips)
+    t = with_measures(trips, "tip_percentage")
     return t.agg(F.corr("tip_percentage", "trip_distance").alias("correlation"))
 
 
 def tip_pct_by_year_week(trips: DataFrame) -> DataFrame:
     """Mean per-trip tip percentage per ISO year and ISO week."""
-    t = with_measures(trips)
+    t = with_measures(trips, "tip_percentage")
     ts = pickup()
     return (
         t.groupBy(iso_year_of(ts).alias("iso_year"), iso_week_of(ts).alias("iso_week"))
@@ -155,7 +155,7 @@ def tip_pct_by_holiday(trips: DataFrame, holidays: DataFrame | None = None) -> D
     cut to one name per date and joined to the per-date table, both of which
     are small.
     """
-    t = with_measures(trips)
+    t = with_measures(trips, "tip_percentage")
     per_day = t.groupBy(F.to_date(pickup()).alias("pickup_date")).agg(
         F.count(F.lit(1)).alias("trips"),
         F.sum("tip_percentage").alias("tip_pct_sum"),

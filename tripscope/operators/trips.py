@@ -18,7 +18,7 @@ CALENDAR_KEYS = ("hour", "day_of_week", "month")
 
 
 def _by(trips: DataFrame, key: str) -> DataFrame:
-    t = with_measures(trips)
+    t = with_measures(trips, "trip_duration_min")
     return sort_bounded(
         t.groupBy(calendar_keys()[key].alias(key)).agg(
             F.avg("trip_duration_min").alias("avg_duration_min"),
@@ -45,7 +45,7 @@ def trip_by_month(trips: DataFrame) -> DataFrame:
 
 def duration_by_day_of_month(trips: DataFrame) -> DataFrame:
     """Average duration (minutes) per day of month, ascending."""
-    t = with_measures(trips)
+    t = with_measures(trips, "trip_duration_min")
     return sort_bounded(
         t.groupBy(day_of_month_of(pickup()).alias("day_of_month")).agg(
             F.avg("trip_duration_min").alias("avg_duration_min")
@@ -57,7 +57,9 @@ def duration_by_day_of_month(trips: DataFrame) -> DataFrame:
 def trip_by_hour_dow_month(trips: DataFrame) -> DataFrame:
     """Average duration (seconds) and distance per passenger for each
     hour x day of week x month cell."""
-    t = with_measures(trips).withColumns(calendar_keys())
+    t = with_measures(
+        trips, "trip_duration_s", "distance_per_passenger", extra=calendar_keys()
+    )
     return sort_bounded(
         t.groupBy(*CALENDAR_KEYS).agg(
             F.avg("trip_duration_s").alias("avg_duration_s"),
@@ -75,7 +77,7 @@ def trip_calendar_sets(trips: DataFrame) -> DataFrame:
     once instead of three (or six) times.  ``grouping`` names the set a row
     belongs to; the other two keys are NULL in that row.
     """
-    t = with_measures(trips).withColumns(calendar_keys())
+    t = with_measures(trips, "trip_duration_min", extra=calendar_keys())
     keys = [F.col(k) for k in CALENDAR_KEYS]
     gid = F.grouping_id(*keys)
     result = (

@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tripscope.schema import TRIP_SCHEMA, conform
 
@@ -23,12 +24,19 @@ def read_trips(
     path: str | list[str],
     format: str = "parquet",
     options: Mapping[str, str] | None = None,
+    schema: StructType | str | None = None,
 ) -> DataFrame:
-    """Load trip files (a directory, a glob or a list of paths) as trips."""
+    """Load trip files (a directory, a glob or a list of paths) as trips.
+
+    ``schema``, when the files' schema is known, skips the inference step
+    (for Parquet a job reading footers) at every load.
+    """
     reader = spark.read.format(format)
     fmt = format.lower()
     if fmt == "csv":
         reader = reader.option("header", "true").option("inferSchema", "false")
+    if schema is not None:
+        reader = reader.schema(schema)
     elif fmt == "json":
         reader = reader.schema(TRIP_SCHEMA)
     if options:
