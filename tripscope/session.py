@@ -21,6 +21,9 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # No web UI: batch jobs only.
     "spark.ui.enabled": "false",
+    # Delete checkpoint files once nothing references them, so the shared
+    # checkpoint folder does not grow with every model fit.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
