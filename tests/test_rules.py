@@ -194,3 +194,27 @@ def test_caller_holiday_calendar(spark):
     holidays = spark.createDataFrame([(dt.date(2021, 3, 1), "Festival"), (dt.date(2021, 3, 1), "Festival")], "holiday_date date, holiday_name string")
     got = {r.holiday_name: (r.days, r.trips, r.avg_tip_percentage) for r in ops.tip_pct_by_holiday(t, holidays).collect()}
     assert got == {"Festival": (1, 1, 50.0), None: (1, 2, pytest.approx(15.0))}
+
+
+def test_results_do_not_depend_on_the_session_time_zone(spark):
+    # 2021-03-14 02:00 does not exist in New York (DST starts); wall-clock
+    # trips are still 30 minutes long and keep their hour.
+    rows = [
+        {"tpep_pickup_datetime": ts(2021, 3, 14, 1, 45), "tpep_dropoff_datetime": ts(2021, 3, 14, 2, 15)},
+        {"tpep_pickup_datetime": ts(2021, 3, 14, 2, 10), "tpep_dropoff_datetime": ts(2021, 3, 14, 2, 40)},
+    ]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        results = {}
+        for zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            t = make_trips(spark, rows)
+            results[zone] = (
+                [tuple(r) for r in ops.trip_by_hour(t).collect()],
+                [(r.hour_bucket, r.pickups_next_hour) for r in ops.next_hour_labels(t).collect()],
+            )
+        assert results["UTC"] == results["America/New_York"]
+        assert [r[0] for r in results["UTC"][0]] == [1, 2]
+        assert all(r[1] == 30.0 for r in results["UTC"][0])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
