@@ -42,3 +42,19 @@ def test_next_hour_labels_cover_all_but_the_last_hour(trips_small):
     total = labels.agg(F.sum("pickups")).first()[0]
     last = per_hour.orderBy(F.desc(per_hour.columns[0])).first()["count"]
     assert total == trips_small.count() - last
+
+
+def test_analysis_groups_cover_the_catalogue(trips_small):
+    from tripscope import analyses
+    from tripscope.plans.catalog import QUERY_FUNCTIONS
+
+    groups = [analyses.trip_analysis, analyses.popular_locations, analyses.tip_analysis,
+              analyses.fare_analysis, analyses.traffic_analysis]
+    names = set()
+    for g in groups:
+        names |= set(g(trips_small))
+    lazy_only = set(QUERY_FUNCTIONS) - names
+    # the rest: the demand group (fits models), the source check and helpers
+    assert lazy_only <= {"source_profile", "next_hour_labels", "calendar_totals", "latest_trip",
+                         "demand_lr_passengers", "demand_lr_next_hour", "demand_lr_hourly_total",
+                         "hourly_totals", "demand_forecast"}
