@@ -114,3 +114,13 @@ def test_duration_reports_job(spark, tmp_dir):
 def test_lineitem_fixture_is_already_conformed(trips_small):
     assert conform(trips_small).schema == trips_small.schema
     assert trips_small.columns == list(REQUIRED_COLUMNS)
+
+
+def test_scale_conf_for_100_tb():
+    from tripscope.session import MIB, scale_conf
+
+    conf = scale_conf(100 * 10**12, total_cores=1000 * 8)
+    assert int(conf["spark.sql.files.maxPartitionBytes"]) == 512 * MIB
+    assert int(conf["spark.sql.shuffle.partitions"]) == 24000
+    small = scale_conf(10 * MIB, total_cores=8)
+    assert int(small["spark.sql.files.maxPartitionBytes"]) == 64 * MIB

@@ -30,12 +30,42 @@ DEFAULT_CONF = {
 }
 
 
+MIB = 1 << 20
+
+
+def scale_conf(input_bytes: int, total_cores: int) -> dict[str, str]:
+    """Partition sizing for a trip table of ``input_bytes`` on a cluster of
+    ``total_cores`` task slots.
+
+    * Scan splits: every analysis is a cheap per-row projection feeding a
+      partial aggregate whose state is one row per key, so a task's memory
+      does not grow with its split.  Larger splits (up to 512 MiB) only cut
+      the task count: 100 TB in 128 MiB splits is ~800k tasks, in 512 MiB
+      ~200k.  Splits stay small enough for at least 4 waves of tasks.
+    * Shuffle: what is shuffled is partial aggregates, far smaller than the
+      input; the one large shuffle (zone pair x calendar cell) is bounded by
+      the key count.  Start with 3 partitions per core and let AQE coalesce
+      to ``advisoryPartitionSizeInBytes``.
+    """
+    waves = 4
+    per_task = max(1, input_bytes // max(1, total_cores * waves))
+    split = int(min(512 * MIB, max(64 * MIB, per_task)))
+    shuffle = max(200, 3 * total_cores)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MIB),
+    }
+
+
 def build_session(
     app_name: str = "tripscope",
     master: str | None = None,
     conf: Mapping[str, str] | None = None,
 ) -> SparkSession:
-    """A SparkSession with DEFAULT_CONF, overridden by ``conf``."""
+    """A SparkSession with DEFAULT_CONF, overridden by ``conf`` (for a large
+    table, pass ``scale_conf(...)`` merged with your own settings)."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
