@@ -17,9 +17,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Coalesce small shuffle partitions by size, not to keep parallelism:
-    # the results here are small, so they end in a few partitions.
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     # Calendar keys are read in UTC whatever the machines' zone.
     "spark.sql.session.timeZone": "UTC",
     # No web UI: batch jobs only.
