@@ -58,8 +58,8 @@ def test_json_and_parquet_scans(spark, tmp_dir):
 def test_parquet_glob_of_monthly_files(spark, tmp_dir):
     t = make_trips(spark, ROWS)
     for m in ("01", "02"):
-        write_result(t, os.path.join(tmp_dir, f"yellow_2021-{m}"))
-    back = read_trips(spark, os.path.join(tmp_dir, "yellow_2021-*"))
+        write_result(t, os.path.join(tmp_dir, f"trips_2021-{m}"))
+    back = read_trips(spark, os.path.join(tmp_dir, "trips_2021-*"))
     assert back.count() == 2 * len(ROWS)
 
 

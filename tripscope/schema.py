@@ -1,6 +1,6 @@
 """The trip table: one declared schema and a conforming projection.
 
-The public 2021 yellow-taxi files are the model.  Only the columns the
+Public monthly taxi-trip files are the model.  Only the columns the
 analyses read are required; the others are kept when present.
 """
 
