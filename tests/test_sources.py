@@ -124,3 +124,15 @@ def test_scale_conf_for_100_tb():
     assert int(conf["spark.sql.shuffle.partitions"]) == 24000
     small = scale_conf(10 * MIB, total_cores=8)
     assert int(small["spark.sql.files.maxPartitionBytes"]) == 64 * MIB
+
+
+def test_job_entry_point_runs_an_analysis(spark, tmp_dir):
+    from tripscope.jobs import main
+
+    t = make_trips(spark, ROWS)
+    src = os.path.join(tmp_dir, "in")
+    write_result(t, src)
+    out = os.path.join(tmp_dir, "pickups")
+    main(["pickup_counts", "--input", src, "--output", out, "--output-format", "csv"])
+    got = spark.read.option("header", True).option("inferSchema", True).csv(out)
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 1), (3, 1), (4, 1)]

@@ -71,3 +71,56 @@ def duration_reports(
 def describe_source(spark: SparkSession, input_path: str, format: str = "parquet") -> DataFrame:
     """Type and non-NULL count of every trip column of the files."""
     return source_profile(read_trips(spark, input_path, format))
+
+
+def run_analysis(
+    spark: SparkSession,
+    name: str,
+    input_path: str,
+    output_path: str,
+    format: str = "parquet",
+    output_format: str = "parquet",
+) -> None:
+    """Run one catalogue analysis on trip files and write its result:
+    a single headed CSV for ``csv``, parallel files otherwise."""
+    from tripscope.plans.catalog import QUERY_FUNCTIONS
+    from tripscope.sinks import write_result
+
+    result = QUERY_FUNCTIONS[name](read_trips(spark, input_path, format))
+    if output_format == "csv":
+        write_single_csv(result, output_path)
+    else:
+        write_result(result, output_path, output_format)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``spark-submit tripscope/jobs.py <job> --input PATH [--output PATH]``.
+
+    Jobs: ``duration_reports``, ``describe_source`` (printed), or the name
+    of any analysis in ``queries()``.
+    """
+    import argparse
+
+    from tripscope.plans.catalog import QUERY_FUNCTIONS
+    from tripscope.session import build_session
+
+    parser = argparse.ArgumentParser(prog="tripscope.jobs")
+    parser.add_argument("job", choices=["duration_reports", "describe_source", *QUERY_FUNCTIONS])
+    parser.add_argument("--input", required=True)
+    parser.add_argument("--output")
+    parser.add_argument("--format", default="parquet", help="input format")
+    parser.add_argument("--output-format", default="parquet")
+    args = parser.parse_args(argv)
+    if args.job != "describe_source" and not args.output:
+        parser.error("--output is required for this job")
+    spark = build_session(f"tripscope-{args.job}")
+    if args.job == "duration_reports":
+        duration_reports(spark, args.input, args.output, args.format)
+    elif args.job == "describe_source":
+        describe_source(spark, args.input, args.format).show(truncate=False)
+    else:
+        run_analysis(spark, args.job, args.input, args.output, args.format, args.output_format)
+
+
+if __name__ == "__main__":
+    main()
