@@ -58,3 +58,14 @@ def test_analysis_groups_cover_the_catalogue(trips_small):
     assert lazy_only <= {"source_profile", "next_hour_labels", "calendar_totals", "latest_trip",
                          "demand_lr_passengers", "demand_lr_next_hour", "demand_lr_hourly_total",
                          "hourly_totals", "demand_forecast"}
+
+
+def test_rounding_scales_the_binary_value(spark):
+    import duckdb
+
+    from tripscope.plans.catalog import round_half_away
+
+    values = [16.157812499999998, 0.1234565, -2.5e-6, 2.675, 1e-7, -16.157812499999998, 123456.0]
+    spark_rounded = [r[0] for r in spark.createDataFrame([(v,) for v in values], "x double").select(round_half_away(F.col("x"), 6)).collect()]
+    duck_rounded = [duckdb.sql(f"SELECT round({v!r}::DOUBLE, 6)").fetchall()[0][0] for v in values]
+    assert spark_rounded == duck_rounded

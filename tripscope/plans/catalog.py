@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,13 +90,27 @@ DIGITS = {
 }
 
 
+def round_half_away(col: Column, digits: int) -> Column:
+    """``col`` rounded to ``digits`` places by scaling its binary value:
+    ``round(x * 10^d) / 10^d``, halves away from zero.
+
+    ``F.round(x, d)`` instead rounds the shortest decimal rendering of ``x``
+    (16.157812499999998 renders as "16.1578125" and goes up), while SQL
+    engines commonly scale the binary value (and go down).  Rounding the
+    scaled value, an integer plus an exact half at worst, gives the same
+    result both ways, so equal doubles always round equally.
+    """
+    scale = F.lit(10.0**digits)
+    return F.round(col * scale, 0) / scale
+
+
 def round_doubles(df: DataFrame) -> DataFrame:
     """Round every double column to its digits (a projection; order kept)."""
     cols = []
     for field in df.schema.fields:
         col = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.DoubleType):
-            col = F.round(col, DIGITS.get(field.name, DEFAULT_DIGITS)).alias(field.name)
+            col = round_half_away(col, DIGITS.get(field.name, DEFAULT_DIGITS)).alias(field.name)
         cols.append(col)
     return df.select(*cols)
 
