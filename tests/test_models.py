@@ -29,7 +29,7 @@ def test_next_hour_model_prediction_at_the_query_point(trips_small):
 
 
 def test_forecast_horizons_and_features(trips_small):
-    latest = ops.latest_trip(trips_small).first()[0]
+    latest = ops.latest_trip(trips_small).first()["tpep_pickup_datetime"]
     model = ops.fit_hourly_total_model(trips_small)
     rows = {r.horizon: r for r in ops.demand_forecast(trips_small).collect()}
     assert set(rows) == {"hour", "day", "month"}

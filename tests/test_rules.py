@@ -218,3 +218,18 @@ def test_results_do_not_depend_on_the_session_time_zone(spark):
         assert all(r[1] == 30.0 for r in results["UTC"][0])
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_latest_trip_is_the_whole_row_and_ties_are_deterministic(spark):
+    rows = [
+        {"PULocationID": 3, "tpep_pickup_datetime": ts(2021, 5, 1, 9), "tpep_dropoff_datetime": ts(2021, 5, 1, 9, 30)},
+        {"PULocationID": 5, "tpep_pickup_datetime": ts(2021, 5, 1, 9), "tpep_dropoff_datetime": ts(2021, 5, 1, 9, 20)},
+        {"PULocationID": 9, "tpep_pickup_datetime": ts(2021, 4, 1, 9), "tpep_dropoff_datetime": ts(2021, 4, 1, 9, 20)},
+    ]
+    for order in (rows, rows[::-1]):
+        got = one(ops.latest_trip(make_trips(spark, order)))
+        # tie on the pickup: the next column in schema order decides (the
+        # later dropoff, 09:30, zone 3), whatever the input order
+        assert (got.PULocationID, got.tpep_dropoff_datetime) == (3, ts(2021, 5, 1, 9, 30))
+        assert got.fare_amount == 20.0
+

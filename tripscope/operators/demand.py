@@ -130,8 +130,18 @@ def calendar_totals(trips: DataFrame) -> DataFrame:
 
 
 def latest_trip(trips: DataFrame) -> DataFrame:
-    """The latest pickup time (one row)."""
-    return trips.agg(F.max(PICKUP).alias("latest_pickup_datetime"))
+    """The whole row of the latest trip by pickup time.
+
+    One aggregate: the max of a struct led by the pickup time (structs
+    compare field by field), so ties on the pickup are broken by the other
+    columns and the answer is deterministic -- unlike ``max_by``, and
+    without sorting the table.
+    """
+    others = [c for c in trips.columns if c != PICKUP]
+    latest = F.max(F.struct(F.col(PICKUP), *[F.col(f"`{c}`") for c in others]))
+    return trips.agg(latest.alias("latest")).select(
+        *[F.col(f"latest.`{c}`").alias(c) for c in trips.columns]
+    )
 
 
 def _hour_bucket(ts: Column) -> Column:

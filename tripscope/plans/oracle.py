@@ -67,9 +67,11 @@ _TIP_PCT = [("avg(tip_percentage)", "avg_tip_percentage")]
 _SPEED = [("avg(trip_speed_mph)", "avg_speed_mph")]
 
 
+_MAPPED = {name for name, _ in LINEITEM_TRIP_STAGE1 + LINEITEM_TRIP_STAGE2}
+
+
 def _source_profile() -> str:
-    mapped = {name for name, _ in LINEITEM_TRIP_STAGE1 + LINEITEM_TRIP_STAGE2}
-    fields = [f for f in TRIP_SCHEMA.fields if f.name in mapped]
+    fields = [f for f in TRIP_SCHEMA.fields if f.name in _MAPPED]
     parts = [
         f"SELECT {i + 1} AS ordinal, '{f.name}' AS column_name, "
         f"'{f.dataType.simpleString()}' AS data_type, "
@@ -211,6 +213,15 @@ feat AS (
     return _q(body, ctes)
 
 
+def _latest_trip() -> str:
+    fields = [f for f in TRIP_SCHEMA.fields if f.name in _MAPPED]
+    cols = [f.name for f in fields]
+    order = ["tpep_pickup_datetime"] + [c for c in cols if c != "tpep_pickup_datetime"]
+    keys = ", ".join(f"{c} DESC NULLS LAST" for c in order)
+    out = ", ".join(_r(f.name, f.name) if f.dataType.typeName() == "double" else f.name for f in fields)
+    return _q(f"SELECT {out} FROM (SELECT * FROM trips ORDER BY {keys} LIMIT 1) AS latest")
+
+
 def oracle_sql() -> dict[str, str]:
     od = "PULocationID, DOLocationID"
     cal = "hour, day_of_week, month"
@@ -352,7 +363,7 @@ def oracle_sql() -> dict[str, str]:
             + f", count(*) AS pickups FROM f GROUP BY {cal}"
         ),
         "demand_lr_hourly_total": _q(f"SELECT {_MODEL_COLS} FROM p", _CALENDAR_TRAIN + _ols3("train")),
-        "latest_trip": _q("SELECT max(tpep_pickup_datetime) AS latest_pickup_datetime FROM trips"),
+        "latest_trip": _latest_trip(),
         "demand_forecast": _forecast(),
     }
     return q
