@@ -4,7 +4,6 @@ import datetime as dt
 
 import pytest
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import functions as F
 
 import tripscope.operators as ops
 

@@ -1,13 +1,11 @@
 """Scans in several formats, the schema check, sinks and the batch jobs."""
 
-import datetime as dt
 import glob
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
-import tripscope.operators as ops
 from tripscope.jobs import describe_source, duration_reports
 from tripscope.schema import REQUIRED_COLUMNS, TripSchemaError, conform
 from tripscope.sinks import write_result, write_single_csv
