@@ -233,3 +233,12 @@ def test_latest_trip_is_the_whole_row_and_ties_are_deterministic(spark):
         assert (got.PULocationID, got.tpep_dropoff_datetime) == (3, ts(2021, 5, 1, 9, 30))
         assert got.fare_amount == 20.0
 
+
+
+def test_correlation_with_a_constant_side_is_null_not_an_error(spark):
+    t = make_trips(spark, [{"trip_distance": float(i)} for i in range(5)])  # fares all equal
+    assert one(ops.fare_distance_corr(t)).correlation is None
+    assert one(ops.fare_passenger_corr(t)).correlation is None
+    assert one(ops.tip_distance_corr(t)).correlation is None
+    single = make_trips(spark, [{}])
+    assert one(ops.fare_per_mile_distance_corr(single)).correlation is None

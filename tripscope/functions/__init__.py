@@ -22,6 +22,7 @@ from tripscope.functions.columns import (
     tip_percentage,
     with_measures,
 )
+from tripscope.functions.stats import pearson
 
 __all__ = [
     "US_FEDERAL_HOLIDAY_RULES",
@@ -37,6 +38,7 @@ __all__ = [
     "iso_week_of",
     "iso_year_of",
     "month_of",
+    "pearson",
     "pickup",
     "speed_mph",
     "tip_percentage",

@@ -1,8 +1,9 @@
 """Fare analyses and correlations.
 
-Correlations use the ``corr`` aggregate: pairs with a NULL are left out
-(unlike ``df.stat.corr``, which counts NULL as 0), and the result stays a
-one-row DataFrame instead of a number pulled to the driver.
+Correlations are Pearson's r over the pairs without a NULL (like ``corr``,
+unlike ``df.stat.corr``, which counts NULL as 0), NULL when a side is
+constant, and stay a one-row DataFrame instead of a number pulled to the
+driver.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripscope.functions import with_measures
+from tripscope.functions import pearson, with_measures
 from tripscope.operators.ordering import sort_bounded
 
 
@@ -34,16 +35,16 @@ def fare_by_passengers(trips: DataFrame) -> DataFrame:
 
 def fare_distance_corr(trips: DataFrame) -> DataFrame:
     """Pearson r(fare, distance)."""
-    return trips.agg(F.corr("fare_amount", "trip_distance").alias("correlation"))
+    return trips.agg(pearson(F.col("fare_amount"), F.col("trip_distance")).alias("correlation"))
 
 
 def fare_per_mile_distance_corr(trips: DataFrame) -> DataFrame:
     """Pearson r(fare per mile, distance); zero-distance trips have no fare
     per mile and drop out."""
     t = with_measures(trips, "fare_per_mile")
-    return t.agg(F.corr("fare_per_mile", "trip_distance").alias("correlation"))
+    return t.agg(pearson(F.col("fare_per_mile"), F.col("trip_distance")).alias("correlation"))
 
 
 def fare_passenger_corr(trips: DataFrame) -> DataFrame:
     """Pearson r(passenger count, fare)."""
-    return trips.agg(F.corr("passenger_count", "fare_amount").alias("correlation"))
+    return trips.agg(pearson(F.col("passenger_count"), F.col("fare_amount")).alias("correlation"))

@@ -17,6 +17,7 @@ from tripscope.functions import (
     calendar_keys,
     iso_week_of,
     iso_year_of,
+    pearson,
     pickup,
     us_federal_holiday,
     with_measures,
@@ -121,9 +122,9 @@ def tip_clamped_by_payment(trips: DataFrame) -> DataFrame:
 
 def tip_distance_corr(trips: DataFrame) -> DataFrame:
     """Pearson r between per-trip tip percentage and distance (pairs with a
-    NULL are left out), as a one-row DataFrame."""
+    NULL are left out; NULL if a side is constant), as a one-row DataFrame."""
     t = with_measures(trips, "tip_percentage")
-    return t.agg(F.corr("tip_percentage", "trip_distance").alias("correlation"))
+    return t.agg(pearson(F.col("tip_percentage"), F.col("trip_distance")).alias("correlation"))
 
 
 def tip_pct_by_year_week(trips: DataFrame) -> DataFrame:

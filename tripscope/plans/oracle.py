@@ -22,6 +22,12 @@ from tripscope.sources.lineitem import (
 )
 
 
+def _corr(x: str, y: str) -> str:
+    """DuckDB's corr, NULL when either side of the non-NULL pairs is constant."""
+    pairs = f"FILTER (WHERE {x} IS NOT NULL AND {y} IS NOT NULL)"
+    return f"CASE WHEN var_pop({x}) {pairs} > 0 AND var_pop({y}) {pairs} > 0 THEN corr({x}, {y}) END"
+
+
 def _r(expr: str, alias: str) -> str:
     return f"round({expr}, {DIGITS.get(alias, DEFAULT_DIGITS)}) AS {alias}"
 
@@ -290,10 +296,10 @@ def oracle_sql() -> dict[str, str]:
             "FROM trips GROUP BY passenger_count"
         ),
         "fare_distance_corr": _q(
-            f"SELECT {_r('corr(fare_amount, trip_distance)', 'correlation')} FROM trips"
+            f"SELECT {_r(_corr('fare_amount', 'trip_distance'), 'correlation')} FROM trips"
         ),
         "fare_per_mile_distance_corr": _q(
-            f"SELECT {_r('corr(fare_per_mile, trip_distance)', 'correlation')} FROM f"
+            f"SELECT {_r(_corr('fare_per_mile', 'trip_distance'), 'correlation')} FROM f"
         ),
         "speed_by_hour": _avg_by("hour", _SPEED),
         "speed_by_day_of_week": _avg_by("day_of_week", _SPEED),
@@ -307,10 +313,10 @@ def oracle_sql() -> dict[str, str]:
             f"FROM f GROUP BY {od}, {cal}"
         ),
         "tip_distance_corr": _q(
-            f"SELECT {_r('corr(tip_percentage, trip_distance)', 'correlation')} FROM f"
+            f"SELECT {_r(_corr('tip_percentage', 'trip_distance'), 'correlation')} FROM f"
         ),
         "fare_passenger_corr": _q(
-            f"SELECT {_r('corr(passenger_count, fare_amount)', 'correlation')} FROM trips"
+            f"SELECT {_r(_corr('passenger_count', 'fare_amount'), 'correlation')} FROM trips"
         ),
         "tip_pct_by_year_week": _q(
             "SELECT iso_year, iso_week, count(*) AS trips, "

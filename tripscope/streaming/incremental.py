@@ -6,8 +6,11 @@ reads only the files it has not seen and folds them into the aggregation
 state kept in the checkpoint; each trigger rewrites the (small) result table.
 
 Any analysis that is one aggregation of the trips works unchanged: the
-calendar, location, tip, fare and speed results.  (The demand models and
-next-hour labels join or fit aggregated tables and stay batch jobs.)
+calendar, location, tip, fare and speed results, correlations, the per-trip
+regression, the latest trip and the source profile.  Batch only: the
+next-hour labels and the models built on them (a join of aggregated
+tables), the hourly-total model and forecast (a fit), and the holiday split
+(two chained aggregations with a distinct day count).
 """
 
 from __future__ import annotations
