@@ -43,9 +43,12 @@ FORECAST_HORIZONS = (("hour", 0, 1), ("day", 1, 0), ("month", 30, 0))  # (name,
 # ---------------------------------------------------------------- helpers
 
 
-def _fit(train: DataFrame, features: list[str], label: str) -> LinearRegressionModel:
+def _fit(train: DataFrame, features: list[str], label: str) -> LinearRegressionModel | None:
     """Unregularised least squares with an intercept (the normal equations,
-    one distributed pass; the tiny solve happens on the driver)."""
+    one distributed pass; the tiny solve happens on the driver).  None when
+    there is nothing to fit (no training rows)."""
+    if train.isEmpty():
+        return None
     assembled = VectorAssembler(inputCols=features, outputCol="features").transform(
         train.select(*[F.col(c).cast("double") for c in features], F.col(label).cast("double"))
     )
@@ -94,8 +97,9 @@ def demand_lr_passengers(trips: DataFrame) -> DataFrame:
     )
 
 
-def fit_passenger_model(trips: DataFrame) -> LinearRegressionModel:
-    """The same per-trip regression as a fitted ``pyspark.ml`` model."""
+def fit_passenger_model(trips: DataFrame) -> LinearRegressionModel | None:
+    """The same per-trip regression as a fitted ``pyspark.ml`` model (None
+    without usable rows)."""
     return _fit(_labelled(trips), ["hour"], "passenger_count")
 
 
@@ -190,7 +194,9 @@ def next_hour_labels(trips: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- models
 
 
-def _model_row(model: LinearRegressionModel, features: list[str]) -> dict[str, float]:
+def _model_row(model: LinearRegressionModel | None, features: list[str]) -> dict[str, float]:
+    if model is None:
+        return {**{f"coef_{f}": None for f in features}, "intercept": None, "r2": None, "rmse": None}
     row = {f"coef_{f}": c for f, c in zip(features, model.coefficients.toArray())}
     row["intercept"] = model.intercept
     summary = model.summary
@@ -199,7 +205,7 @@ def _model_row(model: LinearRegressionModel, features: list[str]) -> dict[str, f
     return row
 
 
-def fit_next_hour_model(trips: DataFrame) -> LinearRegressionModel:
+def fit_next_hour_model(trips: DataFrame) -> LinearRegressionModel | None:
     """``pickups_next_hour ~ hour + day_of_week + month`` over hour buckets."""
     # Checkpointed again after the self-join: the estimator makes several
     # passes (feature statistics, normal equations, summary).
@@ -214,7 +220,9 @@ def demand_lr_next_hour(trips: DataFrame, point: tuple[int, int, int] = NEXT_HOU
     model = fit_next_hour_model(trips)
     row = _model_row(model, features)
     row.update({k: v for k, v in zip(features, point)})
-    row["prediction"] = model.predict(Vectors.dense([float(v) for v in point]))
+    row["prediction"] = (
+        None if model is None else model.predict(Vectors.dense([float(v) for v in point]))
+    )
     out = _one_row(trips.sparkSession, row)
     return out.withColumns({k: F.col(k).cast("int") for k in features})
 
@@ -233,12 +241,12 @@ def _calendar_training(trips: DataFrame) -> DataFrame:
     )
 
 
-def _fit_hourly_total(training: DataFrame) -> LinearRegressionModel:
+def _fit_hourly_total(training: DataFrame) -> LinearRegressionModel | None:
     train = training.where(F.col("total_passengers").isNotNull())
     return _fit(train, list(CALENDAR_KEYS), "total_passengers")
 
 
-def fit_hourly_total_model(trips: DataFrame) -> LinearRegressionModel:
+def fit_hourly_total_model(trips: DataFrame) -> LinearRegressionModel | None:
     """``total_passengers ~ hour + day_of_week + month`` over calendar cells."""
     return _fit_hourly_total(_calendar_training(trips))
 
@@ -275,10 +283,12 @@ def demand_forecast(trips: DataFrame, model: LinearRegressionModel | None = None
     points = _horizons(trips.sparkSession).select(
         "horizon", target.alias("target_datetime")
     ).withColumns(calendar_keys(F.col("target_datetime")))
-    assembled = VectorAssembler(inputCols=list(CALENDAR_KEYS), outputCol="features").transform(
-        points
-    )
-    return model.transform(assembled).select(
+    if model is None:  # no training rows: nothing to predict with
+        predicted = points.withColumn("prediction", F.lit(None).cast("double"))
+    else:
+        assembler = VectorAssembler(inputCols=list(CALENDAR_KEYS), outputCol="features")
+        predicted = model.transform(assembler.transform(points))
+    return predicted.select(
         "horizon",
         "target_datetime",
         *CALENDAR_KEYS,
