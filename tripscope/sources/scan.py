@@ -1,6 +1,6 @@
 """Scans of trip files in any format Spark reads.
 
-* self-describing formats (Parquet, ORC, Avro): read as stored, then
+* self-describing formats (Parquet, ORC): read as stored, then
   conformed by name; the column pruning and any filter a query adds reach the
   scan (``ReadSchema`` / ``PushedFilters``);
 * CSV: read with a header and *without* ``inferSchema`` (inference is a
