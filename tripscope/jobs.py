@@ -97,12 +97,13 @@ def main(argv: list[str] | None = None) -> None:
     """``spark-submit tripscope/jobs.py <job> --input PATH [--output PATH]``.
 
     Jobs: ``duration_reports``, ``describe_source`` (printed), or the name
-    of any analysis in ``queries()``.
+    of any analysis in ``queries()``.  With ``--input-bytes`` and
+    ``--total-cores`` the partitions are sized by ``session.scale_conf``.
     """
     import argparse
 
     from tripscope.plans.catalog import QUERY_FUNCTIONS
-    from tripscope.session import build_session
+    from tripscope.session import build_session, scale_conf
 
     parser = argparse.ArgumentParser(prog="tripscope.jobs")
     parser.add_argument("job", choices=["duration_reports", "describe_source", *QUERY_FUNCTIONS])
@@ -110,10 +111,15 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--output")
     parser.add_argument("--format", default="parquet", help="input format")
     parser.add_argument("--output-format", default="parquet")
+    parser.add_argument("--input-bytes", type=int, help="input size, to size partitions")
+    parser.add_argument("--total-cores", type=int, help="task slots of the cluster")
     args = parser.parse_args(argv)
     if args.job != "describe_source" and not args.output:
         parser.error("--output is required for this job")
-    spark = build_session(f"tripscope-{args.job}")
+    conf = {}
+    if args.input_bytes and args.total_cores:
+        conf = scale_conf(args.input_bytes, args.total_cores)
+    spark = build_session(f"tripscope-{args.job}", conf=conf)
     if args.job == "duration_reports":
         duration_reports(spark, args.input, args.output, args.format)
     elif args.job == "describe_source":
