@@ -159,7 +159,14 @@ def next_hour_labels(trips: DataFrame) -> DataFrame:
     """One row per hour bucket holding pickups: its calendar features, its
     pickups and the pickups of the following clock hour (0 when that hour has
     none).  The last bucket is dropped: its next hour lies beyond the data.
+    Ordered by the bucket.
     """
+    return _next_hour_table(trips).orderBy("hour_bucket")
+
+
+def _next_hour_table(trips: DataFrame) -> DataFrame:
+    """``next_hour_labels`` without the final ordering (the model does not
+    need its training rows sorted)."""
     # The one pass over the trips.  The per-hour table (bounded by the hours
     # the data spans) is checkpointed: the self-join and the last-bucket
     # subquery below then read it, instead of each rescanning the trips (the
@@ -187,7 +194,6 @@ def next_hour_labels(trips: DataFrame) -> DataFrame:
                 "pickups_next_hour"
             ),
         )
-        .orderBy("hour_bucket")
     )
 
 
@@ -209,7 +215,7 @@ def fit_next_hour_model(trips: DataFrame) -> LinearRegressionModel | None:
     """``pickups_next_hour ~ hour + day_of_week + month`` over hour buckets."""
     # Checkpointed again after the self-join: the estimator makes several
     # passes (feature statistics, normal equations, summary).
-    train = materialize(next_hour_labels(trips).drop("hour_bucket"))
+    train = materialize(_next_hour_table(trips).drop("hour_bucket"))
     return _fit(train, list(CALENDAR_KEYS), "pickups_next_hour")
 
 
