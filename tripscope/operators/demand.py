@@ -136,15 +136,20 @@ def calendar_totals(trips: DataFrame) -> DataFrame:
 def latest_trip(trips: DataFrame) -> DataFrame:
     """The whole row of the latest trip by pickup time.
 
-    One aggregate: the max of a struct led by the pickup time (structs
-    compare field by field), so ties on the pickup are broken by the other
-    columns and the answer is deterministic -- unlike ``max_by``, and
-    without sorting the table.
+    Two steps, so the full rows are read only where they can matter: the
+    latest pickup comes from the pickup column alone, then only trips at
+    that instant are read -- the equality reaches the Parquet scan as a
+    pushed filter, so row-group statistics skip nearly everything.  Ties on
+    the pickup are broken by the other columns (max of a struct led by the
+    pickup), so the answer is deterministic, unlike ``max_by``.
     """
+    latest = trips.agg(F.max(PICKUP)).scalar()
     others = [c for c in trips.columns if c != PICKUP]
-    latest = F.max(F.struct(F.col(PICKUP), *[F.col(f"`{c}`") for c in others]))
-    return trips.agg(latest.alias("latest")).select(
-        *[F.col(f"latest.`{c}`").alias(c) for c in trips.columns]
+    row = F.max(F.struct(F.col(PICKUP), *[F.col(f"`{c}`") for c in others]))
+    return (
+        trips.where(F.col(PICKUP) == latest)
+        .agg(row.alias("latest"))
+        .select(*[F.col(f"latest.`{c}`").alias(c) for c in trips.columns])
     )
 
 
