@@ -98,3 +98,24 @@ def test_latest_trip_reads_full_rows_only_at_the_latest_pickup(spark, trip_files
     plan = formatted_plan(ops.latest_trip(read_trips(spark, trip_files)))
     assert any("EqualTo(tpep_pickup_datetime,ScalarSubquery" in f for f in pushed_filters(plan))
     assert {"tpep_pickup_datetime"} in read_schemas(plan)  # the max reads one column
+
+
+def test_source_profile_can_be_answered_from_parquet_footers(spark, trip_files):
+    from tripscope.session import FOOTER_AGGREGATES_CONF
+    from tripscope.sources import source_profile
+
+    before = {k: spark.conf.get(k, None) for k in FOOTER_AGGREGATES_CONF}
+    try:
+        for k, v in FOOTER_AGGREGATES_CONF.items():
+            spark.conf.set(k, v)
+        trips = read_trips(spark, trip_files)
+        plan = formatted_plan(source_profile(trips))
+        assert "PushedAggregation: [COUNT(*), COUNT(VendorID)" in plan
+        rows = {r.column_name: r.non_null_count for r in source_profile(trips).collect()}
+        assert rows["PULocationID"] == 50
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
