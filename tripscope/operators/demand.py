@@ -143,13 +143,16 @@ def latest_trip(trips: DataFrame) -> DataFrame:
     the pickup are broken by the other columns (max of a struct led by the
     pickup), so the answer is deterministic, unlike ``max_by``.
     """
-    latest = trips.agg(F.max(PICKUP)).scalar()
     others = [c for c in trips.columns if c != PICKUP]
     row = F.max(F.struct(F.col(PICKUP), *[F.col(f"`{c}`") for c in others]))
-    return (
-        trips.where(F.col(PICKUP) == latest)
-        .agg(row.alias("latest"))
-        .select(*[F.col(f"latest.`{c}`").alias(c) for c in trips.columns])
+    # A stream cannot hold a subquery; its state keeps the one latest row.
+    candidates = (
+        trips
+        if trips.isStreaming
+        else trips.where(F.col(PICKUP) == trips.agg(F.max(PICKUP)).scalar())
+    )
+    return candidates.agg(row.alias("latest")).select(
+        *[F.col(f"latest.`{c}`").alias(c) for c in trips.columns]
     )
 
 
