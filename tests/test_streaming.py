@@ -83,3 +83,26 @@ def test_aggregate_analyses_run_incrementally(spark, tmp_dir, name):
                 assert a == pytest.approx(b, rel=1e-9, abs=1e-12)
             else:
                 assert a == b
+
+
+def test_csv_folder_streams_and_checks_headers(spark, tmp_dir):
+    from pyspark.errors import StreamingQueryException
+
+    from tripscope.sinks import write_single_csv
+
+    jan, feb = _month(spark, 1, 20), _month(spark, 2, 15)
+    src = os.path.join(tmp_dir, "csv")
+    write_single_csv(jan, os.path.join(src, "m01"))
+    write_single_csv(feb, os.path.join(src, "m02"))
+    out = os.path.join(tmp_dir, "out")
+    stream = read_trip_stream(spark, os.path.join(src, "m*"), format="csv")
+    q = start_incremental(ops.fare_by_od, stream, out, "csv_fares", os.path.join(tmp_dir, "ckpt"))
+    q.awaitTermination(120)
+    assert _rows(spark.read.parquet(out)) == _rows(ops.fare_by_od(jan.unionByName(feb)))
+
+    # a file whose columns come in another order is refused, not misread
+    write_single_csv(feb.select(*reversed(feb.columns)), os.path.join(src, "m03"))
+    stream = read_trip_stream(spark, os.path.join(src, "m0[13]"), format="csv")
+    q = start_incremental(ops.fare_by_od, stream, os.path.join(tmp_dir, "out2"), "csv_bad", os.path.join(tmp_dir, "ckpt2"))
+    with pytest.raises(StreamingQueryException):
+        q.awaitTermination(120)

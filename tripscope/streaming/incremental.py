@@ -33,7 +33,11 @@ def read_trip_stream(
     """A streaming DataFrame of conformed trips from a folder of files.
 
     The stream's schema is taken from the files present at start (Parquet
-    footers only); CSV is read as strings and cast by header name.
+    footers only).  CSV is read as strings and cast by header name; a stream
+    needs one fixed schema, which Spark applies by position, so every file's
+    header is checked against it (``enforceSchema=false``) and a file with
+    other columns or another order fails the query instead of being read
+    into the wrong columns.
     """
     reader = spark.read.format(format)
     if format.lower() == "csv":
@@ -41,7 +45,7 @@ def read_trip_stream(
     schema = reader.load(path).schema
     stream = spark.readStream.format(format).schema(schema)
     if format.lower() == "csv":
-        stream = stream.option("header", "true")
+        stream = stream.option("header", "true").option("enforceSchema", "false")
     if max_files_per_trigger:
         stream = stream.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return conform(stream.load(path))
