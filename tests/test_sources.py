@@ -134,3 +134,11 @@ def test_job_entry_point_runs_an_analysis(spark, tmp_dir):
     main(["pickup_counts", "--input", src, "--output", out, "--output-format", "csv"])
     got = spark.read.option("header", True).option("inferSchema", True).csv(out)
     assert sorted(tuple(r) for r in got.collect()) == [(1, 1), (3, 1), (4, 1)]
+
+
+def test_csv_files_with_other_column_orders_are_refused(spark, tmp_dir):
+    t = make_trips(spark, ROWS)
+    write_single_csv(t, os.path.join(tmp_dir, "a"))
+    write_single_csv(t.select(*reversed(t.columns)), os.path.join(tmp_dir, "b"))
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        read_trips(spark, [os.path.join(tmp_dir, "a"), os.path.join(tmp_dir, "b")], "csv").collect()

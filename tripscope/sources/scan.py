@@ -5,7 +5,7 @@
   scan (``ReadSchema`` / ``PushedFilters``);
 * CSV: read with a header and *without* ``inferSchema`` (inference is a
   second full pass over the data), as strings, then conformed by name with
-  ``try_cast``;
+  ``try_cast``; every file's header must match the first one's;
 * JSON: read against TRIP_SCHEMA, so no inference pass either.
 """
 
@@ -34,7 +34,14 @@ def read_trips(
     reader = spark.read.format(format)
     fmt = format.lower()
     if fmt == "csv":
-        reader = reader.option("header", "true").option("inferSchema", "false")
+        # Column names come from the first file's header and later files are
+        # read by position, so every header is checked against it: a file
+        # with its columns in another order fails instead of being misread.
+        reader = (
+            reader.option("header", "true")
+            .option("inferSchema", "false")
+            .option("enforceSchema", "false")
+        )
     if schema is not None:
         reader = reader.schema(schema)
     elif fmt == "json":
