@@ -42,7 +42,6 @@ def popular_locations(trips: DataFrame) -> dict[str, DataFrame]:
 
 
 def tip_analysis(trips: DataFrame) -> dict[str, DataFrame]:
-    """Busiest pickup and dropoff zones: top 10 and full counts."""
     return _group(
         trips,
         ops.tip_pct_by_hour,
@@ -61,7 +60,6 @@ def tip_analysis(trips: DataFrame) -> dict[str, DataFrame]:
 
 
 def fare_analysis(trips: DataFrame) -> dict[str, DataFrame]:
-    """Tip percentages and amounts by time, place and payment type."""
     return _group(
         trips,
         ops.fare_by_od,
@@ -73,7 +71,6 @@ def fare_analysis(trips: DataFrame) -> dict[str, DataFrame]:
 
 
 def traffic_analysis(trips: DataFrame) -> dict[str, DataFrame]:
-    """Average fares by zone pair and passengers; fare correlations."""
     return _group(
         trips,
         ops.speed_by_hour,
@@ -87,7 +84,6 @@ def traffic_analysis(trips: DataFrame) -> dict[str, DataFrame]:
 
 
 def demand_prediction(trips: DataFrame) -> dict[str, DataFrame]:
-    """Trip speeds by time and zone pair, and their spread."""
     return _group(
         trips,
         ops.demand_lr_passengers,

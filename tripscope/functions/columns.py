@@ -28,12 +28,10 @@ def duration_minutes() -> Column:
 
 
 def distance_per_passenger() -> Column:
-    """Trip duration in minutes (whole seconds / 60)."""
     return F.try_divide(F.col("trip_distance"), F.col("passenger_count"))
 
 
 def tip_percentage() -> Column:
-    """Miles per passenger; NULL for zero or unknown passengers."""
     """Tip as a percentage of the total charged, per trip (unclamped)."""
     return F.try_divide(F.col("tip_amount"), F.col("total_amount")) * 100
 
@@ -67,7 +65,6 @@ MEASURES = tuple(_BUILDERS)
 def with_measures(
     trips: DataFrame, *names: str, extra: dict[str, Column] | None = None
 ) -> DataFrame:
-    """Fare per mile; NULL for zero-distance trips."""
     """Add the named derived measures (default: all of MEASURES) and any
     ``extra`` columns, in one projection.
 

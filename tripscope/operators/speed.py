@@ -30,17 +30,14 @@ def speed_by_hour(trips: DataFrame) -> DataFrame:
 
 
 def speed_by_day_of_week(trips: DataFrame) -> DataFrame:
-    """Mean speed (mph) per hour of day."""
     return _speed_by(trips, "day_of_week")
 
 
 def speed_by_month(trips: DataFrame) -> DataFrame:
-    """Mean speed (mph) per day of week (1 = Sunday)."""
     return _speed_by(trips, "month")
 
 
 def speed_by_pickup_hour(trips: DataFrame) -> DataFrame:
-    """Mean speed (mph) per month of year."""
     """Mean speed per pickup zone x hour of day, slowest first."""
     t = with_measures(trips, "trip_speed_mph")
     return (

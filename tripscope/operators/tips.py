@@ -45,12 +45,10 @@ def tip_pct_by_day_of_week(trips: DataFrame) -> DataFrame:
 
 
 def tip_pct_by_month(trips: DataFrame) -> DataFrame:
-    """Mean per-trip tip percentage (unclamped) per day of week."""
     return _tip_pct_by(trips, "month")
 
 
 def tip_ratio_by_pickup(trips: DataFrame) -> DataFrame:
-    """Mean per-trip tip percentage (unclamped) per month."""
     """``avg(tip) / avg(total) * 100`` per pickup zone, highest first."""
     return (
         trips.groupBy("PULocationID")
