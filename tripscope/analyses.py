@@ -38,10 +38,12 @@ def trip_analysis(trips: DataFrame) -> dict[str, DataFrame]:
 
 
 def popular_locations(trips: DataFrame) -> dict[str, DataFrame]:
+    """Busiest pickup and dropoff zones: top 10 and full counts."""
     return _group(trips, ops.top_pickups, ops.top_dropoffs, ops.pickup_counts, ops.dropoff_counts)
 
 
 def tip_analysis(trips: DataFrame) -> dict[str, DataFrame]:
+    """Tip percentages and amounts by time, place and payment type."""
     return _group(
         trips,
         ops.tip_pct_by_hour,
@@ -60,6 +62,7 @@ def tip_analysis(trips: DataFrame) -> dict[str, DataFrame]:
 
 
 def fare_analysis(trips: DataFrame) -> dict[str, DataFrame]:
+    """Average fares by zone pair and passengers; fare correlations."""
     return _group(
         trips,
         ops.fare_by_od,
@@ -71,6 +74,7 @@ def fare_analysis(trips: DataFrame) -> dict[str, DataFrame]:
 
 
 def traffic_analysis(trips: DataFrame) -> dict[str, DataFrame]:
+    """Trip speeds by time and zone pair, and their spread."""
     return _group(
         trips,
         ops.speed_by_hour,
@@ -84,6 +88,7 @@ def traffic_analysis(trips: DataFrame) -> dict[str, DataFrame]:
 
 
 def demand_prediction(trips: DataFrame) -> dict[str, DataFrame]:
+    """Demand regressions and forecasts (fits the models when called)."""
     return _group(
         trips,
         ops.demand_lr_passengers,

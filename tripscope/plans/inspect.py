@@ -24,6 +24,7 @@ _PYTHON_NODES = (
 
 
 def formatted_plan(df: DataFrame) -> str:
+    """The text of ``df.explain(mode="formatted")``."""
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         df.explain(mode="formatted")
@@ -44,12 +45,15 @@ def read_schemas(plan: str) -> list[set[str]]:
 
 
 def pushed_filters(plan: str) -> list[str]:
+    """The ``PushedFilters`` list of each scan."""
     return re.findall(r"^PushedFilters: \[(.*)\]$", plan, flags=re.M)
 
 
 def has_python(plan: str) -> bool:
+    """Whether any Python evaluation node is in the plan."""
     return any(node in plan for node in _PYTHON_NODES)
 
 
 def has_node(plan: str, node: str) -> bool:
+    """Whether a plan node of that name appears."""
     return re.search(rf"\b{re.escape(node)}\b", plan) is not None

@@ -229,6 +229,7 @@ def _latest_trip() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    """Key -> DuckDB SQL over the raw test tables, one per catalogue entry."""
     od = "PULocationID, DOLocationID"
     cal = "hour, day_of_week, month"
     q = {
