@@ -87,7 +87,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder; on a cluster an unset folder is an error, since a machine-local
     path would not survive the loss of that machine.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's checkpoint folder applies
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
