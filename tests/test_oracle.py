@@ -7,7 +7,9 @@ from oracle_check import compare, duckdb_connection
 
 from conftest import SF_ORACLE
 
-KEYS = sorted(entry.queries())
+from tripscope.plans import catalog
+
+KEYS = sorted(catalog.queries())
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +18,8 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(KEYS) <= set(entry.queries())
+    assert set(KEYS) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("key", KEYS)
