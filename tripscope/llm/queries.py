@@ -8,12 +8,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripscope.llm import quality_classifier, quality_rules
+from tripscope.llm import mixing, quality_classifier, quality_rules, secrets
 from tripscope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = secrets.train_random_model(secrets.labelled_tokens(docs))
+
+    def count(kind: str):
+        wanted = secrets.KINDS.index(kind)
+        return F.size(F.filter("base", lambda s: s["kind"] == wanted)).cast("long").alias(f"n_{kind}")
+
+    return secrets.find_secrets(docs, model).select(
+        "row.doc_id",
+        count("assign"),
+        count("access"),
+        count("hex"),
+        F.sha2(secrets.span_text(F.col("base")), 256).alias("base_sha256"),
+        secrets.span_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rules = quality_rules.fit_quality_rules(docs, table(spark, sf_dir, "labels"))
@@ -29,6 +47,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix_sources(docs).select("row.doc_id", "row.source", "replica", "row.text", "shuffle_key")
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality_classifier.fit_quality_classifier(docs, table(spark, sf_dir, "labels"))
@@ -41,9 +64,11 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_secret_scans": op3_secret_scans,
     "op4_quality_rules": op4_quality_rules,
+    "op5_mixing": op5_mixing,
     "op8_quality_classifier": op8_quality_classifier,
 }
 
 # DuckDB SQL for the queries that SQL can express whole.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_mixing": mixing.MIX_SQL}
