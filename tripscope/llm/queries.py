@@ -8,12 +8,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripscope.llm import mixing, quality_classifier, quality_rules, secrets
+from tripscope.llm import mixing, quality_classifier, quality_rules, secrets, simhash
 from tripscope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = secrets.train_random_model(secrets.labelled_tokens(docs))
@@ -64,6 +71,7 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_simhash": op2_simhash,
     "op3_secret_scans": op3_secret_scans,
     "op4_quality_rules": op4_quality_rules,
     "op5_mixing": op5_mixing,
