@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripscope.llm import mixing, quality_classifier, quality_rules, secrets, simhash
+from tripscope.llm import decontamination, mixing, quality_classifier, quality_rules, secrets, simhash
 from tripscope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,12 +70,18 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontamination.contaminated_pairs(docs, table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_simhash": op2_simhash,
     "op3_secret_scans": op3_secret_scans,
     "op4_quality_rules": op4_quality_rules,
     "op5_mixing": op5_mixing,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_decontamination": op9_decontamination,
 }
 
 # DuckDB SQL for the queries that SQL can express whole.
