@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripscope.llm import quality_classifier
+from tripscope.llm import decontamination, mixing, quality_classifier, secrets, simhash
 from tripscope.llm.common import stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -30,8 +30,49 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return quality_classifier.score_quality(docs, model).where(F.col("score") >= 0.5).select("row.*")
 
 
+def dedup_simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each SimHash near-duplicate group: 3-word
+    shingles, at most 3 differing bits, the smallest doc_id stays."""
+    return simhash.keep_one(docs, simhash.SHINGLE_WORDS, simhash.RADIUS)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that cover a benchmark item."""
+    return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace every secret by a mark; n_chars follows the text.  No document
+    is dropped, and one without secrets is unchanged."""
+    columns = docs.columns
+    model = secrets.train_random_model(secrets.labelled_tokens(docs))
+    found = secrets.find_secrets(docs, model)
+    hit = F.size("spans") > 0
+    text = F.when(hit, secrets.redact(F.col("text"), F.col("spans"))).otherwise(F.col("row.text"))
+    changed = {"text": text}
+    if "n_chars" in columns:
+        changed["n_chars"] = F.when(hit, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(
+            F.col("row.n_chars")
+        )
+    return found.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in columns])
+
+
+def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeat each document by its Poisson count (equal shares for the
+    sources, as many rows in all as came in), in shuffled order.  The copy's
+    number is added as ``replica`` (with underscores if that name is taken)."""
+    name = "replica"
+    while name in docs.columns:
+        name += "_"
+    return mixing.mix_sources(docs).select("row.*", F.col("replica").alias(name))
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_classifier", classify_quality),
+    ("simhash_near_dedup", dedup_simhash),
+    ("benchmark_decontamination", drop_benchmark),
+    ("secret_scans", redact_secrets),
+    ("mixing_sources", mix_to_weights),
 ]
 
 # Fitted models and trained scores have no SQL form; tests compare the stages
