@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripscope.llm import decontamination, mixing, quality_classifier, quality_rules, secrets, simhash
+from tripscope.llm import decontamination, mixing, quality_classifier, quality_rules, secrets, simhash, token_counts
 from tripscope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs).select("row.doc_id", "row.source", "replica", "row.text", "shuffle_key")
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality_classifier.fit_quality_classifier(docs, table(spark, sf_dir, "labels"))
@@ -80,6 +84,7 @@ QUERIES: dict[str, Query] = {
     "op3_secret_scans": op3_secret_scans,
     "op4_quality_rules": op4_quality_rules,
     "op5_mixing": op5_mixing,
+    "op7_token_counts": op7_token_counts,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_decontamination": op9_decontamination,
 }
