@@ -44,8 +44,11 @@ def labelled_sample(
     label: str,
     rows: int,
     training_fold: bool = True,
+    each: bool = False,
+    max_chars: int | None = None,
 ) -> DataFrame:
-    """(doc_id, text, label): at most ``rows`` labelled documents.
+    """(doc_id, text, label): at most ``rows`` labelled documents (``each``:
+    of either label), without those longer than ``max_chars``.
 
     The rows with the smallest xxhash64 of their id are taken, so the sample
     does not depend on partitioning.  Only ``rows`` ids and labels (a bound
@@ -58,13 +61,17 @@ def labelled_sample(
     )
     if training_fold:
         wanted = wanted.where(remainder(F.col("doc_id")) != 1)
-    wanted = (
-        wanted.groupBy("doc_id")
-        .agg(F.min("label").alias("label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(rows)
-    )
-    return docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id")
+    wanted = wanted.groupBy("doc_id").agg(F.min("label").alias("label"))
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    if each:
+        good = F.col("label") == 1
+        wanted = (
+            wanted.where(good).orderBy(*order).limit(rows).unionByName(wanted.where(~good).orderBy(*order).limit(rows))
+        )
+    else:
+        wanted = wanted.orderBy(*order).limit(rows)
+    found = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id")
+    return found if max_chars is None else found.where(F.length("text") <= max_chars)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripscope.llm import decontamination, mixing, quality_classifier, quality_rules, secrets, simhash, token_counts
+from tripscope.llm import decontamination, mixing, quality_classifier, quality_rules, secrets, simhash, token_counts, toxicity
 from tripscope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,16 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated_pairs(docs, table(spark, sf_dir, "benchmark"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    return docs.select(
+        "doc_id",
+        quality_classifier.held_out(F.col("doc_id")).alias("held_out"),
+        toxicity.toxicity_score(F.col("text"), model).alias("score"),
+    ).withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_simhash": op2_simhash,
     "op3_secret_scans": op3_secret_scans,
@@ -87,6 +97,7 @@ QUERIES: dict[str, Query] = {
     "op7_token_counts": op7_token_counts,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_decontamination": op9_decontamination,
+    "op10_toxicity": op10_toxicity,
 }
 
 # DuckDB SQL for the queries that SQL can express whole.
