@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripscope.llm import decontamination, mixing, quality_classifier, quality_rules, secrets, simhash, token_counts, toxicity
+from tripscope.llm import decontamination, mixing, pii, quality_classifier, quality_rules, secrets, simhash, token_counts, toxicity
 from tripscope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,23 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs).select("row.doc_id", "row.source", "replica", "row.text", "shuffle_key")
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_pii(docs, pii.fit_pii(docs))
+    base = F.filter("spans", lambda s: s["kind"] < len(pii.KINDS))
+
+    def count(kind: str):
+        wanted = pii.KINDS.index(kind)
+        return F.size(F.filter("spans", lambda s: s["kind"] == wanted)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "row.doc_id",
+        *[count(k) for k in pii.KINDS],
+        F.sha2(pii.span_text(base), 256).alias("base_sha256"),
+        pii.span_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -94,6 +111,7 @@ QUERIES: dict[str, Query] = {
     "op3_secret_scans": op3_secret_scans,
     "op4_quality_rules": op4_quality_rules,
     "op5_mixing": op5_mixing,
+    "op6_pii": op6_pii,
     "op7_token_counts": op7_token_counts,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_decontamination": op9_decontamination,
