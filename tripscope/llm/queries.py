@@ -8,12 +8,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripscope.llm import decontamination, mixing, pii, quality_classifier, quality_rules, secrets, simhash, token_counts, toxicity
+from tripscope.llm import decontamination, mixing, pii, quality_classifier, quality_rules, secrets, simhash, suffix_dedup, token_counts, toxicity
 from tripscope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_duplicates(docs).select(
@@ -107,6 +114,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_simhash": op2_simhash,
     "op3_secret_scans": op3_secret_scans,
     "op4_quality_rules": op4_quality_rules,
