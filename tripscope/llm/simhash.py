@@ -6,8 +6,9 @@ at least one of radius + 1 bands of bits, so each (band, value) group is
 compared on its own; inside it fingerprints are sorted by population count and
 cut into tiles, a tile pair is skipped when the counts differ beyond the
 radius, and the others are compared by exclusive-or and bit counts.  A group
-too large for one task is split again by the bands of its remaining bits,
-which loses no link.  A group returns a spanning forest of its links, never
+too large for one task is split again by the bands of its remaining bits, and
+a dense one into tile pairs of their own tasks, which loses no link.  A group
+returns a spanning forest of its links, never
 all pairs, and the forests are joined to components.
 """
 
@@ -30,6 +31,7 @@ SEED = 42
 TILE = 512
 #: Groups with more fingerprints are split by further bands.
 GROUP_LIMIT = 16_384
+LEVELS = 2
 
 
 def fingerprint(text: str | None, width: int = SHINGLE_WORDS) -> int:
@@ -182,29 +184,66 @@ def _mask(bits: tuple[int, ...]) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
+def _tile_pairs(rows: DataFrame, radius: int, tile: int) -> DataFrame:
+    """Edges inside large groups: ``rows`` (tag, value, fp).
+
+    A group is cut into tiles of about ``tile`` fingerprints of one population
+    count each, and every pair of tiles whose counts differ by the radius or
+    less is one small task; the other pairs are never made.  Only the tiles'
+    names are joined with each other, not the rows.
+    """
+    rows = rows.withColumn("p", F.bit_count("fp"))
+    key = ["tag", "value", "p"]
+    counts = stored(
+        rows.groupBy(*key).agg(F.ceil(F.count("*") / F.lit(tile)).cast("int").alias("k")), "simhash-tiles"
+    )
+    tiles = counts.select(*key, F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("t"))
+    x, y = (tiles.select("tag", "value", F.col("p").alias(f"p{s}"), F.col("t").alias(f"t{s}")) for s in "xy")
+    pairs = x.join(y, ["tag", "value"]).where(
+        F.col("py").between(F.col("px"), F.col("px") + radius)
+        & ((F.col("px") < F.col("py")) | (F.col("tx") <= F.col("ty")))
+    )
+    tiled = rows.join(counts, key).select(*key, F.pmod(F.xxhash64("fp"), F.col("k")).cast("int").alias("t"), "fp")
+
+    def side(s: str) -> DataFrame:
+        return tiled.withColumnsRenamed({"p": f"p{s}", "t": f"t{s}"}).join(pairs, ["tag", "value", f"p{s}", f"t{s}"])
+
+    columns = ["tag", "value", "px", "tx", "py", "ty"]
+    other = side("y").where((F.col("px") < F.col("py")) | (F.col("tx") < F.col("ty")))
+    both = side("x").select(*columns, "fp").unionByName(other.select(*columns, "fp"))
+
+    def compare(part: pd.DataFrame) -> pd.DataFrame:
+        fp = part["fp"].to_numpy()
+        i, j = _forest(fp.view(np.uint64), radius)
+        return pd.DataFrame({"a": fp[i], "b": fp[j]})
+
+    return both.groupBy(*columns).applyInPandas(compare, "a long, b long")
+
+
 def fingerprint_links(nodes: DataFrame, radius: int = RADIUS, limit: int = GROUP_LIMIT) -> DataFrame:
     """Edges (a, b) over distinct fingerprints ``nodes`` (fp long) that connect
     exactly what links of at most ``radius`` differing bits connect.
 
-    A level gives each row a key (tag: the bits that agree so far, value:
-    those bits).  Groups over ``limit`` go on to the next level, which cuts
-    the remaining bits into bands; a group whose remaining bits number no more
-    than the radius is linked throughout, as a star around its least member.
+    A level gives each row a key for every band (tag: which bits agree so far,
+    value: those bits).  Groups over ``limit`` go on to the next level, which
+    cuts their remaining bits into bands.  A group that is still over it after
+    ``LEVELS`` levels is a dense cluster: its tile pairs become tasks.
     """
     edges = None
-    level: list[tuple[DataFrame, tuple[int, ...]]] = [(nodes.select("fp"), ())]
-    while level:
-        tags: dict[int, tuple[int, ...]] = {}
-        keyed = None
-        for rows, fixed in level:
-            for band in _bands(fixed, radius + 1):
-                bits = tuple(sorted(fixed + band))
-                tag = len(tags)
-                tags[tag] = bits
-                one = rows.select(
-                    F.lit(tag).alias("tag"), F.col("fp").bitwiseAND(F.lit(_mask(bits))).alias("value"), "fp"
-                )
-                keyed = one if keyed is None else keyed.unionByName(one)
+    rows = nodes.select(F.lit(0).alias("tag"), "fp")
+    fixed: list[tuple[int, ...]] = [()]
+    for level in range(1, LEVELS + 1):
+        tags: list[tuple[int, ...]] = []
+        plan = []
+        for bits in fixed:
+            bands = []
+            for band in _bands(bits, radius + 1):
+                tags.append(tuple(sorted(bits + band)))
+                bands.append(F.struct(F.lit(len(tags) - 1).alias("tag"), F.lit(_mask(tags[-1])).cast("long").alias("mask")))
+            plan.append(F.array(*bands))
+        keyed = rows.select(F.explode(F.get(F.array(*plan), F.col("tag"))).alias("b"), "fp").select(
+            "b.tag", F.col("fp").bitwiseAND(F.col("b.mask")).alias("value"), "fp"
+        )
         sizes = keyed.groupBy("tag", "value").agg(F.count("*").alias("n"))
         large = stored(sizes.where(F.col("n") > limit).select("tag", "value"), "simhash-large")
         hot = sorted(r["tag"] for r in large.select("tag").distinct().collect())
@@ -215,14 +254,15 @@ def fingerprint_links(nodes: DataFrame, radius: int = RADIUS, limit: int = GROUP
             .mapInPandas(_group_links(radius), "a long, b long")
         )
         edges = found if edges is None else edges.unionByName(found)
-        level = []
-        for tag in hot:
-            rows = keyed.where(F.col("tag") == tag).join(large, ["tag", "value"], "left_semi")
-            if len(tags[tag]) >= 64 - radius:
-                heads = rows.groupBy("value").agg(F.min("fp").alias("a"))
-                edges = edges.unionByName(rows.join(heads, "value").select("a", F.col("fp").alias("b")))
-            else:
-                level.append((rows.select("fp"), tags[tag]))
+        if not hot:
+            break
+        within = stored(keyed.join(large, ["tag", "value"], "left_semi"), "simhash-within")
+        if level == LEVELS:
+            edges = edges.unionByName(_tile_pairs(within, radius, max(1, limit // 2)))
+        else:
+            names = F.array(*[F.lit(hot.index(t) if t in hot else -1) for t in range(len(tags))])
+            rows = within.select(F.get(names, F.col("tag")).alias("tag"), "fp")
+            fixed = [tags[t] for t in hot]
     return edges
 
 
