@@ -91,15 +91,22 @@ def demand_lr_passengers(trips: DataFrame) -> DataFrame:
     return stats.select(
         "coefficient",
         "intercept",
-        "r2",
-        F.sqrt(F.try_divide(F.col("__syy") * (1 - F.col("r2")), F.col("n"))).alias("rmse"),
+        # R^2 of an exact fit can come out a rounding error above 1.
+        F.when(F.col("r2") > 1, F.lit(1.0)).otherwise(F.col("r2")).alias("r2"),
+        F.sqrt(
+            F.try_divide(
+                F.col("__syy") * F.when(F.col("r2") > 1, F.lit(0.0)).otherwise(1 - F.col("r2")),
+                F.col("n"),
+            )
+        ).alias("rmse"),
         "n",
     )
 
 
 def fit_passenger_model(trips: DataFrame) -> LinearRegressionModel | None:
     """The same per-trip regression as a fitted ``pyspark.ml`` model (None
-    without usable rows)."""
+    without usable rows).  The estimator makes several passes over the trips
+    as vectors, uncached; ``demand_lr_passengers`` needs one aggregate."""
     return _fit(_labelled(trips), ["hour"], "passenger_count")
 
 
@@ -156,11 +163,9 @@ def latest_trip(trips: DataFrame) -> DataFrame:
     )
 
 
-def _hour_bucket(ts: Column) -> Column:
+def _hour_bucket(date: Column, hour: Column) -> Column:
     """Start of the clock hour, as wall-clock time (no time zone involved)."""
-    return F.make_timestamp_ntz(
-        F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.lit(0), F.lit(0)
-    )
+    return date.cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), hour, F.lit(0), F.lit(0))
 
 
 def next_hour_labels(trips: DataFrame) -> DataFrame:
@@ -181,9 +186,12 @@ def _next_hour_table(trips: DataFrame) -> DataFrame:
     # optimizer pushes the last-bucket filter below the aggregate, so the
     # three uses would otherwise not share one exchange).
     buckets = materialize(
+        # The key is the date and the hour; the bucket's timestamp is made
+        # once per bucket, after the aggregate, not once per trip.
         trips.where(pickup().isNotNull())
-        .groupBy(_hour_bucket(pickup()).alias("hour_bucket"))
+        .groupBy(F.to_date(pickup()).alias("date"), F.hour(pickup()).alias("hour"))
         .agg(F.count(F.lit(1)).alias("pickups"))
+        .select(_hour_bucket(F.col("date"), F.col("hour")).alias("hour_bucket"), "pickups")
     )
     following = buckets.select(
         (F.col("hour_bucket") - F.expr("INTERVAL 1 HOUR")).alias("hour_bucket"),
@@ -221,9 +229,9 @@ def _model_row(model: LinearRegressionModel | None, features: list[str]) -> dict
 
 def fit_next_hour_model(trips: DataFrame) -> LinearRegressionModel | None:
     """``pickups_next_hour ~ hour + day_of_week + month`` over hour buckets."""
-    # Checkpointed again after the self-join: the estimator makes several
-    # passes (feature statistics, normal equations, summary).
-    train = materialize(_next_hour_table(trips).drop("hour_bucket"))
+    # The estimator's few passes repeat the self-join of the checkpointed
+    # hour table, which the time span bounds; the trips are not read again.
+    train = _next_hour_table(trips).drop("hour_bucket")
     return _fit(train, list(CALENDAR_KEYS), "pickups_next_hour")
 
 
@@ -245,8 +253,11 @@ def _calendar_training(trips: DataFrame) -> DataFrame:
     """Training table of the hourly-total model, checkpointed: one row per
     calendar cell with its passengers and its latest pickup (so a forecast
     needs no second pass over the trips to find the latest one)."""
+    # Trips without a pickup time have no calendar cell; the filter reaches
+    # the scan.
     return materialize(
-        trips.withColumns(calendar_keys())
+        trips.where(pickup().isNotNull())
+        .withColumns(calendar_keys())
         .groupBy(*CALENDAR_KEYS)
         .agg(
             F.sum("passenger_count").alias("total_passengers"),

@@ -2,11 +2,11 @@
 
 ``orderBy`` plans a range exchange: a sampling job to find the range bounds,
 a shuffle, then a sort -- the right plan when the result itself is large.
-Most results here are keyed by calendar parts, zones or payment types, so
-their row count has a fixed bound (24 hours, 7 days, 12 months, a zone
-catalogue of a few hundred, its pairs, ...) however many trips there are.
-Those are moved into one partition *after* the final aggregate and sorted
-there: no sampling job, and at most a few ten thousand rows in one task.
+Results keyed by calendar parts, payment types or passenger counts have a
+fixed bound (24 hours, 7 days, 12 months, 2,016 cells) however many trips
+there are.  Those are moved into one partition *after* the final aggregate and
+sorted there: no sampling job.  Results keyed by zones or zone pairs hold
+whatever ids the files hold, which nothing bounds, so they use ``orderBy``.
 """
 
 from __future__ import annotations

@@ -59,7 +59,7 @@ def tip_ratio_by_pickup(trips: DataFrame) -> DataFrame:
                 "tip_percentage"
             )
         )
-        .transform(sort_bounded, F.desc("tip_percentage"), "PULocationID")
+        .orderBy(F.desc("tip_percentage"), "PULocationID")
     )
 
 
@@ -91,7 +91,7 @@ def tip_clamped_by_od(trips: DataFrame) -> DataFrame:
             F.avg("tip_percentage_clamped").alias("avg_tip_percentage"),
             F.avg("trip_distance").alias("avg_distance"),
         )
-        .transform(sort_bounded, F.desc("avg_tip_percentage"), "PULocationID", "DOLocationID")
+        .orderBy(F.desc("avg_tip_percentage"), "PULocationID", "DOLocationID")
     )
 
 
@@ -158,7 +158,8 @@ def tip_pct_by_holiday(trips: DataFrame, holidays: DataFrame | None = None) -> D
     cut to one name per date and joined to the per-date table, both of which
     are small.
     """
-    t = with_measures(trips, "tip_percentage")
+    # A trip without a pickup time falls on no day, so it is left out.
+    t = with_measures(trips.where(pickup().isNotNull()), "tip_percentage")
     per_day = t.groupBy(F.to_date(pickup()).alias("pickup_date")).agg(
         F.count(F.lit(1)).alias("trips"),
         F.sum("tip_percentage").alias("tip_pct_sum"),

@@ -72,20 +72,26 @@ def trip_by_hour_dow_month(trips: DataFrame) -> DataFrame:
 def trip_calendar_sets(trips: DataFrame) -> DataFrame:
     """``trip_by_hour``, ``_day_of_week`` and ``_month`` from one scan.
 
-    ``GROUPING SETS ((hour), (day_of_week), (month))``: Spark expands each row
-    into three keyed rows and aggregates them together, so the table is read
-    once instead of three (or six) times.  ``grouping`` names the set a row
+    The trips are first reduced to their calendar cells (2,016 at most) with
+    sums and counts; ``GROUPING SETS ((hour), (day_of_week), (month))`` then
+    expands the cells, not the trips.  ``grouping`` names the set a row
     belongs to; the other two keys are NULL in that row.
     """
     t = with_measures(trips, "trip_duration_min", extra=calendar_keys())
     keys = [F.col(k) for k in CALENDAR_KEYS]
     gid = F.grouping_id(*keys)
+    cells = t.groupBy(*keys).agg(
+        F.sum("trip_duration_min").alias("s_min"),
+        F.count("trip_duration_min").alias("n_min"),
+        F.sum("trip_distance").alias("s_mi"),
+        F.count("trip_distance").alias("n_mi"),
+    )
     result = (
-        t.groupingSets([[k] for k in keys], *keys)
+        cells.groupingSets([[k] for k in keys], *keys)
         .agg(
             gid.alias("__gid"),
-            F.avg("trip_duration_min").alias("avg_duration_min"),
-            F.avg("trip_distance").alias("avg_distance"),
+            F.try_divide(F.sum("s_min"), F.sum("n_min")).alias("avg_duration_min"),
+            F.try_divide(F.sum("s_mi"), F.sum("n_mi")).alias("avg_distance"),
         )
         .select(
             # grouping_id bits: hour = 4, day_of_week = 2, month = 1 (1 = rolled up)
