@@ -6,7 +6,7 @@ analyses read are required; the others are kept when present.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,8 +75,41 @@ def conform(df: DataFrame) -> DataFrame:
         src = present.get(field.name.lower())
         if src is None:
             continue
-        col = F.col(f"`{src}`")
-        if source_types[src] != field.dataType:
-            col = col.try_cast(field.dataType)
-        out.append(col.alias(field.name))
+        out.append(_cast(F.col(f"`{src}`"), source_types[src], field.dataType).alias(field.name))
     return df.select(*out)
+
+
+def _cast(col: Column, source: T.DataType, target: T.DataType) -> Column:
+    """``col`` as ``target``, NULL where it does not parse.  Whole numbers
+    written with a fraction ("132.0", as writers of nullable integers do) keep
+    their value; other fractions have no integral value and become NULL."""
+    if source == target:
+        return col
+    if isinstance(target, T.LongType) and not isinstance(source, T.IntegralType):
+        number = col.try_cast("double")
+        whole = F.when(number == F.floor(number), number.try_cast("bigint"))
+        return F.coalesce(col.try_cast("bigint"), whole) if isinstance(source, T.StringType) else whole
+    return col.try_cast(target)
+
+
+def cast_losses(df: DataFrame) -> DataFrame:
+    """One row per trip column of the raw table ``df``: how many values that
+    were there ``conform`` makes NULL (one aggregate pass)."""
+    present = {name.lower(): name for name in df.columns}
+    types = {f.name: f.dataType for f in df.schema.fields}
+    found = [(f, present[f.name.lower()]) for f in TRIP_SCHEMA.fields if f.name.lower() in present]
+    counts = df.agg(
+        *[
+            F.count_if(
+                F.col(f"`{src}`").isNotNull() & _cast(F.col(f"`{src}`"), types[src], f.dataType).isNull()
+            ).alias(f"c{i}")
+            for i, (f, src) in enumerate(found)
+        ]
+    )
+    rows = F.array(
+        *[
+            F.struct(F.lit(f.name).alias("column_name"), F.col(f"c{i}").alias("lost_count"))
+            for i, (f, _) in enumerate(found)
+        ]
+    )
+    return counts.select(F.inline(rows))

@@ -2,21 +2,31 @@
 
 * self-describing formats (Parquet, ORC): read as stored, then
   conformed by name; the column pruning and any filter a query adds reach the
-  scan (``ReadSchema`` / ``PushedFilters``);
+  scan (``ReadSchema`` / ``PushedFilters``).  Files whose stored schemas differ
+  (monthly files drift) are conformed schema by schema, so a column that is
+  long in one and double in another loads, and a required column that any file
+  lacks is an error, not silently NULL;
 * CSV: read with a header and *without* ``inferSchema`` (inference is a
   second full pass over the data), as strings, then conformed by name with
   ``try_cast``; every file's header must match the first one's;
-* JSON: read against TRIP_SCHEMA, so no inference pass either.
+* JSON: keys are matched to TRIP_SCHEMA in any case from a look at the first
+  ``JSON_LOOK`` records (no inference pass), read as strings and conformed; a
+  required key that none of them holds is an error.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from tripscope.schema import TRIP_SCHEMA, conform
+from tripscope.schema import REQUIRED_COLUMNS, TRIP_SCHEMA, TripSchemaError, conform
+
+JSON_LOOK = 1000
+STORED_SCHEMA = ("parquet", "orc")
 
 
 def read_trips(
@@ -44,14 +54,54 @@ def read_trips(
         )
     if schema is not None:
         reader = reader.schema(schema)
-    elif fmt == "json":
-        reader = reader.schema(TRIP_SCHEMA)
     if options:
         reader = reader.options(**dict(options))
     paths = [path] if isinstance(path, str) else list(path)
+    if schema is None and fmt == "json":
+        reader = reader.schema(_json_schema(spark, paths))
+    if schema is None and fmt in STORED_SCHEMA:
+        return _conform_each_schema(spark, paths, fmt, dict(options or {}))
     return conform(reader.load(paths))
 
 
+def _json_schema(spark: SparkSession, paths: list[str]) -> StructType:
+    """The trip columns under the names the records use, as strings."""
+    look = spark.read.text(paths).limit(JSON_LOOK)
+    keys = {
+        r[0] for r in look.select(F.explode(F.json_object_keys("value"))).distinct().collect()
+    }
+    names = {k.lower(): k for k in sorted(keys)}
+    missing = [c for c in REQUIRED_COLUMNS if c.lower() not in names]
+    if keys and missing:
+        raise TripSchemaError(f"JSON records lack required columns: {missing}")
+    return StructType([StructField(names.get(f.name.lower(), f.name), StringType()) for f in TRIP_SCHEMA.fields])
+
+
+def _conform_each_schema(spark: SparkSession, paths: list[str], fmt: str, options: dict) -> DataFrame:
+    """Files grouped by their stored schema (footers only), each group
+    conformed on its own; optional columns that a group lacks are NULL."""
+    whole = spark.read.format(fmt).options(**options).load(paths)
+    files = sorted(whole.inputFiles())
+    if len(files) < 2:
+        return conform(whole)
+    groups: dict[str, list[str]] = {}
+    for file in files:
+        stored = spark.read.format(fmt).options(**options).load(file).schema
+        groups.setdefault(stored.json(), []).append(file)
+    if len(groups) == 1:
+        return conform(whole)
+    out = None
+    for stored_json, own in sorted(groups.items()):
+        stored = StructType.fromJson(json.loads(stored_json))
+        try:
+            part = conform(spark.read.format(fmt).options(**options).schema(stored).load(own))
+        except TripSchemaError as error:
+            raise TripSchemaError(f"{error} in {own[0]}") from None
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    names = [f.name for f in TRIP_SCHEMA.fields if f.name in out.columns]
+    return out.select(*names)
+
+
 def read_trips_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Parquet glob scan: one flat directory of monthly files."""
     return read_trips(spark, path, "parquet")
