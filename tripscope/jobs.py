@@ -29,6 +29,24 @@ DURATION_REPORTS = (
 )
 DURATION_COLUMN = "average_trip_time_in_minutes"
 
+# Results whose rows grow with the zones in the files or with the time span:
+# never written through one task.
+GROWING_RESULTS = frozenset(
+    {
+        "pickup_counts",
+        "dropoff_counts",
+        "fare_by_od",
+        "tip_clamped_by_od",
+        "tip_ratio_by_pickup",
+        "speed_by_pickup_hour",
+        "speed_spread_by_od",
+        "speed_by_od_week",
+        "speed_by_od_hour_dow_month",
+        "next_hour_labels",
+        "tip_pct_by_year_week",
+    }
+)
+
 
 def duration_report_table(trips: DataFrame) -> DataFrame:
     """All three reports in one aggregate: ``report`` names the grouping."""
@@ -41,8 +59,11 @@ def duration_report_table(trips: DataFrame) -> DataFrame:
     )
     keys = [F.col(k) for _, k in DURATION_REPORTS]
     gid = F.grouping_id(*keys)
-    table = keyed.groupingSets([[k] for k in keys], *keys).agg(
-        gid.alias("__gid"), F.avg("minutes").alias(DURATION_COLUMN)
+    # One row per cell first (8,928 at most), so the grouping sets expand
+    # cells, not trips.
+    cells = keyed.groupBy(*keys).agg(F.sum("minutes").alias("s"), F.count("minutes").alias("n"))
+    table = cells.groupingSets([[k] for k in keys], *keys).agg(
+        gid.alias("__gid"), F.try_divide(F.sum("s"), F.sum("n")).alias(DURATION_COLUMN)
     )
     # grouping_id bits: month = 4, dayofmonth = 2, hour = 1 (1 = rolled up)
     report = (
@@ -81,14 +102,16 @@ def run_analysis(
     format: str = "parquet",
     output_format: str = "parquet",
 ) -> None:
-    """Run one catalogue analysis on trip files and write its result:
-    a single headed CSV for ``csv``, parallel files otherwise."""
+    """Run one catalogue analysis on trip files and write its result.  ``csv``
+    gives one headed file, sorted in its task by the columns in order, for
+    results of fixed size; growing results and other formats are written in
+    parallel."""
     from tripscope.plans.catalog import QUERY_FUNCTIONS
     from tripscope.sinks import write_result
 
     result = QUERY_FUNCTIONS[name](read_trips(spark, input_path, format))
-    if output_format == "csv":
-        write_single_csv(result, output_path)
+    if output_format == "csv" and name not in GROWING_RESULTS:
+        write_single_csv(result, output_path, result.columns)
     else:
         write_result(result, output_path, output_format)
 
@@ -103,7 +126,7 @@ def main(argv: list[str] | None = None) -> None:
     import argparse
 
     from tripscope.plans.catalog import QUERY_FUNCTIONS
-    from tripscope.session import build_session, scale_conf
+    from tripscope.session import PAIR_CELL_KEYS, SMALL_KEYS, build_session, scale_conf
 
     parser = argparse.ArgumentParser(prog="tripscope.jobs")
     parser.add_argument("job", choices=["duration_reports", "describe_source", *QUERY_FUNCTIONS])
@@ -118,7 +141,8 @@ def main(argv: list[str] | None = None) -> None:
         parser.error("--output is required for this job")
     conf = {}
     if args.input_bytes and args.total_cores:
-        conf = scale_conf(args.input_bytes, args.total_cores)
+        pairs = args.job in ("speed_by_od_hour_dow_month", "speed_by_od_week")
+        conf = scale_conf(args.input_bytes, args.total_cores, PAIR_CELL_KEYS if pairs else SMALL_KEYS)
     spark = build_session(f"tripscope-{args.job}", conf=conf)
     if args.job == "duration_reports":
         duration_reports(spark, args.input, args.output, args.format)

@@ -1,7 +1,7 @@
 """Session defaults for the analyses.
 
-Everything here is a plain Spark setting; a cluster's own configuration wins
-for any key it already sets (``getOrCreate`` keeps an existing session).
+Everything here is a plain Spark setting, and only fills gaps: a key that the
+cluster, ``spark-submit`` or an existing session already sets keeps its value.
 """
 
 from __future__ import annotations
@@ -9,6 +9,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Mapping
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
@@ -39,7 +40,16 @@ FOOTER_AGGREGATES_CONF = {
 }
 
 
-def scale_conf(input_bytes: int, total_cores: int) -> dict[str, str]:
+# Keys (rows of partial aggregates per map task) that share a shuffle partition.
+KEYS_PER_PARTITION = 100_000
+MIN_SHUFFLE = 64
+# Most keys of a result: calendar cells and zones, or zone pair x calendar cell
+# (a few hundred zones), the one result whose key count is large.
+SMALL_KEYS = 100_000
+PAIR_CELL_KEYS = 265 * 265 * 24 * 7 * 12
+
+
+def scale_conf(input_bytes: int, total_cores: int, key_bound: int = SMALL_KEYS) -> dict[str, str]:
     """Partition sizing for a trip table of ``input_bytes`` on a cluster of
     ``total_cores`` task slots.
 
@@ -48,15 +58,17 @@ def scale_conf(input_bytes: int, total_cores: int) -> dict[str, str]:
       does not grow with its split.  Larger splits (up to 512 MiB) only cut
       the task count: 100 TB in 128 MiB splits is ~800k tasks, in 512 MiB
       ~200k.  Splits stay small enough for at least 4 waves of tasks.
-    * Shuffle: what is shuffled is partial aggregates, far smaller than the
-      input; the one large shuffle (zone pair x calendar cell) is bounded by
-      the key count.  Start with 3 partitions per core and let AQE coalesce
-      to ``advisoryPartitionSizeInBytes``.
+    * Shuffle: what is shuffled is partial aggregates, so the partition count
+      follows the result's keys (``key_bound``), not the cores: every map task
+      writes one block per partition, and 200,000 tasks times 24,000 partitions
+      would be billions of blocks for a 24-row answer.  A partition per
+      ``KEYS_PER_PARTITION`` keys, between MIN_SHUFFLE and 3 per core; AQE
+      coalesces from there.
     """
     waves = 4
     per_task = max(1, input_bytes // max(1, total_cores * waves))
     split = int(min(512 * MIB, max(64 * MIB, per_task)))
-    shuffle = max(200, 3 * total_cores)
+    shuffle = max(MIN_SHUFFLE, min(3 * total_cores, -(-key_bound // KEYS_PER_PARTITION)))
     return {
         "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.shuffle.partitions": str(shuffle),
@@ -70,12 +82,26 @@ def build_session(
     master: str | None = None,
     conf: Mapping[str, str] | None = None,
 ) -> SparkSession:
-    """A SparkSession with DEFAULT_CONF, overridden by ``conf`` (for a large
-    table, pass ``scale_conf(...)`` merged with your own settings)."""
+    """A SparkSession: DEFAULT_CONF for keys nobody set, ``conf`` as given (for
+    a large table, pass ``scale_conf(...)`` merged with your own settings).  On
+    an existing session only ``conf`` is applied, where it can still change."""
+    own = dict(conf or {})
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        # Only what the caller names; the session's other settings are the user's.
+        for key, value in own.items():
+            if active.conf.isModifiable(key):
+                active.conf.set(key, value)
+        return active
+    SparkContext._ensure_initialized()  # the launcher's settings become visible
+    given = SparkConf()
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULT_CONF, **dict(conf or {})}.items():
+    for key, value in DEFAULT_CONF.items():
+        if key not in own and not given.contains(key):
+            builder = builder.config(key, value)
+    for key, value in own.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
