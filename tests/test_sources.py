@@ -115,11 +115,15 @@ def test_lineitem_fixture_is_already_conformed(trips_small):
 
 
 def test_scale_conf_for_100_tb():
-    from tripscope.session import MIB, scale_conf
+    from tripscope.session import MIB, PAIR_CELL_KEYS, scale_conf
 
     conf = scale_conf(100 * 10**12, total_cores=1000 * 8)
     assert int(conf["spark.sql.files.maxPartitionBytes"]) == 512 * MIB
-    assert int(conf["spark.sql.shuffle.partitions"]) == 24000
+    tasks = 100 * 10**12 // (512 * MIB)
+    # shuffle blocks: map tasks x partitions
+    assert tasks * int(conf["spark.sql.shuffle.partitions"]) < 20_000_000
+    pairs = scale_conf(100 * 10**12, total_cores=8000, key_bound=PAIR_CELL_KEYS)
+    assert 1000 < int(pairs["spark.sql.shuffle.partitions"]) <= 24000
     small = scale_conf(10 * MIB, total_cores=8)
     assert int(small["spark.sql.files.maxPartitionBytes"]) == 64 * MIB
 
