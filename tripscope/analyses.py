@@ -1,18 +1,41 @@
 """The analysis groups of a trip study, each a dict of named results.
 
 For callers who ran the analyses section by section (trip, locations, tips,
-fares, traffic, demand): every group returns its results as lazy DataFrames
-keyed by the names used in ``queries()``; nothing runs until a result is
-written or collected (the demand group fits its models when called).
+fares, traffic, demand): every group returns its results as DataFrames keyed
+by the names used in ``queries()``.
+
+Most results of a section are roll-ups of two small tables, so a section reads
+the trips once for each table it needs instead of once per result: the
+calendar cells (hour x day of week x month x day of month, at most 62,496) and
+the zone cells (pickup x dropoff x hour).  They hold sums and counts, are
+written once to the checkpoint folder, and every roll-up reads that.  Results
+keyed by anything else (payment type, ISO week, holiday, passengers, zone pair
+by cell, correlations, models) keep a scan of their own.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import tripscope.operators as ops
+from tripscope.functions import calendar_keys, day_of_month_of, pickup, with_measures
+from tripscope.operators.locations import TOP_K
+from tripscope.operators.ordering import sort_bounded
+from tripscope.operators.trips import CALENDAR_KEYS
+from tripscope.session import materialize
 from tripscope.sources import read_trips
 
+DERIVED = (
+    "trip_duration_s",
+    "trip_duration_min",
+    "distance_per_passenger",
+    "tip_percentage",
+    "tip_percentage_clamped",
+    "trip_speed_mph",
+)
+STORED = ("trip_distance", "tip_amount", "total_amount", "fare_amount", "passenger_count")
+
 
 def load_data(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
     """Trip files (a folder or a glob of monthly files) as conformed trips."""
@@ -23,42 +46,131 @@ def _group(trips: DataFrame, *fns) -> dict[str, DataFrame]:
     return {fn.__name__: fn(trips) for fn in fns}
 
 
-def trip_analysis(trips: DataFrame) -> dict[str, DataFrame]:
-    """Average duration and distance by hour, day of week, month, day of
-    month and calendar cell."""
-    return _group(
+# ---------------------------------------------------------------- shared cells
+
+
+def _cells(trips: DataFrame, keys: dict[str, Column], measures: tuple[str, ...]) -> DataFrame:
+    derived = [m for m in measures if m in DERIVED]
+    table = with_measures(trips, *derived, extra=keys) if derived else trips.withColumns(keys)
+    sums = [f(m).alias(f"{n}_{m}") for m in measures for f, n in ((F.sum, "sum"), (F.count, "n"))]
+    return materialize(table.groupBy(*keys).agg(F.count(F.lit(1)).alias("trips"), *sums))
+
+
+def _avg(measure: str) -> Column:
+    return F.try_divide(F.sum(f"sum_{measure}"), F.sum(f"n_{measure}"))
+
+
+def calendar_results(trips: DataFrame) -> dict[str, DataFrame]:
+    """Every result keyed by hour, day of week, month or day of month, from
+    one scan."""
+    keys = {**calendar_keys(), "day_of_month": day_of_month_of(pickup())}
+    cells = _cells(trips, keys, (*DERIVED, "trip_distance", "tip_amount", "passenger_count"))
+
+    def by(*names: str, **results: Column) -> DataFrame:
+        found = cells.groupBy(*names).agg(*[c.alias(a) for a, c in results.items()])
+        return sort_bounded(found, *names)
+
+    out = {}
+    for key in CALENDAR_KEYS:
+        out[f"trip_by_{key}"] = by(key, avg_duration_min=_avg("trip_duration_min"), avg_distance=_avg("trip_distance"))
+        out[f"tip_pct_by_{key}"] = by(key, avg_tip_percentage=_avg("tip_percentage"))
+        out[f"speed_by_{key}"] = by(key, avg_speed_mph=_avg("trip_speed_mph"))
+    sets = [
+        out[f"trip_by_{key}"].select(
+            F.lit(key).alias("grouping"),
+            *[(F.col(key) if k == key else F.lit(None).cast("int")).alias(k) for k in CALENDAR_KEYS],
+            "avg_duration_min",
+            "avg_distance",
+        )
+        for key in CALENDAR_KEYS
+    ]
+    out["trip_calendar_sets"] = sort_bounded(
+        sets[0].unionByName(sets[1]).unionByName(sets[2]), "grouping", *CALENDAR_KEYS
+    )
+    out["duration_by_day_of_month"] = by("day_of_month", avg_duration_min=_avg("trip_duration_min"))
+    out["trip_by_hour_dow_month"] = by(
+        *CALENDAR_KEYS,
+        avg_duration_s=_avg("trip_duration_s"),
+        avg_distance_per_passenger=_avg("distance_per_passenger"),
+    )
+    out["tip_amount_by_hour"] = by("hour", avg_tip_amount=_avg("tip_amount"))
+    out["tip_clamped_by_hour_dow_month"] = by(
+        *CALENDAR_KEYS, avg_tip_percentage=_avg("tip_percentage_clamped"), total_tip_amount=F.sum("sum_tip_amount")
+    )
+    totals = {"total_passengers": F.sum("sum_passenger_count"), "pickups": F.sum("trips")}
+    out["hourly_totals"] = by("hour", **totals)
+    out["calendar_totals"] = by(*CALENDAR_KEYS, **totals)
+    return out
+
+
+def zone_results(trips: DataFrame) -> dict[str, DataFrame]:
+    """Every result keyed by zone, zone pair or pickup zone and hour, from
+    one scan."""
+    zones = {"PULocationID": F.col("PULocationID"), "DOLocationID": F.col("DOLocationID")}
+    cells = _cells(
         trips,
-        ops.trip_calendar_sets,
-        ops.trip_by_hour,
-        ops.trip_by_day_of_week,
-        ops.trip_by_month,
-        ops.duration_by_day_of_month,
-        ops.trip_by_hour_dow_month,
+        {**zones, "hour": calendar_keys()["hour"]},
+        ("trip_distance", "tip_amount", "total_amount", "fare_amount", "tip_percentage_clamped", "trip_speed_mph"),
+    )
+    pair = list(zones)
+    out = {}
+    for name, zone in (("pickup", "PULocationID"), ("dropoff", "DOLocationID")):
+        counts = cells.groupBy(zone).agg(F.sum("trips").alias("count")).orderBy(F.desc("count"), zone)
+        out[f"{name}_counts"] = counts
+        out[f"top_{name}s"] = counts.limit(TOP_K)
+    ratio = F.try_divide(_avg("tip_amount"), _avg("total_amount")) * 100
+    out["tip_ratio_by_pickup"] = (
+        cells.groupBy("PULocationID").agg(ratio.alias("tip_percentage")).orderBy(F.desc("tip_percentage"), "PULocationID")
     )
+    out["fare_by_od"] = (
+        cells.groupBy(*pair).agg(_avg("fare_amount").alias("avg_fare")).orderBy(F.desc("avg_fare"), *pair)
+    )
+    out["tip_clamped_by_od"] = (
+        cells.groupBy(*pair)
+        .agg(_avg("tip_percentage_clamped").alias("avg_tip_percentage"), _avg("trip_distance").alias("avg_distance"))
+        .orderBy(F.desc("avg_tip_percentage"), *pair)
+    )
+    out["speed_by_pickup_hour"] = (
+        cells.groupBy("PULocationID", "hour")
+        .agg(_avg("trip_speed_mph").alias("avg_speed_mph"))
+        .orderBy(F.asc_nulls_first("avg_speed_mph"), "PULocationID", "hour")
+    )
+    return out
+
+
+def _pick(results: dict[str, DataFrame], *prefixes: str) -> dict[str, DataFrame]:
+    return {k: v for k, v in results.items() if k.startswith(prefixes)}
+
+
+# ---------------------------------------------------------------- sections
+
+
+def trip_analysis(trips: DataFrame) -> dict[str, DataFrame]:
+    """Average duration and distance by hour, day of week, month, day of
+    month and calendar cell: one scan."""
+    return _pick(calendar_results(trips), "trip_by_", "trip_calendar_sets", "duration_by_")
 
 
 def popular_locations(trips: DataFrame) -> dict[str, DataFrame]:
-    """Busiest pickup and dropoff zones: top 10 and full counts."""
-    return _group(trips, ops.top_pickups, ops.top_dropoffs, ops.pickup_counts, ops.dropoff_counts)
+    """Busiest pickup and dropoff zones: top 10 and full counts, one scan."""
+    return _pick(zone_results(trips), "top_", "pickup_counts", "dropoff_counts")
 
 
 def tip_analysis(trips: DataFrame) -> dict[str, DataFrame]:
-    """Tip percentages and amounts by time, place and payment type."""
-    return _group(
-        trips,
-        ops.tip_pct_by_hour,
-        ops.tip_pct_by_day_of_week,
-        ops.tip_pct_by_month,
-        ops.tip_pct_by_year_week,
-        ops.tip_pct_by_holiday,
-        ops.tip_ratio_by_pickup,
-        ops.tip_amount_by_hour,
-        ops.tip_amount_by_payment,
-        ops.tip_clamped_by_od,
-        ops.tip_clamped_by_hour_dow_month,
-        ops.tip_clamped_by_payment,
-        ops.tip_distance_corr,
-    )
+    """Tip percentages and amounts by time, place and payment type: a scan
+    for each of the two cell tables and one for each other key."""
+    return {
+        **_pick(calendar_results(trips), "tip_"),
+        **_pick(zone_results(trips), "tip_"),
+        **_group(
+            trips,
+            ops.tip_pct_by_year_week,
+            ops.tip_pct_by_holiday,
+            ops.tip_amount_by_payment,
+            ops.tip_clamped_by_payment,
+            ops.tip_distance_corr,
+        ),
+    }
 
 
 def fare_analysis(trips: DataFrame) -> dict[str, DataFrame]:
@@ -75,16 +187,11 @@ def fare_analysis(trips: DataFrame) -> dict[str, DataFrame]:
 
 def traffic_analysis(trips: DataFrame) -> dict[str, DataFrame]:
     """Trip speeds by time and zone pair, and their spread."""
-    return _group(
-        trips,
-        ops.speed_by_hour,
-        ops.speed_by_day_of_week,
-        ops.speed_by_month,
-        ops.speed_by_pickup_hour,
-        ops.speed_by_od_hour_dow_month,
-        ops.speed_spread_by_od,
-        ops.speed_by_od_week,
-    )
+    return {
+        **_pick(calendar_results(trips), "speed_"),
+        **_pick(zone_results(trips), "speed_"),
+        **_group(trips, ops.speed_by_od_hour_dow_month, ops.speed_spread_by_od, ops.speed_by_od_week),
+    }
 
 
 def demand_prediction(trips: DataFrame) -> dict[str, DataFrame]:
