@@ -78,19 +78,32 @@ def _tree_paths(x: np.ndarray, grad: np.ndarray, cuts: list[np.ndarray], names:
 
 
 def _lasso(z: np.ndarray, y: np.ndarray) -> tuple[float, np.ndarray]:
-    """Accelerated proximal gradient for L1 logistic regression."""
+    """Accelerated proximal gradient for L1 logistic regression of the rule
+    outcomes ``z`` (rows by rules, 0 or 1), each scaled by its deviation.
+
+    ``z`` is float32 and never copied: the scale is applied to the weights.
+    """
     n, d = z.shape
-    a = np.hstack([np.ones((n, 1)), z])
-    step = 4.0 * n / (np.linalg.norm(a, 2) ** 2 + 1e-9)
-    w = np.zeros(d + 1)
-    v, t = w.copy(), 1.0
+    scale = np.maximum(z.std(axis=0, dtype=np.float64), 1e-9).astype(np.float32)
+    v = np.random.default_rng(SEED).random(d).astype(np.float32)
+    largest = 1.0
+    for _ in range(30):  # power iteration for the step size
+        v = (z.T @ (z @ (v / scale))) / scale
+        largest = float(np.linalg.norm(v))
+        v /= largest
+    step = 4.0 * n / (1.1 * largest + n)
+    w0, w = 0.0, np.zeros(d)
+    v0, v, t = w0, w.copy(), 1.0
     for _ in range(STEPS):
-        p = 1 / (1 + np.exp(-np.clip(a @ v, -30, 30)))
-        u = v - step * (a.T @ (p - y)) / n
-        u[1:] = np.sign(u[1:]) * np.maximum(np.abs(u[1:]) - step * LASSO, 0)
+        p = 1 / (1 + np.exp(-np.clip(v0 + z @ (v / scale).astype(np.float32), -30, 30)))
+        error = (p - y) / n
+        u0 = v0 - step * error.sum()
+        u = v - step * (z.T @ error.astype(np.float32)) / scale
+        u = np.sign(u) * np.maximum(np.abs(u) - step * LASSO, 0)
         t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        v, w, t = u + (t - 1) / t2 * (u - w), u, t2
-    return float(w[0]), w[1:]
+        v0, v = u0 + (t - 1) / t2 * (u0 - w0), u + (t - 1) / t2 * (u - w)
+        w0, w, t = u0, u, t2
+    return float(w0), w / scale
 
 
 def learn_ensemble(names: list[str], x: list[list[float]], labels: list[int]) -> RuleEnsemble:
@@ -120,10 +133,7 @@ def learn_ensemble(names: list[str], x: list[list[float]], labels: list[int]) ->
             rules.append(rule)
     if not rules:
         return RuleEnsemble(float(np.log(share / (1 - share))), ())
-    z = np.array(masks, float).T
-    scale = z.std(axis=0)
-    intercept, w = _lasso(z / scale, y)
-    w = w / scale
+    intercept, w = _lasso(np.array(masks, np.float32).T, y)
     return RuleEnsemble(intercept, tuple((r, float(v)) for r, v in zip(rules, w) if abs(v) > 1e-6))
 
 
