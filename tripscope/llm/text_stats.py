@@ -166,9 +166,10 @@ def with_stats(docs: DataFrame) -> DataFrame:
     )
     where = {"n_lines": "l.n_lines", "n_dup_lines": "l.n_dup_lines"}
     where |= {c: f"w.{c}" for c in ("n_words", "word_chars", "n_repeat_words", "n_unique_words")}
-    return parts.select(
-        "row", F.struct(*[F.col(where.get(c, c)).alias(c) for c in COUNTS]).alias("stats")
-    )
+    stats = F.struct(*[F.col(where.get(c, c)).alias(c) for c in COUNTS])
+    # A one-element explode: a filter on the counts stays above it, instead of
+    # being pushed below with a copy of these expressions for every use.
+    return parts.select("row", F.explode(F.array(stats)).alias("stats"))
 
 
 def features(stats: str = "stats") -> dict[str, Column]:
