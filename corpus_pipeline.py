@@ -46,14 +46,14 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     is dropped, and one without secrets is unchanged."""
     columns = docs.columns
     model = secrets.train_random_model(secrets.labelled_tokens(docs))
-    found = secrets.find_secrets(docs, model)
     hit = F.size("spans") > 0
-    text = F.when(hit, secrets.redact(F.col("text"), F.col("spans"))).otherwise(F.col("row.text"))
-    changed = {"text": text}
+    found = secrets.find_secrets(docs, model).select(
+        "row", hit.alias("hit"), F.when(hit, secrets.redact(F.col("text"), F.col("spans"))).alias("new_text")
+    )
+    changed = {"text": F.when(F.col("hit"), F.col("new_text")).otherwise(F.col("row.text"))}
     if "n_chars" in columns:
-        changed["n_chars"] = F.when(hit, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(
-            F.col("row.n_chars")
-        )
+        length = F.length("new_text").cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(F.col("hit"), length).otherwise(F.col("row.n_chars"))
     return found.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in columns])
 
 
