@@ -58,13 +58,13 @@ def read_trips(
         reader = reader.options(**dict(options))
     paths = [path] if isinstance(path, str) else list(path)
     if schema is None and fmt == "json":
-        reader = reader.schema(_json_schema(spark, paths))
+        reader = reader.schema(json_schema(spark, paths))
     if schema is None and fmt in STORED_SCHEMA:
         return _conform_each_schema(spark, paths, fmt, dict(options or {}))
     return conform(reader.load(paths))
 
 
-def _json_schema(spark: SparkSession, paths: list[str]) -> StructType:
+def json_schema(spark: SparkSession, paths: list[str]) -> StructType:
     """The trip columns under the names the records use, as strings."""
     look = spark.read.text(paths).limit(JSON_LOOK)
     keys = {

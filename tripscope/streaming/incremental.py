@@ -3,25 +3,27 @@
 The trip files are a folder that grows by one file a month.  Instead of
 recomputing an analysis over every file each time, Structured Streaming
 reads only the files it has not seen and folds them into the aggregation
-state kept in the checkpoint; each trigger rewrites the (small) result table.
+state kept in the checkpoint; each trigger writes the (small) result table anew.
 
 Any analysis that is one aggregation of the trips works unchanged: the
 calendar, location, tip, fare and speed results, correlations, the per-trip
 regression, the latest trip and the source profile.  Batch only: the
 next-hour labels and the models built on them (a join of aggregated
 tables), the hourly-total model and forecast (a fit), and the holiday split
-(two chained aggregations with a distinct day count).
+and the calendar sets (two chained aggregations).
 """
 
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tripscope.schema import conform
 from tripscope.session import ensure_checkpoint_dir
+from tripscope.sources.scan import json_schema
 
 
 def read_trip_stream(
@@ -33,7 +35,7 @@ def read_trip_stream(
     """A streaming DataFrame of conformed trips from a folder of files.
 
     The stream's schema is taken from the files present at start (Parquet
-    footers only).  CSV is read as strings and cast by header name; a stream
+    footers, the first JSON records, the CSV header).  CSV is read as strings and cast by header name; a stream
     needs one fixed schema, which Spark applies by position, so every file's
     header is checked against it (``enforceSchema=false``) and a file with
     other columns or another order fails the query instead of being read
@@ -42,7 +44,7 @@ def read_trip_stream(
     reader = spark.read.format(format)
     if format.lower() == "csv":
         reader = reader.option("header", "true")
-    schema = reader.load(path).schema
+    schema = json_schema(spark, [path]) if format.lower() == "json" else reader.load(path).schema
     stream = spark.readStream.format(format).schema(schema)
     if format.lower() == "csv":
         stream = stream.option("header", "true").option("enforceSchema", "false")
@@ -51,6 +53,15 @@ def read_trip_stream(
     return conform(stream.load(path))
 
 
+def read_latest(spark: SparkSession, output_path: str, output_format: str = "parquet") -> DataFrame:
+    """The newest complete result that ``start_incremental`` wrote."""
+    files = spark.read.format(output_format).load(output_path).inputFiles()
+    versions = {int(m[1]) for f in files if (m := re.search(r"/version=(\d+)/", f))}
+    if not versions:
+        raise FileNotFoundError(f"no result in {output_path}")
+    return spark.read.format(output_format).load(os.path.join(output_path, f"version={max(versions)}"))
+
+
 def start_incremental(
     analysis,
     trips_stream: DataFrame,
@@ -60,7 +71,12 @@ def start_incremental(
     available_now: bool = True,
     output_format: str = "parquet",
 ) -> StreamingQuery:
-    """Run ``analysis`` over the stream, rewriting ``output_path`` each trigger.
+    """Run ``analysis`` over the stream; each trigger writes the result anew
+    as ``output_path/version=<batch>`` (``read_latest`` reads the newest).
+
+    An earlier version is never touched, so a crash while writing leaves the
+    last complete result in place, and the retried batch overwrites only its
+    own folder.
 
     The aggregation state and the progress through the files live under
     ``checkpoint_location`` (default: ``<spark.checkpoint.dir>/streams/<name>``,
@@ -73,7 +89,9 @@ def start_incremental(
     result = analysis(trips_stream)
 
     def write_batch(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").format(output_format).save(output_path)
+        batch.write.mode("overwrite").format(output_format).save(
+            os.path.join(output_path, f"version={_batch_id}")
+        )
 
     writer = (
         result.writeStream.queryName(name)
