@@ -29,7 +29,7 @@ from tripscope.llm.common import labelled_sample
 SAMPLE_ROWS = 3000
 SAMPLE_CHARS = 20_000
 ORDINARY_BYTES = 1024
-TOXIC_BYTES = 2048
+TOXIC_BYTES = 3072
 #: Bytes of a window (it ends at the next space) and the zstandard level.
 WINDOW = 128
 LEVEL = 13
