@@ -338,9 +338,13 @@ def fit_pii(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Field:
     a digit or an at sign, none longer than SAMPLE_CHARS (those with the
     smallest hash of their id)."""
     marked = docs.where(F.col("text").rlike("[0-9@]") & (F.length("text") <= SAMPLE_CHARS)).select(
-        F.xxhash64("doc_id").alias("h"), F.xxhash64("text").alias("t"), "text"
+        F.xxhash64("doc_id", "text").alias("h"), "text"
     )
-    texts = [r.text for r in marked.orderBy("h", "t").limit(sample_docs).collect()]
+    # Hashes alone are sorted (every task sends its smallest to the driver);
+    # then the texts of the chosen ones, a number known in advance, are read.
+    chosen = marked.select("h").distinct().orderBy("h").limit(sample_docs)
+    rows = marked.join(F.broadcast(chosen), "h").groupBy("h").agg(F.first("text").alias("text")).collect()
+    texts = [r.text for r in sorted(rows, key=lambda r: r.h)]
     return train_field(labelled_rows(texts))
 
 
