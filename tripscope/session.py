@@ -6,6 +6,7 @@ cluster, ``spark-submit`` or an existing session already sets keeps its value.
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Mapping
 
@@ -124,7 +125,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return configured
-    if not sc.master.startswith("local"):
+    if not re.match(r"local(\[|$)", sc.master):  # local-cluster has several machines' folders
         raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
     local = tempfile.mkdtemp(prefix="tripscope-checkpoint-")
     sc.setCheckpointDir(local)

@@ -68,16 +68,17 @@ def trips_from_lineitem_df(lineitem: DataFrame) -> DataFrame:
 
 
 # Parquet schema inference runs a Spark job that reads a footer; the test
-# tables are read-only, so each path's schema is inferred once per process.
-_SCHEMAS: dict[str, StructType] = {}
+# tables are read-only, so each path's schema is inferred once per application.
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
 
 
 def trips_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips for the test tables under ``sf_dir``."""
     path = os.path.join(sf_dir, "lineitem.parquet")
-    schema = _SCHEMAS.get(path)
+    key = (spark.sparkContext.applicationId, path)
+    schema = _SCHEMAS.get(key)
     if schema is None:
-        schema = _SCHEMAS[path] = spark.read.parquet(path).schema
+        schema = _SCHEMAS[key] = spark.read.parquet(path).schema
     return trips_from_lineitem_df(spark.read.schema(schema).parquet(path))
 
 
