@@ -147,8 +147,11 @@ def _pick(results: dict[str, DataFrame], *prefixes: str) -> dict[str, DataFrame]
 
 def trip_analysis(trips: DataFrame) -> dict[str, DataFrame]:
     """Average duration and distance by hour, day of week, month, day of
-    month and calendar cell: one scan."""
-    return _pick(calendar_results(trips), "trip_by_", "trip_calendar_sets", "duration_by_")
+    month and calendar cell from one scan, and by holiday from another."""
+    return {
+        **_pick(calendar_results(trips), "trip_by_", "trip_calendar_sets", "duration_by_"),
+        **_group(trips, ops.trip_by_holiday),
+    }
 
 
 def popular_locations(trips: DataFrame) -> dict[str, DataFrame]:

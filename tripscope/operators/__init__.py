@@ -48,6 +48,7 @@ from tripscope.operators.tips import (
     tip_pct_by_month,
     tip_pct_by_year_week,
     tip_ratio_by_pickup,
+    trip_by_holiday,
 )
 from tripscope.operators.trips import (
     duration_by_day_of_month,

@@ -10,7 +10,7 @@ Two tip percentages exist and are kept apart:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripscope.functions import (
@@ -143,6 +143,23 @@ def tip_pct_by_year_week(trips: DataFrame) -> DataFrame:
     )
 
 
+def holiday_days(t: DataFrame, holidays: DataFrame | None, *aggregates: Column) -> DataFrame:
+    """One row per pickup date: trips, ``aggregates`` and the holiday's name
+    (NULL on ordinary days).  A trip without a pickup time falls on no day, so
+    it is left out."""
+    per_day = (
+        t.where(pickup().isNotNull())
+        .groupBy(F.to_date(pickup()).alias("pickup_date"))
+        .agg(F.count(F.lit(1)).alias("trips"), *aggregates)
+    )
+    if holidays is None:
+        return per_day.withColumn("holiday_name", us_federal_holiday(F.col("pickup_date")))
+    one_per_date = holidays.groupBy(F.col("holiday_date").alias("pickup_date")).agg(
+        F.min("holiday_name").alias("holiday_name")
+    )
+    return per_day.join(one_per_date, "pickup_date", "left")
+
+
 def tip_pct_by_holiday(trips: DataFrame, holidays: DataFrame | None = None) -> DataFrame:
     """Tipping on holidays versus other days.
 
@@ -158,20 +175,12 @@ def tip_pct_by_holiday(trips: DataFrame, holidays: DataFrame | None = None) -> D
     cut to one name per date and joined to the per-date table, both of which
     are small.
     """
-    # A trip without a pickup time falls on no day, so it is left out.
-    t = with_measures(trips.where(pickup().isNotNull()), "tip_percentage")
-    per_day = t.groupBy(F.to_date(pickup()).alias("pickup_date")).agg(
-        F.count(F.lit(1)).alias("trips"),
+    days = holiday_days(
+        with_measures(trips, "tip_percentage"),
+        holidays,
         F.sum("tip_percentage").alias("tip_pct_sum"),
         F.count("tip_percentage").alias("tip_pct_n"),
     )
-    if holidays is None:
-        days = per_day.withColumn("holiday_name", us_federal_holiday(F.col("pickup_date")))
-    else:
-        one_per_date = holidays.groupBy(F.col("holiday_date").alias("pickup_date")).agg(
-            F.min("holiday_name").alias("holiday_name")
-        )
-        days = per_day.join(one_per_date, "pickup_date", "left")
     return (
         days.groupBy("holiday_name")
         .agg(
@@ -183,3 +192,26 @@ def tip_pct_by_holiday(trips: DataFrame, holidays: DataFrame | None = None) -> D
         )
         .transform(sort_bounded, F.col("holiday_name").asc_nulls_first())
     )
+
+
+def trip_by_holiday(trips: DataFrame, holidays: DataFrame | None = None) -> DataFrame:
+    """Average duration (minutes) and distance on holidays versus other days,
+    in the shape of ``tip_pct_by_holiday``."""
+    days = holiday_days(
+        with_measures(trips, "trip_duration_min"),
+        holidays,
+        F.sum("trip_duration_min").alias("min_sum"),
+        F.count("trip_duration_min").alias("min_n"),
+        F.sum("trip_distance").alias("mi_sum"),
+        F.count("trip_distance").alias("mi_n"),
+    )
+    return (
+        days.groupBy("holiday_name")
+        .agg(
+            F.count(F.lit(1)).alias("days"),
+            F.sum("trips").alias("trips"),
+            F.try_divide(F.sum("min_sum"), F.sum("min_n")).alias("avg_duration_min"),
+            F.try_divide(F.sum("mi_sum"), F.sum("mi_n")).alias("avg_distance"),
+        )
+        .transform(sort_bounded, F.col("holiday_name").asc_nulls_first())
+    )

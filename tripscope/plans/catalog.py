@@ -61,6 +61,7 @@ QUERY_FUNCTIONS: dict[str, TripQuery] = {
     "fare_passenger_corr": ops.fare_passenger_corr,
     "tip_pct_by_year_week": ops.tip_pct_by_year_week,
     "tip_pct_by_holiday": ops.tip_pct_by_holiday,
+    "trip_by_holiday": ops.trip_by_holiday,
     "speed_spread_by_od": ops.speed_spread_by_od,
     "speed_by_od_week": ops.speed_by_od_week,
     # demand

@@ -332,6 +332,13 @@ def oracle_sql() -> dict[str, str]:
             f"{_r('avg(tip_percentage)', 'avg_tip_percentage')} "
             "FROM f GROUP BY iso_year, iso_week"
         ),
+        "trip_by_holiday": _q(
+            "SELECT holiday_name, count(DISTINCT pickup_date) AS days, count(*) AS trips, "
+            f"{_r('avg(trip_duration_min)', 'avg_duration_min')}, {_r('avg(trip_distance)', 'avg_distance')} "
+            "FROM h GROUP BY holiday_name",
+            f",\nh AS (SELECT *, {_holiday_case('pickup_date')} AS holiday_name FROM f "
+            "WHERE pickup_date IS NOT NULL)",
+        ),
         "tip_pct_by_holiday": _q(
             "SELECT holiday_name, count(DISTINCT pickup_date) AS days, count(*) AS trips, "
             f"{_r('avg(tip_percentage)', 'avg_tip_percentage')} FROM h GROUP BY holiday_name",
