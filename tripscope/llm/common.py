@@ -23,11 +23,6 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def let2(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``let`` that skips ``body`` (result NULL) where ``value`` is NULL."""
-    return F.transform(F.filter(F.array(value), lambda v: v.isNotNull()), body)[0]
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table through Spark's own reader (any file system)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -8,8 +8,8 @@ cut into tiles, a tile pair is skipped when the counts differ beyond the
 radius, and the others are compared by exclusive-or and bit counts.  A group
 too large for one task is split again by the bands of its remaining bits, and
 a dense one into tile pairs of their own tasks, which loses no link.  A group
-returns a spanning forest of its links, never
-all pairs, and the forests are joined to components.
+returns a spanning forest of its links, never all pairs, and the forests are
+joined to components.
 """
 
 from __future__ import annotations
