@@ -191,6 +191,20 @@ def test_keep_one_of_each_group(spark):
     assert simhash.near_duplicates(empty_docs(spark)).count() == 0
 
 
+def test_keep_one_names_groups_by_themselves_not_by_an_id(spark):
+    rng = random.Random(11)
+    a, b, c, d, e, f = (" ".join(f"{rng.getrandbits(40):x}" for _ in range(40)) for _ in range(6))
+    rows = [
+        (None, a), (None, b), (None, b), (None, c),  # unrelated texts without an id, one of them repeated
+        (5, d), (9, d), (5, e), (12, e),  # one id with two texts, each the smallest of its group
+        (None, f), (7, f),  # an id is kept before none
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert len({r.component for r in simhash.near_duplicates(docs).collect()}) == 6
+    kept = sorted(((r.doc_id or 0, r.text) for r in simhash.keep_one(docs).collect()))
+    assert kept == sorted([(0, a), (0, b), (0, c), (5, d), (5, e), (7, f)])
+
+
 # -- personal data ----------------------------------------------------------------
 
 

@@ -267,9 +267,11 @@ def fingerprint_links(nodes: DataFrame, radius: int = RADIUS, limit: int = GROUP
 
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, h, fp, component_id) for every row of ``docs``.
+    """(doc_id, h, fp, component, component_id) for every row of ``docs``.
 
-    component_id: the smallest doc_id that links of at most ``radius``
+    component: the smallest fingerprint of the group, which names it; ids may
+    be null or repeated, so component_id does not.  component_id: the smallest
+    doc_id that links of at most ``radius``
     differing bits reach, the row's own included (null if all of them are
     null).  Null and wordless texts have fingerprint zero and link like any
     other; repeated rows share a component.  An empty table gives no rows.
@@ -281,23 +283,21 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, radius: int = R
         "fp", "first", F.coalesce("component", "fp").alias("component")
     )
     heads = labelled.groupBy("component").agg(F.min("first").alias("component_id"))
-    by_print = labelled.join(heads, "component").select("fp", "component_id")
-    return prints.join(by_print, "fp").select("doc_id", "h", "fp", "component_id")
+    by_print = labelled.join(heads, "component").select("fp", "component", "component_id")
+    return prints.join(by_print, "fp").select("doc_id", "h", "fp", "component", "component_id")
 
 
 def keep_one(docs: DataFrame, width: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` with one row of each near-duplicate group: that
-    with the component's smallest doc_id (of several texts under that id, the
-    one with the smallest hash; of repeated rows, any one)."""
+    with the smallest doc_id, null ones last (of several texts under that id,
+    the one with the smallest hash; of repeated rows, any one)."""
     rows = stored(near_duplicates(docs, width, radius), "near-duplicates")
     heads = (
-        rows.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("component_id", "doc_id", "h")
+        rows.groupBy("component", "doc_id", "h")
         .agg(F.count("*").alias("copies"))
-        .groupBy("component_id", "doc_id")
-        .agg(F.min(F.struct("h", "copies")).alias("m"))
-        .select(F.col("doc_id").alias("kept_id"), F.col("m.h").alias("kept_h"), F.col("m.copies").alias("copies"))
-        .distinct()
+        .groupBy("component")
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h", "copies")).alias("m"))
+        .select(F.col("m.doc_id").alias("kept_id"), F.col("m.h").alias("kept_h"), F.col("m.copies").alias("copies"))
     )
     kept = docs.select(F.struct("*").alias("row")).join(
         heads,
