@@ -395,6 +395,26 @@ def test_whole_items_in_documents_are_found(spark):
     assert whole and whole <= got
 
 
+def test_items_that_repeat_themselves_are_found(spark):
+    line = "row your boat gently down the stream once more now"
+    words = (line + " " + line).split()
+    items = [(1, " ".join([line] * 10)), (2, "ha " * 40), (3, "one two three four five six seven eight nine ten")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame(
+        [
+            (1, "so: " + items[0][1] + " end"),
+            (2, "x " + items[1][1]),
+            (3, "x " + " ".join(words[:7]) + " y"),
+            (4, "a " + " ".join(words) + " b"),  # 20 of the 100 words
+        ],
+        "doc_id long, text string",
+    )
+    found = {(r.doc_id, r.item_id): r for r in decontamination.contaminated_pairs(docs, benchmark).collect()}
+    assert sorted(found) == [(1, 1), (2, 2)]
+    assert found[1, 1].coverage == found[2, 2].coverage == 1.0
+    assert sorted(r.doc_id for r in decontamination.drop_contaminated(docs, benchmark).collect()) == [3, 4]
+
+
 # -- compression distance ----------------------------------------------------------
 
 

@@ -89,19 +89,21 @@ class BenchmarkIndex:
                 self.ids.append(item_id)
                 self.items.append(tokens)
                 self.least.append(min(MIN_MATCH, len(tokens)))
-        # For each seed length: sorted seed hashes and the items that hold them.
-        self.seeds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        # For each seed length: sorted seed hashes, the items that hold them,
+        # and at how many places of the item.
+        self.seeds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
         for size in sorted(set(self.least)):
-            keys, owners = [], []
+            keys, owners, times = [], [], []
             for k, tokens in enumerate(self.items):
                 if self.least[k] == size:
-                    h = np.unique(self.hashes(np.array(tokens, np.uint64), size))
+                    h, n = np.unique(self.hashes(np.array(tokens, np.uint64), size), return_counts=True)
                     keys.append(h)
                     owners.append(np.full(len(h), k))
+                    times.append(n)
             key, owner = np.concatenate(keys), np.concatenate(owners)
             order = np.argsort(key, kind="stable")
             distinct, first = np.unique(key[order], return_index=True)
-            self.seeds[size] = (distinct, np.append(first, len(key)), owner[order])
+            self.seeds[size] = (distinct, np.append(first, len(key)), owner[order], np.concatenate(times)[order])
 
     @staticmethod
     def hashes(tokens: np.ndarray, size: int) -> np.ndarray:
@@ -118,7 +120,7 @@ class BenchmarkIndex:
         get = self.vocabulary.get
         tokens = np.array([get(w, 0) for w in words(text)], np.uint64)
         out = []
-        for size, (keys, first, owner) in self.seeds.items():
+        for size, (keys, first, owner, times) in self.seeds.items():
             known = np.flatnonzero(np.convolve(tokens > 0, np.ones(size, int), "valid") == size) if len(tokens) >= size else ()
             if not len(known):
                 continue
@@ -128,14 +130,15 @@ class BenchmarkIndex:
             places, at = known[hit], at[hit]
             if not len(places):
                 continue
-            # How many different seeds of each item occur: a bound on coverage.
+            # At how many places of each item a seed occurs that the text holds: a bound on coverage.
             seen = np.unique(at)
             counts = first[seen + 1] - first[seen]
-            holders = owner[np.concatenate([np.arange(first[s], first[s] + c) for s, c in zip(seen, counts)])]
-            item, n_seeds = np.unique(holders, return_counts=True)
-            for k, n in zip(item.tolist(), n_seeds.tolist()):
+            held = np.concatenate([np.arange(first[s], first[s] + c) for s, c in zip(seen, counts)])
+            item, inverse = np.unique(owner[held], return_inverse=True)
+            n_places = np.bincount(inverse, weights=times[held]).astype(np.int64)
+            for k, n in zip(item.tolist(), n_places.tolist()):
                 need = MIN_COVERAGE * len(self.items[k])
-                if n * size < need:  # each seed marks at most ``size`` words
+                if n * size < need:  # each place marks at most ``size`` words
                     continue
                 mine = np.isin(at, [s for s, c in zip(seen.tolist(), counts.tolist()) if k in owner[first[s] : first[s] + c]])
                 own = places[mine]
