@@ -281,6 +281,34 @@ def test_field_adds_what_the_patterns_miss(spark):
     assert pii.find_pii(awkward_docs(spark, extra=True), pii.fit_pii(empty_docs(spark))).count() == len(awkward_texts()) + 4
 
 
+def test_every_word_is_decoded(spark):
+    field = pii.fit_pii(table(spark, SF, "documents"))
+    plain = "we met and talked for a while in the old town hall and nobody minded the rain at all "
+    rows, wanted = [], {}
+    for k, sentence in enumerate(pii.LABELLED):
+        text = re.sub(r"\[(\w+) ([^\]]*)\]", r"\2", sentence)
+        rows.append((k, plain + text + " " + plain))
+        m = re.search(r"\[(\w+) ([^\]]*)\]", sentence)
+        if m:
+            # the fixed patterns' own part of "10.0.0.1/24" stands for the whole
+            base = [(pii.KINDS[kind], a, b) for a, kind, b in pii.base_spans(rows[-1][1])]
+            wanted[k] = next(iter(base), (m[1], len(plain) + m.start(), len(plain) + m.start() + len(m[2])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: [(pii.NAMES[s.kind].removeprefix("crf_"), s.start, s.end) for s in r.spans]
+             for r in pii.find_pii(docs, field).select("row.doc_id", "spans").collect()}
+    assert {k: w for k, w in wanted.items() if w not in found[k]} == {}
+
+    def whole(text):  # Viterbi over every word at once
+        words = [m.span() for m in re.finditer(r"\S+", text)]
+        tags = field.decode([pii.word_features([text[a:b] for a, b in words])])[0] if words else []
+        return [(w, pii.TAGS[t]) for w, t in zip(words, tags) if t]
+
+    texts = [t or "" for t in awkward_texts() if len(t or "") < 5000] + [t for _, t in rows]
+    texts += [r.text for r in table(spark, SF, "documents").limit(60).collect()]
+    for text, runs in zip(texts, pii.Tagger(field).chunks(texts)):
+        assert [(w, pii.TAGS[t]) for words, tags in runs for w, t in zip(words, tags) if t] == whole(text)
+
+
 # -- token counts -----------------------------------------------------------------
 
 

@@ -3,10 +3,11 @@ over word shapes for what the patterns miss.
 
 The field tags words O, B-kind or I-kind.  It is trained on the driver from a
 small labelled table (the fixed sentences below and at most SAMPLE_DOCS
-documents tagged by the patterns) and decoded by Viterbi over numpy batches.
-A sequence is a maximal run of words of which none is further than REACH
-words from one with a digit or an at sign; words outside every sequence have
-no mark that any kind needs and stay O.
+documents tagged by the patterns) and decoded over whole texts.  A word's
+score depends on three shapes alone, so each triple of shapes is scored once;
+a word that is O on every best path, by a bound over all its neighbours' tags,
+cuts the text, and Viterbi runs over numpy batches of what lies between.  The
+result is that of Viterbi over every word.
 """
 
 from __future__ import annotations
@@ -25,12 +26,17 @@ KINDS = ("email", "ip", "card", "phone")
 NAMES = KINDS + tuple(f"crf_{k}" for k in KINDS)
 SAMPLE_DOCS = 800
 SAMPLE_CHARS = 20_000
+ORDINARY = 300
+#: Training sequences hold the words this near to one with a digit or an at sign.
 REACH = 2
 #: Feature weights are hashed to this many rows.
 ROWS = 1 << 12
 EPOCHS = 60
 RIDGE = 1e-3
 BATCH_CELLS = 1 << 16
+#: Texts are decoded together up to so many characters, and so many distinct words are remembered.
+CHUNK_CHARS = 2_000_000
+KNOWN_WORDS = 1 << 18
 
 # Fixed patterns of the contract.  A match may start only where the scan can
 # stand after a failure, so the look-behinds change no match; they keep long
@@ -121,11 +127,15 @@ TAGS = ("O",) + tuple(f"{p}-{k}" for k in KINDS for p in "BI")
 _SHAPE = str.maketrans(
     {**{c: "d" for c in "0123456789"}, **{chr(c): "x" for c in range(97, 123)}, **{chr(c): "X" for c in range(65, 91)}}
 )
+_LETTERS = re.compile("([xX])\\1+")
 
 
 def shape(word: str) -> tuple[str, str]:
     """The word's shape with run lengths (to 9 and more), and without."""
-    mapped = word.translate(_SHAPE)
+    return _shape(word.translate(_SHAPE))
+
+
+def _shape(mapped: str) -> tuple[str, str]:
     long, short = [], []
     k = 0
     while k < len(mapped):
@@ -140,21 +150,47 @@ def shape(word: str) -> tuple[str, str]:
     return "".join(long[:24]), "".join(short[:24])
 
 
+def _features(before: str, long: str, short: str, digits: int, after: str) -> list[int]:
+    names = (
+        f"a{long}", f"b{short}", f"c{digits}", f"d{before}", f"e{after}",
+        f"f{short}|{after}", f"g{before}|{short}",
+    )
+    return [zlib.crc32(n.encode("utf-8", "replace")) % ROWS for n in names]
+
+
 def word_features(words: list[str]) -> np.ndarray:
     """(words, 7) hashed feature rows: own shapes, size, neighbours' shapes."""
     shapes = [("^", "^"), *map(shape, words), ("$", "$")]
     out = np.empty((len(words), 7), np.int32)
     for k, word in enumerate(words):
         (_, before), (long, short), (_, after) = shapes[k], shapes[k + 1], shapes[k + 2]
-        digits = sum(c == "d" for c in word.translate(_SHAPE))
-        names = (
-            f"a{long}", f"b{short}", f"c{min(digits, 20)}", f"d{before}", f"e{after}",
-            f"f{short}|{after}", f"g{before}|{short}",
-        )
-        out[k] = [zlib.crc32(n.encode("utf-8", "replace")) % ROWS for n in names]
+        out[k] = _features(before, long, short, min(word.translate(_SHAPE).count("d"), 20), after)
     return out
 
 
+class _Shapes(dict):
+    """Word to the number of its shape, worked out at its first use."""
+
+    def __init__(self):
+        super().__init__()
+        self.shapes = [("^", "^", 0), ("$", "$", 0)]  # before and after a text
+        self.numbers: dict[tuple[str, str, int], int] = {}
+        self.forms: dict[str, int] = {}
+
+    def __missing__(self, word: str) -> int:
+        # Runs of letters have no length in a shape, so most words share a form.
+        form = _LETTERS.sub(r"\1", word.translate(_SHAPE))
+        number = self.forms.get(form)
+        if number is None:
+            own = (*_shape(form), min(form.count("d"), 20))
+            number = self.numbers.setdefault(own, len(self.shapes))
+            if number == len(self.shapes):
+                self.shapes.append(own)
+            self.forms[form] = number
+        self[word] = number
+        return number
+
+
 @dataclass(frozen=True)
 class Field:
     emission: np.ndarray  # (ROWS, tags)
@@ -162,8 +198,15 @@ class Field:
     start: np.ndarray  # (tags,)
 
     def decode(self, sequences: list[np.ndarray]) -> list[np.ndarray]:
-        """Best tag of every word of every sequence: Viterbi over batches of
-        sequences of like length."""
+        """Best tag of every word of every sequence of feature rows."""
+        scores = [self.emission[s].sum(axis=1) for s in sequences]
+        for own in scores:
+            own[:1] += self.start
+        return self.best(scores)
+
+    def best(self, sequences: list[np.ndarray]) -> list[np.ndarray]:
+        """Best tags for the (words, tags) scores of every sequence, what its
+        ends add included: Viterbi over batches of sequences of like length."""
         out: list[np.ndarray] = [np.empty(0, np.int8)] * len(sequences)
         order = sorted(range(len(sequences)), key=lambda k: len(sequences[k]))
         at = 0
@@ -177,9 +220,9 @@ class Field:
             sizes = np.array([len(sequences[k]) for k in part])
             scores = np.zeros((len(part), longest, len(TAGS)), np.float32)
             for row, k in enumerate(part):
-                scores[row, : sizes[row]] = self.emission[sequences[k]].sum(axis=1)
+                scores[row, : sizes[row]] = sequences[k]
             back = np.zeros((len(part), longest, len(TAGS)), np.int8)
-            best = self.start + scores[:, 0]
+            best = scores[:, 0]
             for t in range(1, longest):
                 step = best[:, :, None] + self.transition[None]
                 back[:, t] = step.argmax(axis=1)
@@ -270,7 +313,8 @@ def train_field(rows: list[tuple[list[str], list[int]]]) -> Field:
 
 
 def sequences_of(text: str) -> list[list[tuple[int, int]]]:
-    """The word spans of each sequence of a text."""
+    """The word spans of each training sequence of a text: maximal runs of
+    words no further than REACH from one with a mark."""
     if not _MARK.search(text):
         return []
     spans = [m.span() for m in _WORD.finditer(text)]
@@ -302,9 +346,25 @@ def _tags(words: list[tuple[int, int]], spans: list[tuple[int, int, int]]) -> li
     return out
 
 
+def _ordinary(text: str, marked: set, known: _Shapes, seen: set) -> list[list[tuple[int, int]]]:
+    """Seven words around each word outside ``marked`` with a triple of shapes
+    that is not in ``seen``, until that holds ORDINARY."""
+    spans = [m.span() for m in _WORD.finditer(text)] if len(seen) < ORDINARY else []
+    ids = [0, *[known[text[a:b]] for a, b in spans], 1]
+    out = []
+    for k, span in enumerate(spans):
+        triple = tuple(ids[k : k + 3])
+        if span not in marked and triple not in seen and len(seen) < ORDINARY:
+            seen.add(triple)
+            out.append(spans[max(k - 3, 0) : k + 4])
+    return out
+
+
 def labelled_rows(texts: list[str]) -> list[tuple[list[str], list[int]]]:
-    """The training table: the fixed sentences and the pattern-tagged
-    sequences of ``texts``, each cut into at most 40 words."""
+    """The training table: the fixed sentences, the pattern-tagged sequences
+    of ``texts``, each cut into at most 40 words, and around the first
+    ORDINARY different triples of shapes of their other words the seven words
+    there, as most words lie far from marks."""
     rows = []
     mark = re.compile(r"\[(\w+) ([^\]]*)\]")
     for sentence in LABELLED:
@@ -320,16 +380,18 @@ def labelled_rows(texts: list[str]) -> list[tuple[list[str], list[int]]]:
                 at = m.end()
         rows.append((words, own))
     rows = rows * 4
+    known, seen = _Shapes(), set()
     for text in texts:
         spans = base_spans(text)
         flat = []
         for s in spans:  # overlapping kinds: the first one tags the words
             if not flat or s[0] >= flat[-1][2]:
                 flat.append(s)
-        for words in sequences_of(text):
+        marked = sequences_of(text)
+        for words in [*marked, *_ordinary(text, {w for own in marked for w in own}, known, seen)]:
             own = _tags(words, flat)
-            for k in range(0, len(words), 40):
-                rows.append(([text[a:b] for a, b in words[k : k + 40]], own[k : k + 40]))
+            for c in range(0, len(words), 40):
+                rows.append(([text[a:b] for a, b in words[c : c + 40]], own[c : c + 40]))
     return rows
 
 
@@ -348,6 +410,103 @@ def fit_pii(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Field:
     return train_field(labelled_rows(texts))
 
 
+class Tagger:
+    """Decodes every word of whole texts."""
+
+    def __init__(self, field: Field):
+        self.field = field
+        b, i = [k for k, t in enumerate(TAGS) if t[0] == "B"], [k for k, t in enumerate(TAGS) if t[0] == "I"]
+        self.b, self.i = b, i
+        t = field.transition.astype(np.float64)
+        # What a path gains at least if its tag j > 0 of one word becomes O: before
+        # the word; after it, where the next tag stays; and after it, where the next
+        # tag I-k becomes B-k (which the word after that may follow less well).
+        self.before = np.minimum((t[:, :1] - t[:, 1:]).min(axis=0), field.start[0] - field.start[1:])
+        stays = [0, *b]
+        self.stays = np.minimum((t[0, stays] - t[1:, stays]).min(axis=1), 0.0)
+        follow = np.minimum((t[b] - t[i]).min(axis=1), 0.0)
+        self.turns = t[0, b] - t[1:, i] + follow
+        self.reset()
+
+    def reset(self) -> None:
+        self.words = _Shapes()
+        self.rows: dict[int, int] = {}
+        self.scores = np.empty((0, len(TAGS)), np.float32)
+        self.easy, self.need, self.ratio = np.empty(0, bool), np.empty((0, len(KINDS))), np.empty((0, len(KINDS)))
+
+    def _rows(self, keys: np.ndarray) -> np.ndarray:
+        """Row of each distinct triple of shapes in the score tables."""
+        new = [k for k in keys.tolist() if k not in self.rows]
+        if new:
+            shapes, low = self.words.shapes, (1 << 21) - 1
+            feats = [
+                _features(shapes[k >> 42][1], *shapes[k >> 21 & low], shapes[k & low][1]) for k in new
+            ]
+            for k in new:
+                self.rows[k] = len(self.rows)
+            scores = self.field.emission[np.array(feats)].sum(axis=1)
+            wide = scores.astype(np.float64)
+            gain = wide[:, :1] - wide[:, 1:] + self.before
+            least = 1e-2  # above what rounding adds up to
+            easy = (gain + self.stays > least).all(axis=1)
+            need = (least - gain[:, :, None] - self.turns).max(axis=1)
+            self.scores = np.concatenate([self.scores, scores])
+            self.easy = np.concatenate([self.easy, easy])
+            self.need = np.concatenate([self.need, need])
+            self.ratio = np.concatenate([self.ratio, wide[:, self.b] - wide[:, self.i]])
+        return np.array([self.rows[k] for k in keys.tolist()], np.int64)
+
+    def tagged(self, texts: list[str]) -> list[list[tuple[list[tuple[int, int]], np.ndarray]]]:
+        """For each text the runs of words (spans, tags) that hold a tag other than O."""
+        if len(self.words) > KNOWN_WORDS:
+            self.reset()
+        ids: list[int] = []
+        for text in texts:
+            ids.append(0)
+            ids.extend(map(self.words.__getitem__, text.split()))
+            ids.append(1)
+        shapes = np.array(ids, np.int64)
+        at = np.flatnonzero(shapes > 1)
+        out: list[list[tuple[list[tuple[int, int]], np.ndarray]]] = [[] for _ in texts]
+        if not len(at):
+            return out
+        keys, inverse = np.unique(shapes[at - 1] << 42 | shapes[at] << 21 | shapes[at + 1], return_inverse=True)
+        row = self._rows(keys)[inverse]
+        first, last = shapes[at - 1] == 0, shapes[at + 1] == 1
+        sure = self.easy[row]
+        sure[:-1] &= last[:-1] | (self.ratio[row[1:]] > self.need[row[:-1]]).all(axis=1)
+        begins = np.flatnonzero(~sure & (first | np.concatenate(([True], sure[:-1]))))
+        ends = np.flatnonzero(~sure & (last | np.concatenate((sure[1:], [True])))) + 1
+        parts = []
+        for a, b in zip(begins.tolist(), ends.tolist()):
+            own = self.scores[row[a:b]]
+            own[0] += self.field.start if first[a] else self.field.transition[0]
+            if not last[b - 1]:
+                own[-1] += self.field.transition[:, 0]
+            parts.append(own)
+        owner = np.cumsum(shapes == 0)[at] - 1
+        spans, of = [], -1
+        for a, b, tags in zip(begins.tolist(), ends.tolist(), self.field.best(parts)):
+            if tags.any():
+                if owner[a] != of:
+                    of = int(owner[a])
+                    spans = [m.span() for m in _WORD.finditer(texts[of])]
+                    offset = int(np.searchsorted(owner, of))
+                out[of].append((spans[a - offset : b - offset], tags))
+        return out
+
+    def chunks(self, texts: list[str]) -> Iterator[list[tuple[list[tuple[int, int]], np.ndarray]]]:
+        """``tagged`` of every text, a bounded number of characters (or one text) at a time."""
+        at = 0
+        while at < len(texts):
+            end, chars = at + 1, len(texts[at])
+            while end < len(texts) and chars + len(texts[end]) <= CHUNK_CHARS:
+                chars += len(texts[end])
+                end += 1
+            yield from self.tagged(texts[at:end])
+            at = end
+
+
 def _added(text: str, words: list[tuple[int, int]], tags: np.ndarray, base: list[tuple[int, int, int]]) -> list:
     """Spans that the field tags, without edge punctuation, apart from ``base``."""
     out = []
@@ -387,19 +546,15 @@ def pii_spans(text: Column, field: Field) -> Column:
     none.  Base spans are never removed."""
 
     def scan(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        tagger = Tagger(field)
         for texts in parts:
             texts = [t or "" for t in texts]
-            base = [base_spans(t) for t in texts]
-            places = [sequences_of(t) for t in texts]
-            feats = [
-                word_features([t[a:b] for a, b in words]) for t, own in zip(texts, places) for words in own
-            ]
-            tags = iter(field.decode(feats))
             out = []
-            for t, own, found in zip(texts, places, base):
-                spans = list(found)
-                for words in own:
-                    spans += _added(t, words, next(tags), found)
+            for t, runs in zip(texts, tagger.chunks(texts)):
+                base = base_spans(t)
+                spans = list(base)
+                for words, tags in runs:
+                    spans += _added(t, words, tags, base)
                 out.append([{"start": a, "kind": k, "end": b} for a, k, b in sorted(spans)])
             yield pd.Series(out, dtype=object)
 
