@@ -1,6 +1,7 @@
 """Scans in several formats, the schema check, sinks and the batch jobs."""
 
 import glob
+import json
 import os
 
 import pytest
@@ -146,3 +147,35 @@ def test_csv_files_with_other_column_orders_are_refused(spark, tmp_dir):
     write_single_csv(t.select(*reversed(t.columns)), os.path.join(tmp_dir, "b"))
     with pytest.raises(Exception, match="(?i)header|schema"):
         read_trips(spark, [os.path.join(tmp_dir, "a"), os.path.join(tmp_dir, "b")], "csv").collect()
+
+
+def _write_json(folder, name, records):
+    with open(os.path.join(folder, name), "w") as f:
+        f.write("".join(json.dumps(r) + "\n" for r in records))
+
+
+def test_json_keys_of_later_files_in_any_case(spark, tmp_dir):
+    from tripscope.streaming.incremental import read_trip_stream
+
+    record = {c: "1" for c in REQUIRED_COLUMNS} | {"PULocationID": 5}
+    _write_json(tmp_dir, "a.json", [record] * 1500)  # more than any look at the first records
+    later = {k.lower(): v for k, v in record.items()} | {"pulocationid": 7, "AIRPORT_FEE": 2.5}
+    _write_json(tmp_dir, "b.json", [later, record | {"PULocationID": None, "pulocationid": 9}])
+    back = read_trips(spark, tmp_dir, "json")
+    want = {5: 1500, 7: 1, 9: 1}
+    assert {r.PULocationID: r["count"] for r in back.groupBy("PULocationID").count().collect()} == want
+    assert [r.airport_fee for r in back.where("PULocationID = 7").collect()] == [2.5]
+    stream = read_trip_stream(spark, tmp_dir, "json").groupBy("PULocationID").count()
+    query = stream.writeStream.format("memory").queryName("json_case").outputMode("complete").trigger(availableNow=True).start()
+    query.awaitTermination(60)
+    assert {r.PULocationID: r["count"] for r in spark.table("json_case").collect()} == want
+
+
+def test_json_required_key_beyond_the_first_records(spark, tmp_dir):
+    record = {c: "1" for c in REQUIRED_COLUMNS}
+    short = {k: v for k, v in record.items() if k != "tip_amount"}
+    _write_json(tmp_dir, "a.json", [short] * 1500)
+    with pytest.raises(TripSchemaError, match="tip_amount"):
+        read_trips(spark, tmp_dir, "json")
+    _write_json(tmp_dir, "b.json", [record])  # a null is a key left out: only the folder as a whole must hold it
+    assert read_trips(spark, tmp_dir, "json").where("tip_amount = 1").count() == 1

@@ -9,9 +9,10 @@
 * CSV: read with a header and *without* ``inferSchema`` (inference is a
   second full pass over the data), as strings, then conformed by name with
   ``try_cast``; every file's header must match the first one's;
-* JSON: keys are matched to TRIP_SCHEMA in any case from a look at the first
-  ``JSON_LOOK`` records (no inference pass), read as strings and conformed; a
-  required key that none of them holds is an error.
+* JSON: keys are matched to TRIP_SCHEMA in any case, by one distributed pass
+  over the keys of all records; values are read as strings and conformed.
+  Where a key has several spellings, records are matched one by one in any
+  case; a required key that no record holds is an error.
 """
 
 from __future__ import annotations
@@ -25,7 +26,6 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tripscope.schema import REQUIRED_COLUMNS, TRIP_SCHEMA, TripSchemaError, conform
 
-JSON_LOOK = 1000
 STORED_SCHEMA = ("parquet", "orc")
 
 
@@ -58,23 +58,54 @@ def read_trips(
         reader = reader.options(**dict(options))
     paths = [path] if isinstance(path, str) else list(path)
     if schema is None and fmt == "json":
-        reader = reader.schema(json_schema(spark, paths))
+        given = dict(options or {})
+        names = json_names(spark, paths, given)
+        if any(len(own) > 1 for own in names.values()):
+            return conform(json_in_any_case(_json_text(spark.read, given).load(paths), given))
+        fields = [StructField(next(iter(own), name), StringType()) for name, own in names.items()]
+        reader = reader.schema(StructType(fields))
     if schema is None and fmt in STORED_SCHEMA:
         return _conform_each_schema(spark, paths, fmt, dict(options or {}))
     return conform(reader.load(paths))
 
 
-def json_schema(spark: SparkSession, paths: list[str]) -> StructType:
-    """The trip columns under the names the records use, as strings."""
-    look = spark.read.text(paths).limit(JSON_LOOK)
-    keys = {
-        r[0] for r in look.select(F.explode(F.json_object_keys("value"))).distinct().collect()
-    }
-    names = {k.lower(): k for k in sorted(keys)}
-    missing = [c for c in REQUIRED_COLUMNS if c.lower() not in names]
-    if keys and missing:
+def _json_text(reader, options: Mapping[str, str]):
+    """``reader`` (batch or stream) for the records of JSON files as text."""
+    whole = any(k.lower() == "multiline" and str(v).lower() == "true" for k, v in options.items())
+    return reader.format("text").options(**dict(options)).option("wholetext", str(whole).lower())
+
+
+def json_names(spark: SparkSession, paths: list[str], options: Mapping[str, str] | None = None) -> dict[str, list[str]]:
+    """Every spelling of each trip column among the keys of all records; only
+    these names reach the driver.  A required key that no record holds is an
+    error; one file may lack it, as writers leave out keys that are null."""
+    wanted = [f.name.lower() for f in TRIP_SCHEMA.fields]
+    records = _json_text(spark.read, options or {}).load(paths)
+    keys = records.select(F.explode(F.json_object_keys("value")).alias("key"))
+    # None stands for the keys of other columns.
+    found = keys.select(F.when(F.lower("key").isin(wanted), F.col("key")).alias("key")).distinct().collect()
+    names = sorted(r.key for r in found if r.key is not None)
+    present = {k.lower() for k in names}
+    missing = [c for c in REQUIRED_COLUMNS if c.lower() not in present]
+    if found and missing:
         raise TripSchemaError(f"JSON records lack required columns: {missing}")
-    return StructType([StructField(names.get(f.name.lower(), f.name), StringType()) for f in TRIP_SCHEMA.fields])
+    return {f.name: [k for k in names if k.lower() == f.name.lower()] for f in TRIP_SCHEMA.fields}
+
+
+def json_in_any_case(records: DataFrame, options: Mapping[str, str] | None = None) -> DataFrame:
+    """The trip columns, as strings, of JSON ``records`` (value) whose keys may
+    be spelt in any case, each record on its own; of several spellings in one
+    record, the first that is not null."""
+    keys = F.from_json("value", "map<string,string>", dict(options or {}))
+
+    def column(name: str):
+        other = F.filter(
+            F.map_entries("record"), lambda e: (F.lower(e["key"]) == name.lower()) & e["value"].isNotNull()
+        )
+        return F.coalesce(F.try_element_at("record", F.lit(name)), F.get(other, F.lit(0))["value"]).alias(name)
+
+    rows = records.where(F.trim("value") != "").select(keys.alias("record"))
+    return rows.select(*[column(f.name) for f in TRIP_SCHEMA.fields])
 
 
 def _conform_each_schema(spark: SparkSession, paths: list[str], fmt: str, options: dict) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tripscope.schema import conform
 from tripscope.session import ensure_checkpoint_dir
-from tripscope.sources.scan import json_schema
+from tripscope.sources.scan import json_in_any_case, json_names
 
 
 def read_trip_stream(
@@ -35,16 +35,24 @@ def read_trip_stream(
     """A streaming DataFrame of conformed trips from a folder of files.
 
     The stream's schema is taken from the files present at start (Parquet
-    footers, the first JSON records, the CSV header).  CSV is read as strings and cast by header name; a stream
+    footers, the CSV header).  JSON keys are matched in any case in every
+    record, of later files too; required keys must occur in the files present
+    at start.  CSV is read as strings and cast by header name; a stream
     needs one fixed schema, which Spark applies by position, so every file's
     header is checked against it (``enforceSchema=false``) and a file with
     other columns or another order fails the query instead of being read
     into the wrong columns.
     """
+    if format.lower() == "json":
+        json_names(spark, [path])
+        text = spark.readStream.format("text")
+        if max_files_per_trigger:
+            text = text.option("maxFilesPerTrigger", str(max_files_per_trigger))
+        return conform(json_in_any_case(text.load(path)))
     reader = spark.read.format(format)
     if format.lower() == "csv":
         reader = reader.option("header", "true")
-    schema = json_schema(spark, [path]) if format.lower() == "json" else reader.load(path).schema
+    schema = reader.load(path).schema
     stream = spark.readStream.format(format).schema(schema)
     if format.lower() == "csv":
         stream = stream.option("header", "true").option("enforceSchema", "false")
