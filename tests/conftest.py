@@ -8,9 +8,6 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 if ROOT not in sys.path:
     sys.path.insert(0, ROOT)
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_ORACLE = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -41,6 +38,7 @@ def tmp_dir():
 
 @pytest.fixture(scope="session")
 def trips_small(spark):
+    from helpers import SF_SMALL
     from tripscope.sources import trips_from_lineitem
 
     return trips_from_lineitem(spark, SF_SMALL)

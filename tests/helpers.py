@@ -1,9 +1,12 @@
-"""Hand-made trips for the rule tests."""
+"""Table folders and hand-made trips for the tests."""
 
 import datetime as dt
 
 from tripscope.schema import REQUIRED_COLUMNS, TRIP_SCHEMA, conform
 
+SF_SMALL = "/root/testdata/sf0.001"
+SF_ORACLE = "/root/testdata/sf0.01"
+
 _FIELDS = {f.name: f for f in TRIP_SCHEMA.fields}
 _DEFAULTS = {
     "VendorID": 1,

@@ -3,10 +3,9 @@
 import pytest
 
 import __spark_entry__ as entry
+from helpers import SF_ORACLE
 from oracle_check import compare, duckdb_connection
 
-from conftest import SF_ORACLE
-
 from tripscope.plans import catalog
 
 KEYS = sorted(catalog.queries())

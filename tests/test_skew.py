@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.join(ROOT, "tools"))
 
 from plan_report import shuffle_by_description  # noqa: E402
 
-from conftest import SF_SMALL  # noqa: E402
+from helpers import SF_SMALL  # noqa: E402
 
 QUERIES = {  # name -> most rows one task may write to shuffle
     "pickup_counts": 20,
