@@ -1,0 +1,304 @@
+"""Byte-level BPE, importance resampling and periodic runs, against brute force."""
+
+import collections
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import regex
+import tiktoken
+from pyspark.sql import functions as F
+
+from fixtures import awkward_docs, awkward_texts, empty_docs
+from tripscope.llm import bpe, importance, periodic, queries
+from tripscope.llm.common import table
+
+SF = "/root/testdata/sf0.001"
+
+
+def by_id(rows):
+    return sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, *map(str, r[1:])))
+
+
+# -- byte-level BPE --------------------------------------------------------------
+
+
+def lines_of(name=bpe.RANKS):
+    with open(public_tokenizers.path(name), "rb") as f:
+        return f.read()
+
+
+@pytest.fixture(scope="module")
+def ranks():
+    return bpe.read_ranks(lines_of())
+
+
+@pytest.fixture(scope="module")
+def reference(ranks):
+    return tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def random_text(rng):
+    letters = rng.choice(["ab", " =", "ey the", "\n \t", "aàéñ日🙂́", "0123 ", ".-_='s", "thine", "The of and"])
+    return "".join(rng.choice(letters) for _ in range(rng.randint(0, 300)))
+
+
+@pytest.mark.parametrize("name", [bpe.RANKS, "byte_bpe_multi_50k.tiktoken"])
+def test_transducer_encodes_as_the_merges_do(name):
+    ranks = bpe.read_ranks(lines_of(name))
+    transducer = bpe.Transducer(ranks)
+    rng = random.Random(4)
+    for _ in range(300):
+        piece = bytes(rng.choice(b"aet nhe\xc3\xa9\xff=") for _ in range(rng.randint(1, 40)))
+        ids = transducer.encode_piece(piece)
+        assert [transducer.bytes_of[i] for i in ids] == bpe.merged(piece, ranks)
+
+
+def test_transducer_on_texts_and_long_pieces(ranks, reference):
+    transducer, pieces = bpe.Transducer(ranks), regex.compile(public_tokenizers.PATTERN)
+    rng = random.Random(9)
+    texts = [random_text(rng) for _ in range(400)] + [t or "" for t in awkward_texts()]
+    texts += ["y" * 40_000, " " * 40_000, "ab" * 20_000, "<|endoftext|> x", "=" * 5_000]
+    for text in texts:
+        assert transducer.encode(text, pieces) == reference.encode_ordinary(text)
+    # What is held back depends on the vocabulary, not on the piece.
+    assert max(len(held) for m in transducer.members for held, _, _ in m) < 80
+
+
+def test_tables_that_overflow_start_afresh(ranks, reference, monkeypatch):
+    for name in ("MOST_STEPS", "MOST_PAIRS", "MOST_PIECES"):
+        monkeypatch.setattr(bpe, name, 7)
+    transducer, pieces = bpe.Transducer(ranks), regex.compile(public_tokenizers.PATTERN)
+    rng = random.Random(3)
+    for _ in range(40):
+        text = random_text(rng)
+        assert transducer.encode(text, pieces) == reference.encode_ordinary(text)
+        assert len(transducer.step) <= 8
+
+
+def test_vocabulary_with_a_token_its_merges_cannot_make():
+    ranks = {bytes([b]): b for b in range(256)} | {b"ab": 256, b"bcd": 257, b"cd": 258}
+    rank_of = tiktoken.Encoding("t", pat_str=r"\S+|\s+", mergeable_ranks=ranks, special_tokens={})
+    transducer, pieces = bpe.Transducer(ranks | {b"abcde": 259}), regex.compile(r"\S+|\s+")
+    whole = tiktoken.Encoding("u", pat_str=r"\S+|\s+", mergeable_ranks=ranks | {b"abcde": 259}, special_tokens={})
+    for text in ("abcd bcd abc cdcd", "abcde abcdee", "bcdbcd"):
+        assert transducer.encode(text, pieces) == whole.encode_ordinary(text)
+        assert bpe.Transducer(ranks).encode(text, pieces) == rank_of.encode_ordinary(text)
+    with pytest.raises(ValueError, match="no token"):
+        bpe.Transducer({b"a": 0})
+
+
+def test_streaming_decoder_is_an_incremental_utf8_reader(ranks):
+    decoder, machine = bpe.Decoder(ranks), bpe.Utf8Machine()
+    rng = random.Random(8)
+    for _ in range(3000):
+        data = bytes(rng.choice(b"a\x80\xbf\xc0\xc3\xe0\xa0\xed\x9f\xf0\x90\xf4\x8f\xf5\xff\xe6\x97\xa5") for _ in range(rng.randint(0, 12)))
+        state, out = machine.START, ""
+        for byte in data:
+            state, text = machine.feed(state, bytes([byte]))
+            out += text
+        assert out + machine.finish(state) == data.decode("utf-8", "replace")
+    single = {token: rank for token, rank in ranks.items() if len(token) == 1}
+    ids = [single[bytes([b])] for b in "a🙂é".encode()]
+    assert list(decoder.stream(ids)) == ["a", "🙂", "é"]
+    assert list(decoder.stream(ids[:3])) == ["a", "�"]
+
+
+def test_op11_query(spark, reference):
+    expect = []
+    for r in table(spark, SF, "documents").select("doc_id", "text").collect():
+        ids = reference.encode_ordinary(r.text or "")
+        digest = hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        expect.append((r.doc_id, len(ids), digest, hashlib.sha256((r.text or "").encode()).hexdigest()))
+    found = queries.op11_bpe(spark, SF)
+    assert [d for _, d in found.dtypes] == ["bigint", "bigint", "string", "string"]
+    assert by_id(map(tuple, found.collect())) == by_id(expect)
+
+
+def test_op11_awkward_rows(spark, reference):
+    docs = awkward_docs(spark, extra=True)
+    rows = bpe.encode_documents(docs).select("row.doc_id", "row.text", "ids", "decoded").collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        assert r.ids == reference.encode_ordinary(r.text or "") and r.decoded == (r.text or "")
+    assert bpe.encode_documents(empty_docs(spark)).count() == 0
+    shared = bpe.vocabulary(spark)
+    nothing = spark.createDataFrame([(None,), ([],)], "ids array<int>")
+    assert [r[0] for r in nothing.select(bpe.decode(F.col("ids"), shared)).collect()] == [None, ""]
+
+
+# -- importance resampling -------------------------------------------------------
+
+
+def brute_runs(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+    return words, words + [f"{a} {b}" for a, b in zip(words, words[1:])]
+
+
+def brute_resample(docs, target):
+    def buckets(texts):
+        return collections.Counter(zlib.crc32(f.encode()) % 10_000 for t in texts for f in brute_runs(t)[1])
+
+    s, t = buckets(x for _, x in docs), buckets(target)
+    all_s, all_t = sum(s.values()), sum(t.values())
+    gain = [
+        math.floor(1000 * math.log((t[b] + 1) * (all_s + 10_000) / ((s[b] + 1) * (all_t + 10_000)))) for b in range(10_000)
+    ]
+    rows = []
+    for doc_id, text in docs:
+        words, runs = brute_runs(text)
+        weight = sum(gain[zlib.crc32(f.encode()) % 10_000] for f in runs) // len(runs) if runs else 0
+        h = int(hashlib.sha256(f"7:{'null' if doc_id is None else doc_id}".encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        rows.append([doc_id, len(runs), weight, score, None, len(words)])
+    able = sorted((r for r in rows if r[5] >= 20), key=lambda r: (-r[3], r[0] is None, r[0] or 0, r[1]))
+    for k, r in enumerate(able[: 25 * len(able) // 100]):
+        r[4] = k + 1
+    return [tuple(r[:5]) for r in rows]
+
+
+def test_op12_query(spark):
+    docs = [(r.doc_id, r.text) for r in table(spark, SF, "documents").select("doc_id", "text").collect()]
+    target = [r.text for r in table(spark, SF, "benchmark").collect()]
+    found = queries.op12_importance(spark, SF)
+    assert found.columns == ["doc_id", "n_features", "weight", "score", "rank"]
+    assert {d for _, d in found.dtypes} == {"bigint"}
+    assert by_id(map(tuple, found.collect())) == by_id(brute_resample(docs, target))
+
+
+def test_op12_awkward_rows_and_hot_ids(spark):
+    target = spark.createDataFrame([("alpha beta gamma",), (None,), ("",)], "text string")
+    # A third of all rows is one row repeated.
+    hot = [(77, "alpha beta " * 15)] * 40
+    docs = awkward_docs(spark, extra=True).select("doc_id", "text", "row", "score", "n")
+    docs = docs.unionByName(spark.createDataFrame(hot, "doc_id long, text string"), allowMissingColumns=True)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    found = importance.resample(docs, target).select("doc_id", "n_features", "weight", "score", "rank").collect()
+    assert by_id(map(tuple, found)) == by_id(brute_resample(rows, [r.text for r in target.collect()]))
+    assert importance.resample(empty_docs(spark), target).count() == 0
+    assert importance.resample(docs, target.limit(0)).count() == len(rows)
+
+
+def test_runs_are_hashed_as_zlib_does():
+    rng = random.Random(6)
+    texts = [["".join(rng.choice("aé日0") for _ in range(rng.choice([1, 3, 9, 30, 90]))) for _ in range(rng.randint(0, 9))] for _ in range(200)]
+    hasher = importance.RunHasher()
+    for _ in range(2):  # new words, then known ones
+        runs, owner = hasher.buckets(texts, 10_000)
+        for k, words in enumerate(texts):
+            features = words + [f"{a} {b}" for a, b in zip(words, words[1:])]
+            assert sorted(runs[owner == k].tolist()) == sorted(zlib.crc32(f.encode()) % 10_000 for f in features)
+
+
+@pytest.mark.parametrize("pivots", [1, 3, 64])
+def test_quickselect_finds_every_place(spark, pivots):
+    rng = random.Random(pivots)
+    keys = [(rng.randint(0, 3), 0, rng.randint(0, 5), 1, rng.randint(0, 1), k) for k in range(90)]
+    rows = spark.createDataFrame(keys, "order long, no_id int, id long, n_features long, text_hash long, row_no long").cache()
+    for k in (1, 2, 45, 89, 90):
+        assert importance.kth_key(rows, k, pivots=pivots) == sorted(keys)[k - 1]
+    assert importance.kth_key(rows, 0) is None and importance.kth_key(rows, 91, pivots=pivots) is None
+    ranks = importance.ranked(rows.repartition(7)).select(*importance.KEY, "rank").collect()
+    assert [tuple(r)[:6] for r in sorted(ranks, key=lambda r: r.rank)] == sorted(keys)
+    assert sorted(r.rank for r in ranks) == list(range(1, 91))
+
+
+# -- periodic runs ---------------------------------------------------------------
+
+
+def brute_periodic(words):
+    """Every lag, word by word."""
+    n, found = len(words), {}
+    for lag in range(1, n // 3 + 1):
+        i = lag
+        while i < n:
+            first = i
+            while i < n and words[i] == words[i - lag]:
+                i += 1
+            start, length = first - lag, i - first + lag
+            if length >= max(24, 3 * lag):
+                found[start, length] = min(found.get((start, length), lag), lag)
+            i += 1
+    return sorted(((s, m, q) for (s, m), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def brute_op13(doc_id, text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    n, h = len(words), zlib.crc32(str(doc_id).encode())
+    if doc_id is not None and h % 10 == 0 and n:
+        g = h // 10
+        a = g % n
+        p = 1 + math.floor((n - a) / (3 + g % 8))
+        words = [words[i if i < a else a + (i - a) % p] for i in range(n)]
+    runs = brute_periodic(words)
+    drop = {i for s, m, q in runs for i in range(s + q, s + m)}
+    kept = " ".join(w for i, w in enumerate(words) if i not in drop)
+    best = (None,) * 4
+    if runs:
+        s, m, q = min(runs, key=lambda r: (-r[1] / r[2], r[0], r[2]))
+        best = (s, m, q, 1000 * m // q)
+    lines = "".join(f"{s},{m},{q}\n" for s, m, q in runs)
+    return (doc_id, len(runs), *best, hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(kept.encode()).hexdigest())
+
+
+def random_words(rng):
+    out = []
+    for _ in range(rng.randint(0, 8)):
+        kind = rng.randint(0, 3)
+        if kind == 0:
+            out += [rng.choice("ab") for _ in range(rng.randint(0, 60))]
+        elif kind == 1:
+            part = [rng.choice("abc") for _ in range(rng.randint(1, 40))]
+            out += part * rng.randint(1, 6) + part[: rng.randint(0, len(part))]
+        elif kind == 2:
+            out += [str(rng.random()) for _ in range(rng.randint(0, 50))]
+        else:
+            out += out[-rng.randint(1, 40) :] * rng.randint(1, 5)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_runs_of_random_texts(seed):
+    rng = random.Random(seed)
+    for _ in range(40):
+        texts = [random_words(rng) for _ in range(rng.randint(0, 6))]
+        assert periodic.find_runs(texts) == [brute_periodic(t) for t in texts]
+
+
+def test_repetitive_long_texts_stay_near_linear():
+    part = ["x"] * 100 + ["y"]
+    runs = periodic.find_runs([["w"] * 100_000, part * 500, ["w"] * 23, []])
+    assert runs[0] == [(0, 100_000, 1)]
+    assert runs[1][:2] == [(0, 100, 1), (0, 50_500, 101)] and len(runs[1]) == 501
+    assert runs[2:] == [[], []]
+
+
+def test_op13_query(spark):
+    docs = table(spark, SF, "documents").select("doc_id", "text").collect()
+    found = queries.op13_periodic_runs(spark, SF)
+    assert [d for _, d in found.dtypes] == ["bigint"] * 6 + ["string"] * 2
+    rows = by_id(map(tuple, found.collect()))
+    assert rows == by_id(brute_op13(r.doc_id, r.text) for r in docs)
+    assert any(r[1] for r in rows)
+
+
+def test_op13_awkward_rows(spark):
+    docs = awkward_docs(spark, extra=True)
+    rows = periodic.periodic_runs(docs).select("row.text", "n_words", "runs", "collapsed").collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", r.text or "")
+        assert r.n_words == len(words)
+        if len(words) < 2000:
+            assert [tuple(x) for x in r.runs] == brute_periodic(words)
+        elif len(set(words)) == 1:
+            assert [tuple(x) for x in r.runs] == [(0, len(words), 1)] and r.collapsed == words[0]
+        if not r.runs:
+            assert r.collapsed == " ".join(words)
+    assert periodic.periodic_runs(empty_docs(spark)).count() == 0

@@ -3,12 +3,27 @@ digest columns its contract names derived from the operator's output."""
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripscope.llm import decontamination, mixing, pii, quality_classifier, quality_rules, secrets, simhash, suffix_dedup, token_counts, toxicity
+from tripscope.llm import (
+    bpe,
+    decontamination,
+    importance,
+    mixing,
+    periodic,
+    pii,
+    quality_classifier,
+    quality_rules,
+    secrets,
+    simhash,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+)
 from tripscope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,6 +128,66 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encode_documents(docs).select(
+        "row.doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    drawn = importance.resample(docs, table(spark, sf_dir, "benchmark").select("text"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def looped_words(doc_id: int | None, words: list[str]) -> list[str]:
+    """The contract's rewriting: in about a tenth of the documents, chosen by
+    a hash of the id, the words from some place on repeat a first stretch."""
+    n = len(words)
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic.periodic_runs(docs, looped_words)
+    # Highest length / period, compared as whole numbers; the runs stand by start, then period.
+    best = F.aggregate(
+        F.slice("runs", 2, F.greatest(F.size("runs") - 1, F.lit(0))),
+        F.get("runs", F.lit(0)),
+        lambda a, r: F.when(r["length"] * a["period"] > a["length"] * r["period"], r).otherwise(a),
+    )
+    lines = F.transform(
+        "runs",
+        lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")),
+    )
+    return found.select(
+        "row.doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"),
+        best.alias("best"),
+    ).select(
+        "doc_id",
+        "n_runs",
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        "runs_sha256",
+        "collapsed_sha256",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_simhash": op2_simhash,
@@ -124,6 +199,9 @@ QUERIES: dict[str, Query] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_decontamination": op9_decontamination,
     "op10_toxicity": op10_toxicity,
+    "op11_bpe": op11_bpe,
+    "op12_importance": op12_importance,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 # DuckDB SQL for the queries that SQL can express whole.
