@@ -67,7 +67,7 @@ def test_transducer_on_texts_and_long_pieces(ranks, reference):
     for text in texts:
         assert transducer.encode(text, pieces) == reference.encode_ordinary(text)
     # What is held back depends on the vocabulary, not on the piece.
-    assert max(len(held) for m in transducer.members for held, _, _ in m) < 80
+    assert max(len(held) for m in transducer.states for held, _, _ in m) < 80
 
 
 def test_tables_that_overflow_start_afresh(ranks, reference, monkeypatch):
@@ -78,7 +78,7 @@ def test_tables_that_overflow_start_afresh(ranks, reference, monkeypatch):
     for _ in range(40):
         text = random_text(rng)
         assert transducer.encode(text, pieces) == reference.encode_ordinary(text)
-        assert len(transducer.step) <= 8
+        assert transducer.n_steps <= 8
 
 
 def test_vocabulary_with_a_token_its_merges_cannot_make():
@@ -94,7 +94,7 @@ def test_vocabulary_with_a_token_its_merges_cannot_make():
 
 
 def test_streaming_decoder_is_an_incremental_utf8_reader(ranks):
-    decoder, machine = bpe.Decoder(ranks), bpe.Utf8Machine()
+    decoder, machine = bpe.Decoder({rank: token for token, rank in ranks.items()}), bpe.Utf8Machine()
     rng = random.Random(8)
     for _ in range(3000):
         data = bytes(rng.choice(b"a\x80\xbf\xc0\xc3\xe0\xa0\xed\x9f\xf0\x90\xf4\x8f\xf5\xff\xe6\x97\xa5") for _ in range(rng.randint(0, 12)))

@@ -22,7 +22,10 @@ remembered, so text comes out token by token without looking back.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterable, Iterator
+import gc
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -36,10 +39,11 @@ from pyspark.sql import functions as F
 RANKS = "byte_bpe_50k.tiktoken"
 # Bounds on what a worker remembers (all of it can be built again): transducer
 # transitions, token pairs, encodings of short pieces, decoder steps.
-MOST_STEPS = 400_000
-MOST_PAIRS = 400_000
-MOST_PIECES = 200_000
-PIECE_BYTES = 48
+MOST_STEPS = 300_000
+MOST_PAIRS = 200_000
+MOST_PIECES = 150_000
+PIECE_CHARS = 48
+MEMBERS = -1
 REPLACEMENT = "�"
 
 
@@ -52,12 +56,17 @@ def merged(data: bytes, ranks: dict[bytes, int]) -> list[bytes]:
     """Byte-pair encoding by its definition: join the adjacent pair of lowest
     rank, leftmost first, until no pair is a token.  Quadratic; used on single
     tokens and token pairs only."""
+    none, get = len(ranks) + 256, ranks.get
     parts = [data[i : i + 1] for i in range(len(data))]
-    while len(parts) > 1:
-        best = min(range(len(parts) - 1), key=lambda i: ranks.get(parts[i] + parts[i + 1], len(ranks) + 256))
-        if parts[best] + parts[best + 1] not in ranks:
-            break
-        parts[best : best + 2] = [parts[best] + parts[best + 1]]
+    cost = [get(data[i : i + 2], none) for i in range(len(data) - 1)]
+    while cost and (low := min(cost)) < none:
+        i = cost.index(low)
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        del cost[i]
+        if i < len(cost):
+            cost[i] = get(parts[i] + parts[i + 1], none)
+        if i:
+            cost[i - 1] = get(parts[i - 1] + parts[i], none)
     return parts
 
 
@@ -88,15 +97,25 @@ class Transducer:
                     self.inner[node] = True
                 node = below
             self.token[node] = rank
-        self.pieces: dict[bytes, list[int]] = {}
+        self.pieces = Pieces(self.encode_piece)
         self.pairs: dict[tuple[int, int], bool] = {}
+        self.states: dict[tuple, dict] = {}
         self._forget()
 
     def _forget(self) -> None:
-        start = (((), self.NONE, self.ROOT),)
-        self.members = [start]  # of each deterministic state
-        self.number = {start: 0}
-        self.step: dict[int, tuple[int, tuple[int, ...]]] = {}  # 256 * state + byte -> state, output
+        for state in self.states.values():
+            state.clear()  # states refer to each other
+        self.states.clear()
+        self.n_steps = 0
+        self.start = self._state((((), self.NONE, self.ROOT),))
+
+    def _state(self, members: tuple) -> dict:
+        """The deterministic state of these paths: its steps so far, byte ->
+        (next state, output), and under MEMBERS the paths."""
+        state = self.states.get(members)
+        if state is None:
+            state = self.states[members] = {MEMBERS: members}
+        return state
 
     def agree(self, before: int, token: int) -> bool:
         """Whether ``token`` may follow ``before`` (NONE: begin a piece)."""
@@ -111,67 +130,82 @@ class Transducer:
             known = self.pairs[key] = merged(b"".join(own), self.ranks) == own
         return known
 
-    def _advance(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
+    def _advance(self, state: dict, byte: int) -> tuple[dict, tuple[int, ...]]:
         """The deterministic transition, made from the member paths."""
+        members = state[MEMBERS]
+        if self.n_steps >= MOST_STEPS:
+            self._forget()
+            state = self._state(members)
+        child, inner, tokens = self.child, self.inner, self.token
         paths, ended = [], None
-        for held, last, node in self.members[state]:
-            below = self.child.get(256 * node + byte)
+        for held, last, node in members:
+            below = child.get(256 * node + byte)
             if below is None:
                 continue
-            if self.inner[below]:
+            if inner[below]:
                 paths.append((held, last, below))
-            token = self.token[below]
-            if ended is None and token != self.NONE and self.agree(last, token):
-                ended = ((*held, token), token, self.ROOT)
+            if ended is None:
+                token = tokens[below]
+                if token != self.NONE and self.agree(last, token):
+                    ended = ((*held, token), token, self.ROOT)
         paths.append(ended)  # every prefix has an encoding
-        shared = 0
-        first = paths[0][0]
-        least = min(len(held) for held, _, _ in paths)
-        while shared < least and all(held[shared] == first[shared] for held, _, _ in paths):
+        shared, most = 0, ended[0]
+        for held, _, _ in paths:  # the tokens that all paths begin with
+            most = most[: len(held)]
+        while shared < len(most) and all(held[shared] == most[shared] for held, _, _ in paths):
             shared += 1
-        members = tuple((held[shared:], last, node) for held, last, node in paths)
-        if len(self.step) >= MOST_STEPS:
-            self._forget()
-        target = self.number.get(members)
-        if target is None:
-            target = self.number[members] = len(self.members)
-            self.members.append(members)
-        return target, first[:shared]
+        if shared:
+            paths = [(held[shared:], last, node) for held, last, node in paths]
+        found = state[byte] = self._state(tuple(paths)), most[:shared]
+        self.n_steps += 1
+        return found
 
     def encode_piece(self, piece: bytes) -> list[int]:
         """Token ids of one piece (one match of the splitting pattern)."""
         rank = self.ranks.get(piece)
-        if rank is not None and self.agree(self.NONE, rank) is False:
+        if rank is not None and not self.agree(self.NONE, rank):
             return [rank]  # a token that its own merges cannot make
         out: list[int] = []
-        state = 0
+        state = self.start
         for byte in piece:
-            found = self.step.get(256 * state + byte)
-            if found is None:
-                key, steps = 256 * state + byte, self.step
-                found = self._advance(state, byte)
-                if steps is self.step:  # not begun afresh
-                    steps[key] = found
-            state, emitted = found
+            found = state.get(byte)
+            state, emitted = found if found is not None else self._advance(state, byte)
             if emitted:
                 out += emitted
-        out += self.members[state][-1][0]  # the path that ends on a token
+        out += state[MEMBERS][-1][0]  # the path that ends on a token
         return out
 
     def encode(self, text: str, pieces: regex.Pattern) -> list[int]:
         """Token ids of ``text``, each match of ``pieces`` on its own."""
-        out: list[int] = []
-        known = self.pieces
-        for match in pieces.findall(text):
-            ids = known.get(match)
-            if ids is None:
-                ids = self.encode_piece(match.encode())
-                if len(match) <= PIECE_BYTES:
-                    if len(known) >= MOST_PIECES:
-                        known.clear()
-                    known[match] = ids
-            out += ids
-        return out
+        return list(chain.from_iterable(map(self.pieces.__getitem__, pieces.findall(text))))
+
+
+class Pieces(dict):
+    """Encodings of the short pieces seen lately."""
+
+    def __init__(self, encode_piece: Callable[[bytes], list[int]]):
+        self.encode_piece = encode_piece
+
+    def __missing__(self, piece: str) -> list[int]:
+        ids = self.encode_piece(piece.encode())
+        if len(piece) <= PIECE_CHARS:
+            if len(self) >= MOST_PIECES:
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
+@contextmanager
+def no_collection() -> Iterator[None]:
+    """Python's cycle collector off: the tables hold many small objects, none
+    of them garbage, which it would walk again and again."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
 
 
 class Utf8Machine:
@@ -222,22 +256,28 @@ class Utf8Machine:
 class Decoder:
     """Streaming decoder of token ids."""
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.bytes_of = {rank: token for token, rank in ranks.items()}
+    def __init__(self, bytes_of: dict[int, bytes]):
+        self.bytes_of = bytes_of
         self.machine = Utf8Machine()
-        self.steps: dict[tuple, tuple[tuple, str]] = {}
+        # Unfinished character -> token id -> (the next one's steps, text, next one).
+        self.steps: dict[tuple, dict[int, tuple[dict, str, tuple]]] = {}
+        self.n_steps = 0
 
     def stream(self, ids: Iterable[int]) -> Iterator[str]:
         """The text in parts: after each id, the characters it completes; at
         the end, the mark of an unfinished one.  An unknown id is an error."""
-        state, steps = Utf8Machine.START, self.steps
+        state = self.machine.START
+        own = self.steps.setdefault(state, {})
         for i in ids:
-            found = steps.get((state, i))
+            found = own.get(i)
             if found is None:
-                if len(steps) >= MOST_STEPS:
-                    steps.clear()
-                found = steps[state, i] = self.machine.feed(state, self.bytes_of[i])
-            state, text = found
+                if self.n_steps >= MOST_STEPS:
+                    self.steps, self.n_steps = {}, 0
+                    own = self.steps.setdefault(state, {})
+                after, text = self.machine.feed(state, self.bytes_of[i])
+                found = own[i] = self.steps.setdefault(after, {}), text, after
+                self.n_steps += 1
+            own, text, state = found
             if text:
                 yield text
         rest = self.machine.finish(state)
@@ -257,8 +297,8 @@ class Vocabulary:
 
     def machines(self) -> tuple[Transducer, Decoder, regex.Pattern]:
         if self.made is None:
-            ranks = read_ranks(self.lines)
-            self.made = Transducer(ranks), Decoder(ranks), regex.compile(self.pattern)
+            transducer = Transducer(read_ranks(self.lines))
+            self.made = transducer, Decoder(transducer.bytes_of), regex.compile(self.pattern)
         return self.made
 
     def __getstate__(self) -> dict:
@@ -280,7 +320,9 @@ def encode(text: Column, shared: Broadcast) -> Column:
     def ids(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         transducer, _, pieces = shared.value.machines()
         for texts in parts:
-            yield pd.Series([np.array(transducer.encode(t, pieces) if t else [], np.int32) for t in texts], dtype=object)
+            with no_collection():
+                out = [np.array(transducer.encode(t, pieces) if t else [], np.int32) for t in texts]
+            yield pd.Series(out, dtype=object)
 
     return F.pandas_udf(ids, "array<int>")(text.cast("string"))
 
@@ -299,12 +341,24 @@ def decode(ids: Column, shared: Broadcast) -> Column:
 
 def encode_documents(docs: DataFrame, ranks_path: str | None = None, pattern: str | None = None) -> DataFrame:
     """(row, ids, decoded), one row per document: its token ids and the text
-    that they decode to.
+    that they decode to, made in one pass (one Python worker a task).
 
     Null and empty texts have no ids and decode to the empty string; repeated
     rows are encoded one by one; an empty table gives no rows; the columns of
     ``docs`` stay inside ``row``, so none can clash.  Nothing is shuffled.
     """
     shared = vocabulary(docs.sparkSession, ranks_path, pattern)
-    rows = docs.select(F.struct("*").alias("row"), encode(F.col("text"), shared).alias("ids"))
-    return rows.select("row", "ids", decode(F.col("ids"), shared).alias("decoded"))
+
+    def coded(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        transducer, decoder, pieces = shared.value.machines()
+        for texts in parts:
+            ids, decoded = [], []
+            with no_collection():
+                for text in texts:
+                    own = transducer.encode(text, pieces) if text else []
+                    ids.append(np.array(own, np.int32))
+                    decoded.append(decoder.decode(own))
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series(decoded, dtype=object)})
+
+    both = F.pandas_udf(coded, "ids array<int>, decoded string")(F.col("text").cast("string"))
+    return docs.select(F.struct("*").alias("row"), both.alias("both")).select("row", "both.ids", "both.decoded")
