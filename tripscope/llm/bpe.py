@@ -39,9 +39,11 @@ from pyspark.sql import functions as F
 RANKS = "byte_bpe_50k.tiktoken"
 # Bounds on what a worker remembers (all of it can be built again): transducer
 # transitions, token pairs, encodings of short pieces, decoder steps.
-MOST_STEPS = 300_000
-MOST_PAIRS = 200_000
-MOST_PIECES = 150_000
+MOST_STEPS = 600_000
+MOST_PAIRS = 300_000
+MOST_PIECES = 200_000
+#: Documents that a worker hands back at a time.
+ROWS_OUT = 500
 PIECE_CHARS = 48
 MEMBERS = -1
 REPLACEMENT = "�"
@@ -149,14 +151,12 @@ class Transducer:
                 if token != self.NONE and self.agree(last, token):
                     ended = ((*held, token), token, self.ROOT)
         paths.append(ended)  # every prefix has an encoding
-        shared, most = 0, ended[0]
-        for held, _, _ in paths:  # the tokens that all paths begin with
-            most = most[: len(held)]
-        while shared < len(most) and all(held[shared] == most[shared] for held, _, _ in paths):
-            shared += 1
+        shared, least = 0, min([len(held) for held, _, _ in paths])
+        while shared < least and len({held[shared] for held, _, _ in paths}) == 1:
+            shared += 1  # the tokens that all paths begin with
         if shared:
             paths = [(held[shared:], last, node) for held, last, node in paths]
-        found = state[byte] = self._state(tuple(paths)), most[:shared]
+        found = state[byte] = self._state(tuple(paths)), ended[0][:shared]
         self.n_steps += 1
         return found
 
@@ -181,17 +181,32 @@ class Transducer:
 
 
 class Pieces(dict):
-    """Encodings of the short pieces seen lately."""
+    """Encodings of the short pieces that came up again lately: a piece is
+    kept from its second time on (its first leaves a hash), and pieces not
+    seen since the dictionary was last full make room."""
 
     def __init__(self, encode_piece: Callable[[bytes], list[int]]):
         self.encode_piece = encode_piece
-
-    def __missing__(self, piece: str) -> list[int]:
-        ids = self.encode_piece(piece.encode())
-        if len(piece) <= PIECE_CHARS:
-            if len(self) >= MOST_PIECES:
-                self.clear()
-            self[piece] = ids
+        self.older: dict[str, tuple[int, ...]] = {}
+        self.once: set[int] = set()
+
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.encode_piece(piece.encode())
+            if len(piece) > PIECE_CHARS:
+                return ids
+            mark = hash(piece) & 0xFFFFF
+            if mark not in self.once:
+                if len(self.once) > MOST_PIECES:
+                    self.once.clear()
+                self.once.add(mark)
+                return ids
+            ids = tuple(ids)
+        if 2 * len(self) >= MOST_PIECES:
+            self.older = dict(self)
+            self.clear()
+        self[piece] = ids
         return ids
 
 
@@ -351,14 +366,15 @@ def encode_documents(docs: DataFrame, ranks_path: str | None = None, pattern: st
 
     def coded(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         transducer, decoder, pieces = shared.value.machines()
-        for texts in parts:
-            ids, decoded = [], []
-            with no_collection():
-                for text in texts:
-                    own = transducer.encode(text, pieces) if text else []
-                    ids.append(np.array(own, np.int32))
-                    decoded.append(decoder.decode(own))
-            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series(decoded, dtype=object)})
+        for batch in parts:
+            for first in range(0, len(batch), ROWS_OUT):
+                ids, decoded = [], []
+                with no_collection():
+                    for text in batch.iloc[first : first + ROWS_OUT]:
+                        own = transducer.encode(text, pieces) if text else []
+                        ids.append(np.array(own, np.int32))
+                        decoded.append(decoder.decode(own))
+                yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series(decoded, dtype=object)})
 
     both = F.pandas_udf(coded, "ids array<int>, decoded string")(F.col("text").cast("string"))
     return docs.select(F.struct("*").alias("row"), both.alias("both")).select("row", "both.ids", "both.decoded")
