@@ -27,7 +27,6 @@ from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from itertools import chain
 
-import numpy as np
 import pandas as pd
 import public_tokenizers
 import regex
@@ -162,9 +161,6 @@ class Transducer:
 
     def encode_piece(self, piece: bytes) -> list[int]:
         """Token ids of one piece (one match of the splitting pattern)."""
-        rank = self.ranks.get(piece)
-        if rank is not None and not self.agree(self.NONE, rank):
-            return [rank]  # a token that its own merges cannot make
         out: list[int] = []
         state = self.start
         for byte in piece:
@@ -173,6 +169,8 @@ class Transducer:
             if emitted:
                 out += emitted
         out += state[MEMBERS][-1][0]  # the path that ends on a token
+        if len(out) > 1 and piece in self.ranks:
+            return [self.ranks[piece]]  # a token that its own merges cannot make
         return out
 
     def encode(self, text: str, pieces: regex.Pattern) -> list[int]:
@@ -279,8 +277,9 @@ class Decoder:
         self.n_steps = 0
 
     def stream(self, ids: Iterable[int]) -> Iterator[str]:
-        """The text in parts: after each id, the characters it completes; at
-        the end, the mark of an unfinished one.  An unknown id is an error."""
+        """The text in parts: after each id, the characters it completes (maybe
+        none); at the end, the mark of an unfinished one.  An unknown id is an
+        error."""
         state = self.machine.START
         own = self.steps.setdefault(state, {})
         for i in ids:
@@ -293,39 +292,29 @@ class Decoder:
                 found = own[i] = self.steps.setdefault(after, {}), text, after
                 self.n_steps += 1
             own, text, state = found
-            if text:
-                yield text
-        rest = self.machine.finish(state)
-        if rest:
-            yield rest
+            yield text
+        yield self.machine.finish(state)
 
     def decode(self, ids: Iterable[int]) -> str:
         return "".join(self.stream(ids))
 
 
-class Vocabulary:
-    """What is broadcast: the rank file.  Each worker builds its machines
-    once, however many tasks it runs."""
-
-    def __init__(self, lines: bytes, pattern: str):
-        self.lines, self.pattern, self.made = lines, pattern, None
-
-    def machines(self) -> tuple[Transducer, Decoder, regex.Pattern]:
-        if self.made is None:
-            transducer = Transducer(read_ranks(self.lines))
-            self.made = transducer, Decoder(transducer.bytes_of), regex.compile(self.pattern)
-        return self.made
-
-    def __getstate__(self) -> dict:
-        return {"lines": self.lines, "pattern": self.pattern, "made": None}
-
-
 def vocabulary(spark: SparkSession, ranks_path: str | None = None, pattern: str | None = None) -> Broadcast:
     """The vocabulary (about a megabyte, whatever the documents) on every
     executor.  ``ranks_path``: a rank file that the driver can open; by default
     RANKS among the public tokenizers, with their splitting pattern."""
     with open(ranks_path or public_tokenizers.path(RANKS), "rb") as f:
-        return spark.sparkContext.broadcast(Vocabulary(f.read(), pattern or public_tokenizers.PATTERN))
+        return spark.sparkContext.broadcast({"lines": f.read(), "pattern": pattern or public_tokenizers.PATTERN})
+
+
+def machines(shared: Broadcast) -> tuple[Transducer, Decoder, regex.Pattern]:
+    """The machines of a vocabulary.  A worker keeps them beside its copy of
+    the rank file, so it builds them once, however many tasks it runs."""
+    known = shared.value
+    if "machines" not in known:
+        transducer = Transducer(read_ranks(known["lines"]))
+        known["machines"] = transducer, Decoder(transducer.bytes_of), regex.compile(known["pattern"])
+    return known["machines"]
 
 
 def encode(text: Column, shared: Broadcast) -> Column:
@@ -333,10 +322,10 @@ def encode(text: Column, shared: Broadcast) -> Column:
     No special tokens: their strings are ordinary text."""
 
     def ids(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        transducer, _, pieces = shared.value.machines()
+        transducer, _, pieces = machines(shared)
         for texts in parts:
             with no_collection():
-                out = [np.array(transducer.encode(t, pieces) if t else [], np.int32) for t in texts]
+                out = [transducer.encode(t, pieces) if t else [] for t in texts]
             yield pd.Series(out, dtype=object)
 
     return F.pandas_udf(ids, "array<int>")(text.cast("string"))
@@ -347,7 +336,7 @@ def decode(ids: Column, shared: Broadcast) -> Column:
     that are not UTF-8 become U+FFFD; an id outside the vocabulary fails."""
 
     def texts(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        _, decoder, _ = shared.value.machines()
+        _, decoder, _ = machines(shared)
         for rows in parts:
             yield pd.Series([None if r is None else decoder.decode(r.tolist()) for r in rows], dtype=object)
 
@@ -365,14 +354,14 @@ def encode_documents(docs: DataFrame, ranks_path: str | None = None, pattern: st
     shared = vocabulary(docs.sparkSession, ranks_path, pattern)
 
     def coded(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        transducer, decoder, pieces = shared.value.machines()
+        transducer, decoder, pieces = machines(shared)
         for batch in parts:
             for first in range(0, len(batch), ROWS_OUT):
                 ids, decoded = [], []
                 with no_collection():
                     for text in batch.iloc[first : first + ROWS_OUT]:
                         own = transducer.encode(text, pieces) if text else []
-                        ids.append(np.array(own, np.int32))
+                        ids.append(own)  # Arrow takes lists faster than small arrays
                         decoded.append(decoder.decode(own))
                 yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series(decoded, dtype=object)})
 
