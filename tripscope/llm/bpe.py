@@ -23,12 +23,14 @@ from __future__ import annotations
 
 import base64
 import gc
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from itertools import chain
 
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import regex
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,7 +40,7 @@ from pyspark.sql import functions as F
 RANKS = "byte_bpe_50k.tiktoken"
 # Bounds on what a worker remembers (all of it can be built again): transducer
 # transitions, token pairs, encodings of short pieces, decoder steps.
-MOST_STEPS = 600_000
+MOST_STEPS = 500_000
 MOST_PAIRS = 300_000
 MOST_PIECES = 200_000
 #: Documents that a worker hands back at a time.
@@ -186,7 +188,8 @@ class Pieces(dict):
     def __init__(self, encode_piece: Callable[[bytes], list[int]]):
         self.encode_piece = encode_piece
         self.older: dict[str, tuple[int, ...]] = {}
-        self.once: set[int] = set()
+        self.once = bytearray(1 << 20)
+        self.n_once = 0
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
         ids = self.older.get(piece)
@@ -195,10 +198,11 @@ class Pieces(dict):
             if len(piece) > PIECE_CHARS:
                 return ids
             mark = hash(piece) & 0xFFFFF
-            if mark not in self.once:
-                if len(self.once) > MOST_PIECES:
-                    self.once.clear()
-                self.once.add(mark)
+            if not self.once[mark]:
+                if self.n_once > MOST_PIECES:
+                    self.once, self.n_once = bytearray(1 << 20), 0
+                self.once[mark] = 1
+                self.n_once += 1
                 return ids
             ids = tuple(ids)
         if 2 * len(self) >= MOST_PIECES:
@@ -353,17 +357,19 @@ def encode_documents(docs: DataFrame, ranks_path: str | None = None, pattern: st
     """
     shared = vocabulary(docs.sparkSession, ranks_path, pattern)
 
-    def coded(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def coded(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         transducer, decoder, pieces = machines(shared)
         for batch in parts:
             for first in range(0, len(batch), ROWS_OUT):
-                ids, decoded = [], []
+                ids, ends, decoded = array("i"), [0], []
                 with no_collection():
-                    for text in batch.iloc[first : first + ROWS_OUT]:
+                    for text in batch.slice(first, ROWS_OUT).to_pylist():
                         own = transducer.encode(text, pieces) if text else []
-                        ids.append(own)  # Arrow takes lists faster than small arrays
+                        ids.extend(own)
+                        ends.append(len(ids))
                         decoded.append(decoder.decode(own))
-                yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series(decoded, dtype=object)})
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.Array.from_buffers(pa.int32(), len(ids), [None, pa.py_buffer(ids)]))
+                yield pa.StructArray.from_arrays([lists, pa.array(decoded, pa.string())], ["ids", "decoded"])
 
-    both = F.pandas_udf(coded, "ids array<int>, decoded string")(F.col("text").cast("string"))
+    both = F.arrow_udf(coded, "ids array<int>, decoded string")(F.col("text").cast("string"))
     return docs.select(F.struct("*").alias("row"), both.alias("both")).select("row", "both.ids", "both.decoded")
