@@ -47,7 +47,9 @@ def test_forecast_with_a_given_model_matches(trips_small):
     model = ops.fit_hourly_total_model(trips_small)
     a = sorted(tuple(r) for r in ops.demand_forecast(trips_small, model).collect())
     b = sorted(tuple(r) for r in ops.demand_forecast(trips_small).collect())
-    assert a == b
+    assert [r[:-1] for r in a] == [r[:-1] for r in b]
+    # Two solvers: equal but for rounding.
+    assert [r[-1] for r in a] == pytest.approx([r[-1] for r in b], rel=1e-9)
 
 
 def test_hourly_total_model_with_one_month_only(spark):

@@ -17,7 +17,9 @@ from tripscope.functions.columns import (
     distance_per_passenger,
     duration_minutes,
     duration_seconds,
+    elapsed_seconds,
     fare_per_mile,
+    in_zone,
     speed_mph,
     tip_percentage,
     with_measures,
@@ -33,8 +35,10 @@ __all__ = [
     "distance_per_passenger",
     "duration_minutes",
     "duration_seconds",
+    "elapsed_seconds",
     "fare_per_mile",
     "hour_of",
+    "in_zone",
     "iso_week_of",
     "iso_year_of",
     "month_of",

@@ -23,6 +23,40 @@ def duration_seconds() -> Column:
     return F.unix_timestamp(F.col(DROPOFF)) - F.unix_timestamp(F.col(PICKUP))
 
 
+def elapsed_seconds(zone: str) -> Column:
+    """Whole seconds that pass from pickup to dropoff on the clocks of ``zone``.
+
+    Stored times are wall-clock times, so over a clock change their difference
+    is an hour off.  Both times become instants of the zone first.  A wall time
+    that a backward change repeats means its first pass, but a dropoff whose
+    first pass lies before the pickup is in the second one; a wall time that a
+    forward change skips is read with the clocks not yet moved.
+    """
+
+    def instant(wall: Column) -> Column:
+        return F.convert_timezone(F.lit(zone), F.lit("UTC"), wall)
+
+    def wall(at: Column) -> Column:
+        return F.convert_timezone(F.lit("UTC"), F.lit(zone), at)
+
+    start, end = instant(F.col(PICKUP)), instant(F.col(DROPOFF))
+    seconds = F.unix_timestamp(end) - F.unix_timestamp(start)
+    out = seconds
+    # Clocks move by an hour, in a few places by half of one.
+    for step in (30, 60):
+        again = wall(end + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(step), F.lit(0))) == F.col(DROPOFF)
+        out = F.when((seconds < 0) & again, seconds + 60 * step).otherwise(out)
+    return out
+
+
+def in_zone(trips: DataFrame, zone: str) -> DataFrame:
+    """``trips`` with each dropoff set ``elapsed_seconds(zone)`` after the
+    pickup, so every analysis of durations and speeds measures the time that
+    passed.  Pickups, and the dropoffs of trips over no clock change, stay."""
+    length = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), elapsed_seconds(zone).cast("decimal(18,6)"))
+    return trips.withColumn(DROPOFF, F.col(PICKUP) + length).select(*trips.columns)
+
+
 def duration_minutes() -> Column:
     """Trip duration in minutes (whole seconds / 60)."""
     return duration_seconds() / 60.0

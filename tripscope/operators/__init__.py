@@ -6,6 +6,7 @@ from tripscope.operators.demand import (
     demand_lr_hourly_total,
     demand_lr_next_hour,
     demand_lr_passengers,
+    demand_rolling_error,
     fit_hourly_total_model,
     fit_next_hour_model,
     fit_passenger_model,
@@ -26,6 +27,12 @@ from tripscope.operators.locations import (
     top_dropoffs,
     top_pickups,
 )
+from tripscope.operators.seasons import (
+    days_in_ranges,
+    season_ranges,
+    tip_pct_by_season,
+    trip_by_season,
+)
 from tripscope.operators.speed import (
     speed_by_day_of_week,
     speed_by_hour,
@@ -34,6 +41,7 @@ from tripscope.operators.speed import (
     speed_by_od_week,
     speed_by_pickup_hour,
     speed_spread_by_od,
+    speed_variance_by_od,
 )
 from tripscope.operators.tips import (
     tip_amount_by_hour,
@@ -52,6 +60,7 @@ from tripscope.operators.tips import (
 )
 from tripscope.operators.trips import (
     duration_by_day_of_month,
+    elapsed_by_month,
     trip_by_day_of_week,
     trip_by_hour,
     trip_by_hour_dow_month,

@@ -11,24 +11,29 @@ Scale notes
   want the model object itself.
 * The three-feature models are trained on *aggregated* tables (one row per
   hour bucket or per calendar cell), whose size is bounded by the time span
-  and the calendar, not by the number of trips.  That table is checkpointed
-  once into ``spark.checkpoint.dir`` (a shared folder on a cluster), so the
-  fit and its summary read it instead of rescanning the trips, and a lost
-  executor does not replay the trip scan.
-* Next-hour labels come from an equi-join of the hourly counts with
-  themselves shifted by one hour, not from ``lead`` over a global window
-  (which would run in one task and skip gaps).
+  and the calendar, not by the number of trips.  Their results come from sums
+  of products (``functions.least_squares``): one more aggregate on top, solved
+  by column expressions, so a model is one pass, with no driver step and no
+  checkpoint.  ``fit_*`` return ``pyspark.ml`` models for callers who want the
+  model object; those estimators make several passes, over a checkpoint.
+* Next-hour labels: every hour count is sent to its own bucket and to the one
+  before it, and a second aggregate puts the two together.  No join, no
+  ``lead`` over a global window (one task, and it would skip gaps).
+* ``demand_rolling_error`` judges the next-hour model out of sample, month by
+  month: sums of products per month, added up over the months before, give the
+  model of each origin and its error on the month that follows, without
+  fitting or scanning again.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripscope.functions import calendar_keys, pickup
+from tripscope.functions import calendar_keys, least_squares, pickup
 from tripscope.operators.ordering import sort_bounded
 from tripscope.operators.trips import CALENDAR_KEYS
 from tripscope.schema import PICKUP
@@ -57,12 +62,6 @@ def _fit(train: DataFrame, features: list[str], label: str) -> LinearRegressionM
     )
 
 
-def _one_row(spark: SparkSession, values: dict[str, float]) -> DataFrame:
-    return spark.range(1).select(
-        *[F.lit(None if v is None else float(v)).cast("double").alias(k) for k, v in values.items()]
-    )
-
-
 # ---------------------------------------------------------------- per-trip
 
 
@@ -140,23 +139,47 @@ def calendar_totals(trips: DataFrame) -> DataFrame:
     )
 
 
+# Most files that a second, filtered pass names; with ties over more files than
+# this it reads them all.
+LATEST_FILES = 1_000
+
+
 def latest_trip(trips: DataFrame) -> DataFrame:
     """The whole row of the latest trip by pickup time.
 
-    One aggregate, one row of state per task.  A first pass for the maximum
-    and an equality filter for the rows would not save anything: Parquet row
-    groups are not skipped on a timestamp without time zone (measured: all
-    60,000 rows of 80 sorted row groups were read again).  Ties on the pickup
-    are broken by the other columns (max of a struct led by the pickup), so
-    the answer is deterministic, unlike ``max_by``.
+    Trips read from files are read in two steps: the latest pickup of each
+    file, from the pickup column alone, then the rows of that instant, from the
+    files that hold it and no others (row groups are not skipped on a timestamp
+    without time zone, files are).  Other trips, and streams, take one
+    aggregate.  Ties on the pickup, within and across files, are broken by the
+    other columns (maximum of a struct led by the pickup), so the answer is
+    deterministic, unlike ``max_by``.
     """
+    found = trips.where(F.col(PICKUP).isNotNull())
+    if not trips.isStreaming and _from_files(trips):
+        newest = found.groupBy(_file().alias("file")).agg(F.max(PICKUP).alias("latest"))
+        top = newest.orderBy(F.desc("latest"), "file").limit(LATEST_FILES + 1).collect()
+        files = [r.file for r in top if r.latest == top[0].latest]
+        if files:
+            found = found.where(F.col(PICKUP) == F.lit(top[0].latest))
+        if 0 < len(files) <= LATEST_FILES:
+            found = found.where(_file().isin(files))
     others = [c for c in trips.columns if c != PICKUP]
     row = F.max(F.struct(F.col(PICKUP), *[F.col(f"`{c}`") for c in others]))
-    return (
-        trips.where(F.col(PICKUP).isNotNull())
-        .agg(row.alias("latest"))
-        .select(*[F.col(f"latest.`{c}`").alias(c) for c in trips.columns])
-    )
+    return found.agg(row.alias("latest")).select(*[F.col(f"latest.`{c}`").alias(c) for c in trips.columns])
+
+
+def _file() -> Column:
+    return F.col("_metadata.file_path")
+
+
+def _from_files(trips: DataFrame) -> bool:
+    """Whether rows know the file they come from."""
+    try:
+        trips.select(_file())
+    except AnalysisException:
+        return False
+    return True
 
 
 def _hour_bucket(date: Column, hour: Column) -> Column:
@@ -176,35 +199,34 @@ def next_hour_labels(trips: DataFrame) -> DataFrame:
 def _next_hour_table(trips: DataFrame) -> DataFrame:
     """``next_hour_labels`` without the final ordering (the model does not
     need its training rows sorted)."""
-    # The one pass over the trips.  The per-hour table (bounded by the hours
-    # the data spans) is checkpointed: the self-join and the last-bucket
-    # subquery below then read it, instead of each rescanning the trips (the
-    # optimizer pushes the last-bucket filter below the aggregate, so the
-    # three uses would otherwise not share one exchange).
-    buckets = materialize(
-        # The key is the date and the hour; the bucket's timestamp is made
-        # once per bucket, after the aggregate, not once per trip.
+    # The one pass over the trips, to one row an hour.  The key is the date and
+    # the hour; the bucket's timestamp is made once per bucket, after the
+    # aggregate, not once per trip.
+    buckets = (
         trips.where(pickup().isNotNull())
         .groupBy(F.to_date(pickup()).alias("date"), F.hour(pickup()).alias("hour"))
         .agg(F.count(F.lit(1)).alias("pickups"))
         .select(_hour_bucket(F.col("date"), F.col("hour")).alias("hour_bucket"), "pickups")
     )
-    following = buckets.select(
-        (F.col("hour_bucket") - F.expr("INTERVAL 1 HOUR")).alias("hour_bucket"),
-        F.col("pickups").alias("pickups_next_hour"),
+    # The last bucket comes from the same exchange (same columns, so Spark
+    # reuses it): the trips are not scanned again.
+    last = buckets.agg(F.max(F.struct("hour_bucket", "pickups")).alias("m")).select("m.hour_bucket").scalar()
+    none = F.lit(None).cast("bigint")
+    here = F.struct(F.col("hour_bucket"), F.col("pickups").alias("own"), none.alias("after"))
+    before = F.struct(
+        (F.col("hour_bucket") - F.expr("INTERVAL 1 HOUR")).alias("hour_bucket"), none.alias("own"), F.col("pickups").alias("after")
     )
-    last_bucket = buckets.agg(F.max("hour_bucket")).scalar()
     bucket = F.col("hour_bucket")
     return (
-        buckets.where(bucket < last_bucket)
-        .join(following, "hour_bucket", "left")
+        buckets.select(F.inline(F.array(here, before)))
+        .groupBy("hour_bucket")
+        .agg(F.max("own").alias("pickups"), F.max("after").alias("after"))
+        .where(F.col("pickups").isNotNull() & (bucket < last))
         .select(
             "hour_bucket",
             *[c.alias(k) for k, c in calendar_keys(bucket).items()],
             "pickups",
-            F.coalesce(F.col("pickups_next_hour"), F.lit(0).cast("bigint")).alias(
-                "pickups_next_hour"
-            ),
+            F.coalesce("after", F.lit(0).cast("bigint")).alias("pickups_next_hour"),
         )
     )
 
@@ -212,46 +234,89 @@ def _next_hour_table(trips: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- models
 
 
-def _model_row(model: LinearRegressionModel | None, features: list[str]) -> dict[str, float]:
-    if model is None:
-        return {**{f"coef_{f}": None for f in features}, "intercept": None, "r2": None, "rmse": None}
-    row = {f"coef_{f}": c for f, c in zip(features, model.coefficients.toArray())}
-    row["intercept"] = model.intercept
-    summary = model.summary
-    row["r2"] = summary.r2
-    row["rmse"] = summary.rootMeanSquaredError
-    return row
+N_FEATURES = len(CALENDAR_KEYS)
+
+
+def _sums(label: str, prefix: str = "s") -> list[Column]:
+    return least_squares.product_sums([F.col(c) for c in CALENDAR_KEYS], F.col(label), prefix)
+
+
+def _solved(sums: DataFrame) -> DataFrame:
+    """A row's coefficients, R^2 and training RMSE under their result names."""
+    solved = least_squares.solve(sums, N_FEATURES)
+    return solved.withColumns(
+        {
+            **{f"coef_{c}": F.col(f"beta_{p + 1}") for p, c in enumerate(CALENDAR_KEYS)},
+            "intercept": F.col("beta_0"),
+            "r2": least_squares.r_squared(),
+            "rmse": F.sqrt("mse"),
+        }
+    )
+
+
+MODEL_COLUMNS = (*[f"coef_{c}" for c in CALENDAR_KEYS], "intercept", "r2", "rmse")
 
 
 def fit_next_hour_model(trips: DataFrame) -> LinearRegressionModel | None:
     """``pickups_next_hour ~ hour + day_of_week + month`` over hour buckets."""
-    # The estimator's few passes repeat the self-join of the checkpointed
-    # hour table, which the time span bounds; the trips are not read again.
-    train = _next_hour_table(trips).drop("hour_bucket")
+    train = materialize(_next_hour_table(trips).drop("hour_bucket"))
     return _fit(train, list(CALENDAR_KEYS), "pickups_next_hour")
 
 
 def demand_lr_next_hour(trips: DataFrame, point: tuple[int, int, int] = NEXT_HOUR_QUERY_POINT) -> DataFrame:
     """Next-hour pickup model: coefficients, intercept, R^2, RMSE and the
     prediction at ``point`` (hour, day of week, month)."""
-    features = list(CALENDAR_KEYS)
-    model = fit_next_hour_model(trips)
-    row = _model_row(model, features)
-    row.update({k: v for k, v in zip(features, point)})
-    row["prediction"] = (
-        None if model is None else model.predict(Vectors.dense([float(v) for v in point]))
+    solved = _solved(_next_hour_table(trips).agg(*_sums("pickups_next_hour")))
+    at = [F.lit(v) for v in point]
+    return solved.select(
+        *MODEL_COLUMNS,
+        *[v.cast("int").alias(c) for c, v in zip(CALENDAR_KEYS, at)],
+        least_squares.predict(at).alias("prediction"),
+    )
+
+
+def demand_rolling_error(trips: DataFrame) -> DataFrame:
+    """The next-hour model out of sample, one row per month but the first:
+    fitted on all hours before the month, judged on the hours of the month.
+
+    ``train_hours``, ``test_hours``, ``rmse`` on the month, ``train_rmse`` and
+    ``mean_rmse``, the error of always predicting the training mean.  Sums of
+    products per month and their running totals are all it needs: the rows
+    are aggregated once, and the running totals go over one row a month.
+    """
+    months = (
+        _next_hour_table(trips)
+        .groupBy(F.year("hour_bucket").alias("test_year"), F.month("hour_bucket").alias("test_month"))
+        .agg(*_sums("pickups_next_hour", "t"))
+    )
+    before = Window.orderBy("test_year", "test_month").rowsBetween(Window.unboundedPreceding, -1)
+    names = zip(least_squares.sum_names(N_FEATURES), least_squares.sum_names(N_FEATURES, "t"))
+    sums = months.withColumns({s: F.sum(t).over(before) for s, t in names}).where(F.col("s_0_0") > 0)
+    label = N_FEATURES + 1
+    mean = F.try_divide(F.col(f"s_0_{label}"), F.col("s_0_0"))
+    off = F.col(f"t_{label}_{label}") - 2 * mean * F.col(f"t_0_{label}") + mean * mean * F.col("t_0_0")
+    return (
+        _solved(sums)
+        .select(
+            "test_year",
+            "test_month",
+            F.col("s_0_0").cast("bigint").alias("train_hours"),
+            F.col("t_0_0").cast("bigint").alias("test_hours"),
+            F.sqrt(least_squares.mean_squared_error(N_FEATURES, "t")).alias("rmse"),
+            F.col("rmse").alias("train_rmse"),
+            F.sqrt(least_squares.not_negative(F.try_divide(off, F.col("t_0_0")))).alias("mean_rmse"),
+        )
+        .transform(sort_bounded, "test_year", "test_month")
     )
-    out = _one_row(trips.sparkSession, row)
-    return out.withColumns({k: F.col(k).cast("int") for k in features})
 
 
 def _calendar_training(trips: DataFrame) -> DataFrame:
-    """Training table of the hourly-total model, checkpointed: one row per
-    calendar cell with its passengers and its latest pickup (so a forecast
-    needs no second pass over the trips to find the latest one)."""
+    """Training table of the hourly-total model: one row per calendar cell
+    with its passengers and its latest pickup (so a forecast needs no second
+    pass over the trips to find the latest one)."""
     # Trips without a pickup time have no calendar cell; the filter reaches
     # the scan.
-    return materialize(
+    return (
         trips.where(pickup().isNotNull())
         .withColumns(calendar_keys())
         .groupBy(*CALENDAR_KEYS)
@@ -262,54 +327,44 @@ def _calendar_training(trips: DataFrame) -> DataFrame:
     )
 
 
-def _fit_hourly_total(training: DataFrame) -> LinearRegressionModel | None:
-    train = training.where(F.col("total_passengers").isNotNull())
-    return _fit(train, list(CALENDAR_KEYS), "total_passengers")
-
-
 def fit_hourly_total_model(trips: DataFrame) -> LinearRegressionModel | None:
     """``total_passengers ~ hour + day_of_week + month`` over calendar cells."""
-    return _fit_hourly_total(_calendar_training(trips))
+    train = materialize(_calendar_training(trips)).where(F.col("total_passengers").isNotNull())
+    return _fit(train, list(CALENDAR_KEYS), "total_passengers")
 
 
 def demand_lr_hourly_total(trips: DataFrame) -> DataFrame:
     """The hourly-total model: coefficients, intercept, R^2, RMSE."""
-    model = fit_hourly_total_model(trips)
-    return _one_row(trips.sparkSession, _model_row(model, list(CALENDAR_KEYS)))
-
-
-def _horizons(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        list(FORECAST_HORIZONS), "horizon string, offset_days int, offset_hours int"
-    )
+    return _solved(_calendar_training(trips).agg(*_sums("total_passengers"))).select(*MODEL_COLUMNS)
 
 
 def demand_forecast(trips: DataFrame, model: LinearRegressionModel | None = None) -> DataFrame:
     """Predicted passengers for the hour after the latest pickup, the same
-    time next day and 30 days on, from the hourly-total model.
+    time next day and 30 days on, from the hourly-total model (or a given one).
 
-    The latest pickup enters as a scalar subquery and the calendar features
-    are computed in the plan (day of week coded as in training), so nothing
-    passes through driver Python but the fitted model.
+    One aggregate of the calendar cells yields the model and the latest
+    pickup; the horizons and their calendar features (day of week coded as in
+    training) are columns of its one row, so nothing passes through the driver.
     """
+    latest = F.max("latest_pickup").alias("latest")
+    horizons = F.array(
+        *[
+            F.struct(F.lit(name).alias("horizon"), F.make_dt_interval(F.lit(days), F.lit(hours), F.lit(0), F.lit(0)).alias("ahead"))
+            for name, days, hours in FORECAST_HORIZONS
+        ]
+    )
     if model is None:
-        training = _calendar_training(trips)
-        model = _fit_hourly_total(training)
-        latest = training.agg(F.max("latest_pickup")).scalar()
+        base = _solved(_calendar_training(trips).agg(latest, *_sums("total_passengers")))
     else:
-        latest = trips.agg(F.max(PICKUP)).scalar()
-    target: Column = latest + F.make_dt_interval(
-        F.col("offset_days"), F.col("offset_hours"), F.lit(0), F.lit(0)
-    )
-    points = _horizons(trips.sparkSession).select(
-        "horizon", target.alias("target_datetime")
-    ).withColumns(calendar_keys(F.col("target_datetime")))
-    if model is None:  # no training rows: nothing to predict with
-        predicted = points.withColumn("prediction", F.lit(None).cast("double"))
+        base = trips.agg(F.max(PICKUP).alias("latest"))
+    points = base.select("*", F.inline(horizons)).withColumn("target_datetime", F.col("latest") + F.col("ahead"))
+    points = points.withColumns(calendar_keys(F.col("target_datetime")))
+    if model is None:
+        points = points.withColumn("prediction", least_squares.predict([F.col(c) for c in CALENDAR_KEYS]))
     else:
         assembler = VectorAssembler(inputCols=list(CALENDAR_KEYS), outputCol="features")
-        predicted = model.transform(assembler.transform(points))
-    return predicted.select(
+        points = model.transform(assembler.transform(points))
+    return points.select(
         "horizon",
         "target_datetime",
         *CALENDAR_KEYS,

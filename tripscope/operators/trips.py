@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripscope.functions import calendar_keys, day_of_month_of, pickup, with_measures
+from tripscope.functions import calendar_keys, day_of_month_of, elapsed_seconds, pickup, with_measures
 from tripscope.operators.ordering import sort_bounded
 
 CALENDAR_KEYS = ("hour", "day_of_week", "month")
@@ -54,6 +54,27 @@ def duration_by_day_of_month(trips: DataFrame) -> DataFrame:
     )
 
 
+# Fixed value: the zone whose clocks the trips' times are taken to show.
+TRIP_ZONE = "America/New_York"
+
+
+def elapsed_by_month(trips: DataFrame, zone: str = TRIP_ZONE) -> DataFrame:
+    """Average duration (minutes) per month on the wall clock and as time that
+    passed in ``zone``, and how many trips the two differ for: those over a
+    clock change."""
+    apart = elapsed_seconds(zone)
+    t = with_measures(trips, "trip_duration_s", extra={"month": calendar_keys()["month"], "elapsed_s": apart})
+    return sort_bounded(
+        t.groupBy("month").agg(
+            F.count(F.lit(1)).alias("trips"),
+            F.count_if(F.col("elapsed_s") != F.col("trip_duration_s")).alias("trips_over_change"),
+            (F.avg("trip_duration_s") / 60.0).alias("avg_wall_min"),
+            (F.avg("elapsed_s") / 60.0).alias("avg_elapsed_min"),
+        ),
+        "month",
+    )
+
+
 def trip_by_hour_dow_month(trips: DataFrame) -> DataFrame:
     """Average duration (seconds) and distance per passenger for each
     hour x day of week x month cell."""

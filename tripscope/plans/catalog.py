@@ -28,6 +28,7 @@ QUERY_FUNCTIONS: dict[str, TripQuery] = {
     "trip_by_day_of_week": ops.trip_by_day_of_week,
     "trip_by_month": ops.trip_by_month,
     "duration_by_day_of_month": ops.duration_by_day_of_month,
+    "elapsed_by_month": ops.elapsed_by_month,
     "trip_by_hour_dow_month": ops.trip_by_hour_dow_month,
     "trip_calendar_sets": ops.trip_calendar_sets,
     # popular locations
@@ -62,12 +63,16 @@ QUERY_FUNCTIONS: dict[str, TripQuery] = {
     "tip_pct_by_year_week": ops.tip_pct_by_year_week,
     "tip_pct_by_holiday": ops.tip_pct_by_holiday,
     "trip_by_holiday": ops.trip_by_holiday,
+    "tip_pct_by_season": ops.tip_pct_by_season,
+    "trip_by_season": ops.trip_by_season,
     "speed_spread_by_od": ops.speed_spread_by_od,
+    "speed_variance_by_od": ops.speed_variance_by_od,
     "speed_by_od_week": ops.speed_by_od_week,
     # demand
     "demand_lr_passengers": ops.demand_lr_passengers,
     "next_hour_labels": ops.next_hour_labels,
     "demand_lr_next_hour": ops.demand_lr_next_hour,
+    "demand_rolling_error": ops.demand_rolling_error,
     "hourly_totals": ops.hourly_totals,
     "calendar_totals": ops.calendar_totals,
     "demand_lr_hourly_total": ops.demand_lr_hourly_total,
@@ -83,6 +88,11 @@ QUERY_FUNCTIONS: dict[str, TripQuery] = {
 DEFAULT_DIGITS = 6
 DIGITS = {
     "total_tip_amount": 2,
+    # Variances of speeds reach 10^8: nine digits before the point.
+    "var_total": 2,
+    "var_between_hours": 2,
+    "var_between_bands": 2,
+    "var_within": 2,
     "correlation": 9,
     "coefficient": 9,
     "r2": 9,

@@ -17,6 +17,8 @@ from __future__ import annotations
 
 from tripscope.functions.calendar import US_FEDERAL_HOLIDAY_RULES
 from tripscope.operators.demand import FORECAST_HORIZONS, NEXT_HOUR_QUERY_POINT
+from tripscope.operators.seasons import SEASON_RULES
+from tripscope.operators.speed import DISTANCE_BANDS
 from tripscope.plans.catalog import DEFAULT_DIGITS, DIGITS
 from tripscope.schema import TRIP_SCHEMA
 from tripscope.sources.lineitem import (
@@ -233,6 +235,170 @@ def _latest_trip() -> str:
     return _q(f"SELECT {out} FROM (SELECT * FROM trips ORDER BY {keys} LIMIT 1) AS latest")
 
 
+def _seasons(measures: list[tuple[str, str]]) -> str:
+    """Days joined to the yearly ranges by their dates."""
+    rules = ", ".join(f"('{n}', {a}, {b}, {c}, {d})" for n, a, b, c, d in SEASON_RULES)
+    sums = ", ".join(f"sum({c}) AS s_{c}, count({c}) AS n_{c}" for c, _ in measures)
+    ctes = f""",
+days AS (
+  SELECT pickup_date, count(*) AS n, {sums} FROM f WHERE pickup_date IS NOT NULL GROUP BY pickup_date
+),
+years AS (
+  SELECT unnest(generate_series((SELECT min(year(pickup_date)) FROM days) - 1,
+                                (SELECT max(year(pickup_date)) FROM days))) AS y
+),
+rules AS (SELECT * FROM (VALUES {rules}) AS v(season_name, m1, d1, m2, d2)),
+ranges AS (
+  SELECT season_name, make_date(y, m1, d1) AS first_day,
+    make_date(y + CASE WHEN m2 * 100 + d2 < m1 * 100 + d1 THEN 1 ELSE 0 END, m2, d2) AS last_day
+  FROM rules CROSS JOIN years
+),
+held AS (
+  SELECT r.season_name, d.* FROM days d JOIN ranges r ON d.pickup_date BETWEEN r.first_day AND r.last_day
+  UNION ALL
+  SELECT CAST(NULL AS VARCHAR) AS season_name, d.* FROM days d
+  WHERE NOT EXISTS (SELECT 1 FROM ranges r WHERE d.pickup_date BETWEEN r.first_day AND r.last_day)
+)"""
+    means = ", ".join(_r(f"sum(s_{c}) / nullif(sum(n_{c}), 0)", alias) for c, alias in measures)
+    return _q(
+        "SELECT season_name, count(*) AS days, CAST(sum(n) AS BIGINT) AS trips, "
+        f"{means} FROM held GROUP BY season_name",
+        ctes,
+    )
+
+
+def _speed_variance() -> str:
+    """Within and between sums of squares from the groups' means."""
+    band = " + ".join(f"CASE WHEN trip_distance >= {edge} THEN 1 ELSE 0 END" for edge in DISTANCE_BANDS)
+    keys = "PULocationID, DOLocationID"
+    same = "a.PULocationID IS NOT DISTINCT FROM b.PULocationID AND a.DOLocationID IS NOT DISTINCT FROM b.DOLocationID"
+    ctes = f""",
+v AS (SELECT {keys}, hour, {band} AS band, trip_speed_mph AS x FROM f WHERE trip_speed_mph IS NOT NULL),
+cells AS (
+  SELECT {keys}, hour, band, count(x) AS n, avg(x) AS mean, var_pop(x) * count(x) AS m2
+  FROM v GROUP BY {keys}, hour, band
+),
+hours AS (SELECT {keys}, hour, count(x) AS n, avg(x) AS mean, var_pop(x) * count(x) AS m2 FROM v GROUP BY {keys}, hour),
+hour_parts AS (SELECT {keys}, sum(m2) AS in_hours FROM hours GROUP BY {keys}),
+cell_parts AS (SELECT {keys}, sum(m2) AS within FROM cells GROUP BY {keys}),
+pairs AS (SELECT {keys}, count(x) AS n, avg(x) AS mean, var_pop(x) * count(x) AS m2 FROM v GROUP BY {keys}),
+parts AS (
+  SELECT a.*, b.in_hours, c.within FROM pairs a JOIN hour_parts b ON {same}
+  JOIN cell_parts c ON {same.replace("b.", "c.")}
+)"""
+    part = "greatest({}, 0) / n"
+    cols = [
+        _r("mean", "avg_speed_mph"),
+        _r(part.format("m2"), "var_total"),
+        _r(part.format("m2 - in_hours"), "var_between_hours"),
+        _r(part.format("in_hours - within"), "var_between_bands"),
+        _r(part.format("within"), "var_within"),
+        _r("CASE WHEN n > 1 THEN within / nullif(m2, 0) END", "similar_share"),
+    ]
+    return _q(f"SELECT {keys}, n AS trips, {', '.join(cols)} FROM parts", ctes)
+
+
+def _elapsed() -> str:
+    """New York clocks by the rules of 1987-2006 and since: the offset of a
+    wall time, an hour more in summer.  The hour that the forward change skips
+    (2 to 3) is read with the clocks not yet moved."""
+
+    def first_sunday(month: int, least: int) -> str:
+        day = f"make_date(y, {month}, {least})"
+        return f"{day} + CAST((7 - dayofweek({day})) % 7 AS INTEGER)"
+
+    ctes = f""",
+years AS (
+  SELECT unnest(generate_series((SELECT min(year(pickup_date)) FROM f) - 1,
+                                (SELECT max(year(pickup_date)) FROM f) + 1)) AS y
+),
+changes AS (
+  SELECT y,
+    CAST(CASE WHEN y < 2007 THEN {first_sunday(4, 1)} ELSE {first_sunday(3, 8)} END AS TIMESTAMP)
+      + INTERVAL 3 HOUR AS forward,
+    CAST(CASE WHEN y < 2007 THEN {first_sunday(10, 25)} ELSE {first_sunday(11, 1)} END AS TIMESTAMP)
+      + INTERVAL 2 HOUR AS back
+  FROM years
+),
+e AS (
+  SELECT f.month, f.trip_duration_s,
+    f.trip_duration_s
+      + 3600 * (CASE WHEN f.tpep_pickup_datetime >= p.forward AND f.tpep_pickup_datetime < p.back THEN 1 ELSE 0 END)
+      - 3600 * (CASE WHEN f.tpep_dropoff_datetime >= d.forward AND f.tpep_dropoff_datetime < d.back THEN 1 ELSE 0 END)
+      AS elapsed_s
+  FROM f LEFT JOIN changes p ON p.y = year(f.tpep_pickup_datetime)
+         LEFT JOIN changes d ON d.y = year(f.tpep_dropoff_datetime)
+)"""
+    return _q(
+        "SELECT month, count(*) AS trips, count(*) FILTER (WHERE elapsed_s <> trip_duration_s) AS trips_over_change, "
+        + _r("avg(trip_duration_s) / 60.0", "avg_wall_min")
+        + ", "
+        + _r("avg(elapsed_s) / 60.0", "avg_elapsed_min")
+        + " FROM e GROUP BY month",
+        ctes,
+    )
+
+
+def _rolling_error() -> str:
+    """Running sums of products over the months, eliminated feature by feature."""
+    k, x = 3, ["1.0", "hour", "day_of_week", "month", "pickups_next_hour"]
+    pairs = [(i, j) for i in range(k + 2) for j in range(i, k + 2)]
+    inner = [(i, j) for i, j in pairs if i > 0]
+    sums = ", ".join(f"sum(CAST({x[i]} AS DOUBLE) * {x[j]}) AS t_{i}_{j}" for i, j in pairs)
+    over = "OVER (ORDER BY y, mo ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    running = ", ".join(f"sum(t_{i}_{j}) {over} AS s_{i}_{j}" for i, j in pairs)
+    central = ", ".join(f"s_{i}_{j} / s_0_0 - (s_0_{i} / s_0_0) * (s_0_{j} / s_0_0) AS c_{i}_{j}" for i, j in inner)
+    central += "".join(f", s_{i}_{i} / s_0_0 - (s_0_{i} / s_0_0) * (s_0_{i} / s_0_0) AS v_{i}" for i in range(1, k + 1))
+    steps, last = [], "z0"
+    for p in range(1, k + 1):
+        keep = f"(v_{p} > 0 AND c_{p}_{p} > 1e-9 * v_{p})"
+
+        def c(i: int, j: int) -> str:
+            return f"c_{min(i, j)}_{max(i, j)}"
+
+        new = []
+        for i, j in inner:
+            if i == p and j == p:
+                value = f"-1 / nullif({c(p, p)}, 0)"
+            elif p in (i, j):
+                value = f"{c(i, j)} / nullif({c(p, p)}, 0)"
+            else:
+                value = f"{c(i, j)} - {c(i, p)} * {c(p, j)} / nullif({c(p, p)}, 0)"
+            new.append(f"CASE WHEN {keep} THEN {value} ELSE {c(i, j)} END AS c_{i}_{j}")
+        others = [f"t_{i}_{j}, s_{i}_{j}" for i, j in pairs] + [f"v_{i}" for i in range(1, k + 1)]
+        others += [f"k_{q}" for q in range(1, p)] + [f"CASE WHEN {keep} THEN 1 ELSE 0 END AS k_{p}"]
+        steps.append(f"z{p} AS (SELECT y, mo, {', '.join(others + new)} FROM {last})")
+        last = f"z{p}"
+    betas = ", ".join(f"CASE WHEN k_{p} = 1 THEN c_{p}_{k + 1} ELSE 0 END AS b_{p}" for p in range(1, k + 1))
+    w = [f"(-(s_0_{k + 1} / s_0_0" + "".join(f" - b_{p} * s_0_{p} / s_0_0" for p in range(1, k + 1)) + "))"]
+    w += [f"(-b_{p})" for p in range(1, k + 1)] + ["1"]
+    squares = " + ".join(f"{w[i]} * {w[j]} * t_{i}_{j}" + (" * 2" if i != j else "") for i, j in pairs)
+    mean = f"(s_0_{k + 1} / s_0_0)"
+    off = f"t_{k + 1}_{k + 1} - 2 * {mean} * t_0_{k + 1} + {mean} * {mean} * t_0_0"
+    ctes = (
+        _BUCKETS
+        + f""",
+mo AS (
+  SELECT CAST(year(hour_bucket) AS INTEGER) AS y, CAST(month(hour_bucket) AS INTEGER) AS mo, {sums}
+  FROM labels GROUP BY 1, 2
+),
+r AS (SELECT *, {running} FROM mo),
+z0 AS (SELECT *, {central} FROM r WHERE s_0_0 > 0),
+{", ".join(steps)},
+fit AS (SELECT *, {betas} FROM {last})"""
+    )
+    cols = [
+        "y AS test_year",
+        "mo AS test_month",
+        "CAST(s_0_0 AS BIGINT) AS train_hours",
+        "CAST(t_0_0 AS BIGINT) AS test_hours",
+        _r(f"sqrt(greatest(({squares}) / t_0_0, 0))", "rmse"),
+        _r(f"sqrt(greatest(c_{k + 1}_{k + 1}, 0))", "train_rmse"),
+        _r(f"sqrt(greatest(({off}) / t_0_0, 0))", "mean_rmse"),
+    ]
+    return _q(f"SELECT {', '.join(cols)} FROM fit", ctes)
+
+
 _R2 = "regr_r2(passenger_count, hour)"
 
 
@@ -248,6 +414,11 @@ def oracle_sql() -> dict[str, str]:
         "duration_by_day_of_month": _avg_by(
             "day_of_month", [("avg(trip_duration_min)", "avg_duration_min")]
         ),
+        "elapsed_by_month": _elapsed(),
+        "trip_by_season": _seasons([("trip_duration_min", "avg_duration_min"), ("trip_distance", "avg_distance")]),
+        "tip_pct_by_season": _seasons([("tip_percentage", "avg_tip_percentage")]),
+        "speed_variance_by_od": _speed_variance(),
+        "demand_rolling_error": _rolling_error(),
         "trip_by_hour_dow_month": _q(
             f"SELECT {cal}, {_r('avg(trip_duration_s)', 'avg_duration_s')}, "
             f"{_r('avg(distance_per_passenger)', 'avg_distance_per_passenger')} "
