@@ -1,5 +1,6 @@
 """Relations that must hold between results."""
 
+import pytest
 from pyspark.sql import functions as F
 
 import tripscope.operators as ops
@@ -44,20 +45,27 @@ def test_next_hour_labels_cover_all_but_the_last_hour(trips_small):
     assert total == trips_small.count() - last
 
 
-def test_analysis_groups_cover_the_catalogue(trips_small):
-    from tripscope import analyses
+def test_the_whole_study_covers_the_catalogue(trips_small):
+    from tripscope.analyses import SECTIONS, study
     from tripscope.plans.catalog import QUERY_FUNCTIONS
 
-    groups = [analyses.trip_analysis, analyses.popular_locations, analyses.tip_analysis,
-              analyses.fare_analysis, analyses.traffic_analysis]
-    names = set()
-    for g in groups:
-        names |= set(g(trips_small))
-    lazy_only = set(QUERY_FUNCTIONS) - names
-    # the rest: the demand group (fits models), the source check and helpers
-    assert lazy_only <= {"source_profile", "next_hour_labels", "calendar_totals", "latest_trip",
-                         "demand_lr_passengers", "demand_lr_next_hour", "demand_lr_hourly_total",
-                         "hourly_totals", "demand_forecast"}
+    assert set(study(trips_small)) == set(QUERY_FUNCTIONS) - {"source_profile"}
+    assert set(study(trips_small, ["zones"])) == {"pickup_counts", "dropoff_counts", "top_pickups", "top_dropoffs"}
+    assert "fares" in SECTIONS
+    with pytest.raises(ValueError, match="no such sections"):
+        study(trips_small, ["fares", "weather"])
+
+
+def test_a_study_builds_each_cell_table_once(trips_small, monkeypatch):
+    from tripscope import analyses
+
+    built = []
+    whole = analyses._cells
+    monkeypatch.setattr(analyses, "_cells", lambda *a: built.append(1) or whole(*a))
+    analyses.study(trips_small, ["trips", "zones", "tips", "traffic"])
+    assert len(built) == 2
+    analyses.study(trips_small, ["fares"])
+    assert len(built) == 3
 
 
 def test_rounding_scales_the_binary_value(spark):

@@ -48,7 +48,8 @@ def test_incremental_matches_batch_and_resumes(spark, tmp_dir):
 
 
 STREAMABLE = [
-    
+    "trip_calendar_sets",
+    "elapsed_by_month",
     "top_pickups",
     "fare_by_od",
     "fare_distance_corr",

@@ -1,21 +1,20 @@
-"""The analysis groups of a trip study, each a dict of named results.
-
-For callers who ran the analyses section by section (trip, locations, tips,
-fares, traffic, demand): every group returns its results as DataFrames keyed
-by the names used in ``queries()``.
-
-Most results of a section are roll-ups of two small tables, so a section reads
-the trips once for each table it needs instead of once per result: the
-calendar cells (hour x day of week x month x day of month, at most 62,496) and
-the zone cells (pickup x dropoff x hour).  They hold sums and counts, are
-written once to the checkpoint folder, and every roll-up reads that.  Results
-keyed by anything else (payment type, ISO week, holiday, passengers, zone pair
-by cell, correlations, models) keep a scan of their own.
+"""A whole trip study: many results from few scans.
+
+``study`` returns the results of the sections asked for, keyed by their names
+in ``queries()``.  Most results are roll-ups of two small tables: the calendar
+cells (hour x day of week x month x day of month, at most 62,496) and the zone
+cells (pickup x dropoff x hour).  They hold sums and counts; each is built by
+one scan, written once to the checkpoint folder, and shared by every section
+that rolls it up.  Results keyed by anything else (payment type, ISO week,
+holiday, season, passengers, zone pair by cell, correlations, models) keep a
+scan of their own.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 import tripscope.operators as ops
@@ -24,7 +23,6 @@ from tripscope.operators.locations import TOP_K
 from tripscope.operators.ordering import sort_bounded
 from tripscope.operators.trips import CALENDAR_KEYS
 from tripscope.session import materialize
-from tripscope.sources import read_trips
 
 DERIVED = (
     "trip_duration_s",
@@ -37,15 +35,6 @@ DERIVED = (
 STORED = ("trip_distance", "tip_amount", "total_amount", "fare_amount", "passenger_count")
 
 
-def load_data(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
-    """Trip files (a folder or a glob of monthly files) as conformed trips."""
-    return read_trips(spark, path, format)
-
-
-def _group(trips: DataFrame, *fns) -> dict[str, DataFrame]:
-    return {fn.__name__: fn(trips) for fn in fns}
-
-
 # ---------------------------------------------------------------- shared cells
 
 
@@ -138,72 +127,69 @@ def zone_results(trips: DataFrame) -> dict[str, DataFrame]:
     return out
 
 
-def _pick(results: dict[str, DataFrame], *prefixes: str) -> dict[str, DataFrame]:
-    return {k: v for k, v in results.items() if k.startswith(prefixes)}
-
-
 # ---------------------------------------------------------------- sections
 
-
-def trip_analysis(trips: DataFrame) -> dict[str, DataFrame]:
-    """Average duration and distance by hour, day of week, month, day of
-    month and calendar cell from one scan, and by holiday from another."""
-    return {
-        **_pick(calendar_results(trips), "trip_by_", "trip_calendar_sets", "duration_by_"),
-        **_group(trips, ops.trip_by_holiday),
-    }
-
-
-def popular_locations(trips: DataFrame) -> dict[str, DataFrame]:
-    """Busiest pickup and dropoff zones: top 10 and full counts, one scan."""
-    return _pick(zone_results(trips), "top_", "pickup_counts", "dropoff_counts")
-
-
-def tip_analysis(trips: DataFrame) -> dict[str, DataFrame]:
-    """Tip percentages and amounts by time, place and payment type: a scan
-    for each of the two cell tables and one for each other key."""
-    return {
-        **_pick(calendar_results(trips), "tip_"),
-        **_pick(zone_results(trips), "tip_"),
-        **_group(
-            trips,
-            ops.tip_pct_by_year_week,
-            ops.tip_pct_by_holiday,
-            ops.tip_amount_by_payment,
-            ops.tip_clamped_by_payment,
-            ops.tip_distance_corr,
+# What a section takes from the calendar cells and from the zone cells (name
+# prefixes), and the analyses it scans for.
+SECTIONS: dict[str, tuple[tuple[str, ...], tuple[str, ...], tuple[str, ...]]] = {
+    "trips": (
+        ("trip_by_", "trip_calendar_sets", "duration_by_"),
+        (),
+        ("trip_by_holiday", "trip_by_season", "elapsed_by_month"),
+    ),
+    "zones": ((), ("top_", "pickup_counts", "dropoff_counts"), ()),
+    "tips": (
+        ("tip_",),
+        ("tip_",),
+        (
+            "tip_pct_by_year_week",
+            "tip_pct_by_holiday",
+            "tip_pct_by_season",
+            "tip_amount_by_payment",
+            "tip_clamped_by_payment",
+            "tip_distance_corr",
         ),
-    }
-
-
-def fare_analysis(trips: DataFrame) -> dict[str, DataFrame]:
-    """Average fares by zone pair and passengers; fare correlations."""
-    return _group(
-        trips,
-        ops.fare_by_od,
-        ops.fare_by_passengers,
-        ops.fare_distance_corr,
-        ops.fare_per_mile_distance_corr,
-        ops.fare_passenger_corr,
-    )
-
-
-def traffic_analysis(trips: DataFrame) -> dict[str, DataFrame]:
-    """Trip speeds by time and zone pair, and their spread."""
-    return {
-        **_pick(calendar_results(trips), "speed_"),
-        **_pick(zone_results(trips), "speed_"),
-        **_group(trips, ops.speed_by_od_hour_dow_month, ops.speed_spread_by_od, ops.speed_by_od_week),
-    }
-
-
-def demand_prediction(trips: DataFrame) -> dict[str, DataFrame]:
-    """Demand regressions and forecasts (fits the models when called)."""
-    return _group(
-        trips,
-        ops.demand_lr_passengers,
-        ops.demand_lr_next_hour,
-        ops.demand_lr_hourly_total,
-        ops.hourly_totals,
-        ops.demand_forecast,
-    )
+    ),
+    "fares": (
+        (),
+        ("fare_by_od",),
+        ("fare_by_passengers", "fare_distance_corr", "fare_per_mile_distance_corr", "fare_passenger_corr"),
+    ),
+    "traffic": (
+        ("speed_",),
+        ("speed_",),
+        ("speed_by_od_hour_dow_month", "speed_spread_by_od", "speed_variance_by_od", "speed_by_od_week"),
+    ),
+    "demand": (
+        ("hourly_totals", "calendar_totals"),
+        (),
+        (
+            "next_hour_labels",
+            "demand_lr_passengers",
+            "demand_lr_next_hour",
+            "demand_lr_hourly_total",
+            "demand_rolling_error",
+            "demand_forecast",
+            "latest_trip",
+        ),
+    ),
+}
+
+
+def study(trips: DataFrame, sections: Iterable[str] | None = None) -> dict[str, DataFrame]:
+    """The results of some SECTIONS (default: all), each under its name in
+    ``queries()``.  A cell table that any of them needs is built once."""
+    wanted = list(SECTIONS) if sections is None else list(dict.fromkeys(sections))
+    unknown = [s for s in wanted if s not in SECTIONS]
+    if unknown:
+        raise ValueError(f"no such sections: {unknown}; there are {list(SECTIONS)}")
+    tables: list[dict[str, DataFrame]] = []
+    for part, build in enumerate((calendar_results, zone_results)):
+        tables.append(build(trips) if any(SECTIONS[s][part] for s in wanted) else {})
+    out: dict[str, DataFrame] = {}
+    for section in wanted:
+        *prefixes, scanned = SECTIONS[section]
+        for table, starts in zip(tables, prefixes):
+            out.update({k: v for k, v in table.items() if starts and k.startswith(starts)})
+        out.update({name: getattr(ops, name)(trips) for name in scanned})
+    return out

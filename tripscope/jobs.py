@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from tripscope.functions import day_of_month_of, duration_minutes, hour_of, month_of, pickup
 from tripscope.session import materialize
-from tripscope.sinks import write_single_csv
-from tripscope.sources import read_trips, source_profile
+from tripscope.sinks import write_result, write_single_csv
+from tripscope.sources import read_trips, source_profile, split_csv
 
 # Output folder and key column of each report.
 DURATION_REPORTS = (
@@ -44,6 +44,10 @@ GROWING_RESULTS = frozenset(
         "speed_by_od_hour_dow_month",
         "next_hour_labels",
         "tip_pct_by_year_week",
+        "speed_variance_by_od",
+        "trip_by_season",
+        "tip_pct_by_season",
+        "demand_rolling_error",
     }
 )
 
@@ -94,6 +98,16 @@ def describe_source(spark: SparkSession, input_path: str, format: str = "parquet
     return source_profile(read_trips(spark, input_path, format))
 
 
+def split_records(spark: SparkSession, input_path: str, output_path: str) -> dict[str, str]:
+    """Headed CSV files as ``trips`` and ``rejects`` (file, record, reason),
+    two Parquet folders that between them hold every record."""
+    written = {}
+    for name, part in zip(("trips", "rejects"), split_csv(spark, input_path)):
+        written[name] = os.path.join(output_path, name)
+        write_result(part, written[name])
+    return written
+
+
 def run_analysis(
     spark: SparkSession,
     name: str,
@@ -107,7 +121,6 @@ def run_analysis(
     results of fixed size; growing results and other formats are written in
     parallel."""
     from tripscope.plans.catalog import QUERY_FUNCTIONS
-    from tripscope.sinks import write_result
 
     result = QUERY_FUNCTIONS[name](read_trips(spark, input_path, format))
     if output_format == "csv" and name not in GROWING_RESULTS:
@@ -119,8 +132,8 @@ def run_analysis(
 def main(argv: list[str] | None = None) -> None:
     """``spark-submit tripscope/jobs.py <job> --input PATH [--output PATH]``.
 
-    Jobs: ``duration_reports``, ``describe_source`` (printed), or the name
-    of any analysis in ``queries()``.  With ``--input-bytes`` and
+    Jobs: ``duration_reports``, ``describe_source`` (printed), ``split_records``
+    (CSV in, trips and rejects out), or the name of any analysis in ``queries()``.  With ``--input-bytes`` and
     ``--total-cores`` the partitions are sized by ``session.scale_conf``.
     """
     import argparse
@@ -129,7 +142,7 @@ def main(argv: list[str] | None = None) -> None:
     from tripscope.session import PAIR_CELL_KEYS, SMALL_KEYS, build_session, scale_conf
 
     parser = argparse.ArgumentParser(prog="tripscope.jobs")
-    parser.add_argument("job", choices=["duration_reports", "describe_source", *QUERY_FUNCTIONS])
+    parser.add_argument("job", choices=["duration_reports", "describe_source", "split_records", *QUERY_FUNCTIONS])
     parser.add_argument("--input", required=True)
     parser.add_argument("--output")
     parser.add_argument("--format", default="parquet", help="input format")
@@ -146,6 +159,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(f"tripscope-{args.job}", conf=conf)
     if args.job == "duration_reports":
         duration_reports(spark, args.input, args.output, args.format)
+    elif args.job == "split_records":
+        split_records(spark, args.input, args.output)
     elif args.job == "describe_source":
         describe_source(spark, args.input, args.format).show(truncate=False)
     else:

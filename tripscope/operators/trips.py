@@ -95,24 +95,30 @@ def trip_calendar_sets(trips: DataFrame) -> DataFrame:
 
     The trips are first reduced to their calendar cells (2,016 at most) with
     sums and counts; ``GROUPING SETS ((hour), (day_of_week), (month))`` then
-    expands the cells, not the trips.  ``grouping`` names the set a row
+    expands the cells, not the trips.  A stream allows one aggregate only, so
+    there the sets expand the (new) trips.  ``grouping`` names the set a row
     belongs to; the other two keys are NULL in that row.
     """
     t = with_measures(trips, "trip_duration_min", extra=calendar_keys())
     keys = [F.col(k) for k in CALENDAR_KEYS]
     gid = F.grouping_id(*keys)
-    cells = t.groupBy(*keys).agg(
-        F.sum("trip_duration_min").alias("s_min"),
-        F.count("trip_duration_min").alias("n_min"),
-        F.sum("trip_distance").alias("s_mi"),
-        F.count("trip_distance").alias("n_mi"),
-    )
+    if trips.isStreaming:
+        rows, duration, distance = t, F.avg("trip_duration_min"), F.avg("trip_distance")
+    else:
+        rows = t.groupBy(*keys).agg(
+            F.sum("trip_duration_min").alias("s_min"),
+            F.count("trip_duration_min").alias("n_min"),
+            F.sum("trip_distance").alias("s_mi"),
+            F.count("trip_distance").alias("n_mi"),
+        )
+        duration = F.try_divide(F.sum("s_min"), F.sum("n_min"))
+        distance = F.try_divide(F.sum("s_mi"), F.sum("n_mi"))
     result = (
-        cells.groupingSets([[k] for k in keys], *keys)
+        rows.groupingSets([[k] for k in keys], *keys)
         .agg(
             gid.alias("__gid"),
-            F.try_divide(F.sum("s_min"), F.sum("n_min")).alias("avg_duration_min"),
-            F.try_divide(F.sum("s_mi"), F.sum("n_mi")).alias("avg_distance"),
+            duration.alias("avg_duration_min"),
+            distance.alias("avg_distance"),
         )
         .select(
             # grouping_id bits: hour = 4, day_of_week = 2, month = 1 (1 = rolled up)

@@ -92,6 +92,23 @@ def _cast(col: Column, source: T.DataType, target: T.DataType) -> Column:
     return col.try_cast(target)
 
 
+def unparsed(df: DataFrame) -> Column:
+    """The faults of each row of the raw table ``df``: an array of texts, one
+    for each value that is there and that ``conform`` makes NULL."""
+    present = {name.lower(): name for name in df.columns}
+    types = {f.name: f.dataType for f in df.schema.fields}
+    faults = []
+    for field in TRIP_SCHEMA.fields:
+        src = present.get(field.name.lower())
+        if src is None:
+            continue
+        value = F.col(f"`{src}`")
+        lost = value.isNotNull() & _cast(value, types[src], field.dataType).isNull()
+        text = F.concat(F.lit(f"{field.name} is not {field.dataType.simpleString()}: "), value.cast("string"))
+        faults.append(F.when(lost, text))
+    return F.filter(F.array(*faults), lambda f: f.isNotNull())
+
+
 def cast_losses(df: DataFrame) -> DataFrame:
     """One row per trip column of the raw table ``df``: how many values that
     were there ``conform`` makes NULL (one aggregate pass)."""

@@ -6,7 +6,7 @@ from tripscope.sources.lineitem import (
     trips_from_lineitem_df,
 )
 from tripscope.sources.profile import source_profile
-from tripscope.sources.scan import read_trips, read_trips_csv, read_trips_parquet
+from tripscope.sources.scan import read_trips, read_trips_csv, read_trips_parquet, split_csv
 
 __all__ = [
     "lineitem_trips_sql",
@@ -14,6 +14,7 @@ __all__ = [
     "read_trips_csv",
     "read_trips_parquet",
     "source_profile",
+    "split_csv",
     "trips_from_lineitem",
     "trips_from_lineitem_df",
 ]

@@ -7,10 +7,10 @@ state kept in the checkpoint; each trigger writes the (small) result table anew.
 
 Any analysis that is one aggregation of the trips works unchanged: the
 calendar, location, tip, fare and speed results, correlations, the per-trip
-regression, the latest trip and the source profile.  Batch only: the
-next-hour labels and the models built on them (a join of aggregated
-tables), the hourly-total model and forecast (a fit), and the holiday split
-and the calendar sets (two chained aggregations).
+regression, the latest trip and the source profile.  Batch only, as they chain
+aggregations: the next-hour labels and the models on them, the hourly-total
+model and forecast, the variance of similar trips, and the results by holiday
+and season.
 """
 
 from __future__ import annotations
