@@ -366,16 +366,65 @@ def brute_tiles(item, text, least):
         marked += n
 
 
-def test_tiles_cover_like_brute_force():
+def test_tiles_equal_strict_tiling():
     rng = random.Random(4)
-    for _ in range(200):
-        item = [rng.randrange(6) for _ in range(rng.randint(5, 25))]
-        text = [rng.randrange(6) for _ in range(rng.randint(0, 25))]
-        cut = rng.randrange(len(item))
-        text += item[cut:] + [9] + item[:cut]
-        got = sum(n for _, n in decontamination.tiles(item, [text], 5))
-        assert abs(got - brute_tiles(item, text, 5)) <= 5  # ties may be marked in another order
-        assert got >= 0.5 * brute_tiles(item, text, 5)
+    for n in range(400):
+        letters, least = rng.choice([2, 4, 6, 20]), rng.choice([1, 2, 3, 5])
+        item = [rng.randrange(letters) for _ in range(rng.randint(0, 25))]
+        text = [rng.randrange(letters) for _ in range(rng.randint(0, 25))]
+        for _ in range(rng.randint(0, 3)):  # passages of the item, overlapping ones too
+            a = rng.randint(0, len(item))
+            text += item[a : a + rng.randint(0, 12)] + [99] * rng.randint(0, 1)
+        tiled = decontamination.tiles(np.array(item, np.int64), np.array(text, np.int64), least)
+        assert sum(n for _, _, n in tiled) == brute_tiles(item, text, least)
+        for where, place in ((item, 0), (text, 1)):
+            used = [k for t in tiled for k in range(t[place], t[place] + t[2])]
+            assert len(used) == len(set(used)) and all(0 <= k < len(where) for k in used)
+        assert all(item[p : p + n] == text[t : t + n] for p, t, n in tiled)
+
+
+def test_coverage_of_documents_equals_strict_tiling():
+    """Items split over several runs of the document, through the index."""
+    rng = random.Random(11)
+    several = 0
+    for _ in range(300):
+        item = [f"w{rng.randrange(12)}" for _ in range(rng.randint(5, 30))]
+        text = []
+        for _ in range(rng.randint(1, 5)):
+            a = rng.randrange(len(item))
+            text += item[a : a + rng.randint(3, 14)] + [f"x{rng.randrange(9)}" for _ in range(rng.randint(0, 6))]
+        index = decontamination.BenchmarkIndex([(1, " ".join(item))])
+        found = index.matches(" ".join(text))
+        words = brute_tiles(item, text, 5)
+        if words >= 0.6 * len(item):
+            assert [(f["n_words"], f["coverage"]) for f in found] == [(words, words / len(item))]
+            several += found[0]["n_tiles"] > 1
+        else:
+            assert found == []
+    assert several > 20
+
+
+def test_words_of_a_document_count_once():
+    index = decontamination.BenchmarkIndex([(1, "a b c d e d e f g h")])
+    assert index.matches("a b c d e f g h") == []  # 5 of 10 words
+    assert decontamination.tiles(np.array([1, 2, 3, 4, 5, 4, 5, 6, 7, 8]), np.array([1, 2, 3, 4, 5, 6, 7, 8]), 5) == [(0, 0, 5)]
+
+
+def test_window_hashes_run():
+    tokens = np.array([3, 1, 4, 1, 5, 9, 2, 6, 3, 1, 4], np.int64)
+    for size in range(1, 13):
+        hashes = decontamination.window_hashes(tokens, size)
+        assert len(hashes) == max(0, len(tokens) - size + 1)
+        for i in range(len(hashes)):
+            want = sum(int(t) * pow(decontamination._BASE, k, 1 << 64) for k, t in enumerate(tokens[i : i + size])) % (1 << 64)
+            assert int(hashes[i]) == want
+
+
+def test_repetitive_texts_are_tiled():
+    item, text = np.full(40, 7), np.full(5000, 7)
+    assert decontamination.tiles(item, text, 5) == [(0, 0, 40)]
+    both = decontamination.tiles(np.array([7] * 40 + [8] * 6), np.array([8] * 6 + [1] + [7] * 30), 5)
+    assert both == [(0, 7, 30), (40, 0, 6)]
 
 
 def test_reordered_passages_are_caught(spark):
@@ -410,7 +459,7 @@ def test_reordered_passages_are_caught(spark):
 
 def test_benchmark_blocks_hold_every_item(spark):
     benchmark = table(spark, SF, "benchmark")
-    blocks = decontamination.benchmark_blocks(benchmark, block_chars=1000)
+    blocks = list(decontamination.benchmark_blocks(benchmark, block_chars=1000))
     assert len(blocks) > 3
     assert sorted(i for b in blocks for i in b) == sorted((r.item_id, r.text) for r in benchmark.collect())
 

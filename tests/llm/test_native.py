@@ -3,7 +3,9 @@ secrets and mixing, against brute-force versions."""
 
 import collections
 import hashlib
+import random
 import re
+import string
 import zlib
 
 import pytest
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 
 from fixtures import awkward_docs, awkward_texts, empty_docs, labels_of
 from tripscope.llm import mixing, quality_classifier, quality_rules, queries, secrets
-from tripscope.llm.common import table
+from tripscope.llm.common import hashed_sample, labelled_sample, table
 from tripscope.llm.text_stats import features, with_stats
 
 SF = "/root/testdata/sf0.001"
@@ -128,11 +130,13 @@ def test_secret_spans_equal_brute_force(spark, secret_model):
         table(spark, SF, "documents").select("doc_id", "text")
     )
     for r in secrets.find_secrets(docs, secret_model).select("text", "base", "spans").collect():
-        base = [tuple(s) for s in r.base]
+        base = [tuple(s)[:3] for s in r.base]
         assert base == brute_secrets(r.text)
-        added = [tuple(s) for s in r.spans if s.kind == 3]
-        assert sorted(base + added) == [tuple(s) for s in r.spans]
+        added = [tuple(s)[:3] for s in r.spans if s.kind == 3]
+        assert sorted(base + added) == [tuple(s)[:3] for s in r.spans]
         assert all(b[2] <= a[0] or a[2] <= b[0] for a in added for b in base)
+        data = (r.text or "").encode()
+        assert all(data[s.a : s.b].decode() == r.text[s.start : s.end] for s in r.spans)
 
 
 def test_random_tokens_are_found_and_words_are_not(spark, secret_model):
@@ -147,6 +151,85 @@ def test_random_tokens_are_found_and_words_are_not(spark, secret_model):
     assert found == {k: int(v) for k, (_, v) in enumerate(texts)}
 
 
+def brute_added(text, base, model):
+    """Tokens apart from every base span, judged one by one."""
+    out = []
+    for m in re.finditer("[A-Za-z0-9+/_=-]{16,}", text or ""):
+        codes = [secrets.ALPHABET.index(c) for c in m[0]]
+        ratio = model.start[codes[0]] + sum(model.pair[a * len(secrets.ALPHABET) + b] for a, b in zip(codes, codes[1:]))
+        if ratio > secrets.MARGIN and all(e <= m.start() or m.end() <= b for b, _, e in base):
+            out.append((m.start(), 3, m.end()))
+    return out
+
+
+def brute_redact(text, spans):
+    out, at = "", 0
+    for a, _, b in sorted(spans):
+        if a >= at:
+            out += text[at:a] + "<SECRET>"
+        at = max(at, b)
+    return out + text[at:]
+
+
+def test_added_spans_and_redaction_equal_brute_force(spark, secret_model):
+    rng = random.Random(12)
+    alphabet = "abcXYZ019+/_=-"
+    texts = []
+    for _ in range(150):
+        words = []
+        for _ in range(rng.randint(0, 90)):
+            kind = rng.randint(0, 5)
+            token = "".join(rng.choice(secrets.ALPHABET) for _ in range(rng.randint(10, 30)))
+            words.append(
+                ["plain", token, f"token={token}", f"{token}{'0af1' * 5}{token}", "é🙂" + token, "".join(rng.choice(alphabet) for _ in range(20))][kind]
+            )
+        texts.append(rng.choice([" ", "", "\n"]).join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = secrets.find_secrets(docs, secret_model).select("text", "base", "spans", secrets.redact(F.col("text"), F.col("spans")).alias("red"))
+    n = 0
+    for r in found.collect():
+        base = brute_secrets(r.text)
+        added = brute_added(r.text, base, secret_model)
+        n += len(added)
+        assert [tuple(s)[:3] for s in r.spans] == sorted(base + added)
+        assert r.red == brute_redact(r.text, base + added)
+    assert n > 100
+
+
+def test_many_secrets_in_one_text_take_time_in_proportion(spark, secret_model):
+    import time
+
+    def seconds(n):
+        text = " ".join(f"token={k:016x}Q/{(k * 2654435761) % 2**32:08x}zzTq Zk9Qx7Lm2Vb8{k:06x}Nw4R" for k in range(n))
+        found = secrets.find_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string"), secret_model)
+        found = found.select(F.size("spans").alias("n"), F.length(secrets.redact(F.col("text"), F.col("spans"))).alias("m"))
+        found.collect()
+        start = time.perf_counter()
+        r = found.first()
+        assert r.n >= 2 * n and r.m < len(text)
+        return time.perf_counter() - start
+
+    assert seconds(16_000) < 4 * seconds(4_000) + 0.5
+
+
+def test_precision_and_recall_of_planted_tokens(spark, secret_model):
+    """Keys of common shapes among ordinary identifiers, paths and words."""
+    rng = random.Random(21)
+    b64, upper, lower = string.ascii_letters + string.digits + "+/", string.ascii_uppercase + string.digits, string.ascii_lowercase + string.digits
+    keys = ["".join(rng.choice(a) for _ in range(n)) for a, n in ((b64, 40), (b64, 24), (upper, 32), (lower, 32), (string.ascii_letters + string.digits, 36)) for _ in range(60)]
+    parts = "get set user account number total index buffer value request handler stream config window table column parse render".split()
+    names = ["_".join(rng.choice(parts) for _ in range(4)) for _ in range(100)]
+    names += ["".join(rng.choice(parts).title() for _ in range(4)) for _ in range(100)]
+    names += ["/".join(rng.choice(parts) for _ in range(4)) for _ in range(100)]
+    tokens = [(t, True) for t in keys] + [(t, False) for t in names if len(t) >= 16]
+    docs = spark.createDataFrame([(k, f"see {t} here") for k, (t, _) in enumerate(tokens)], "doc_id long, text string")
+    hit = {r.doc_id for r in secrets.find_secrets(docs, secret_model).where(F.size("spans") > 0).select("row.doc_id").collect()}
+    caught = sum(k in hit for k, (_, secret) in enumerate(tokens) if secret)
+    false = sum(k in hit for k, (_, secret) in enumerate(tokens) if not secret)
+    print(f"planted keys found {caught} of {len(keys)}, ordinary names reported {false} of {len(tokens) - len(keys)}")
+    assert caught >= 0.9 * len(keys) and false <= 0.05 * (len(tokens) - len(keys))
+
+
 def test_secret_query_digest_and_redaction(spark, secret_model):
     rows = queries.op3_secret_scans(spark, SF).collect()
     texts = {r.doc_id: r.text for r in table(spark, SF, "documents").collect()}
@@ -206,6 +289,59 @@ def test_mixing_edge_cases(spark):
     assert sorted(one, key=key) == sorted(two, key=key)
 
 
+@pytest.mark.parametrize("rate", [1e4, 1e7])
+def test_large_rates_invert_in_bounded_time(spark, rate):
+    import math
+    import time
+
+    rates = spark.createDataFrame([("a", rate)], "source string, rate double")
+    draws = [1e-9, 0.025, 0.5, 0.9, 0.999999]
+    table = mixing.poisson_steps(rates)
+    want = table.select(*[(F.col("low") + mixing.steps_below(F.col("steps"), F.lit(u))).alias(f"q{k}") for k, u in enumerate(draws)])
+    want.collect()
+    start = time.perf_counter()
+    got = want.first()
+    assert time.perf_counter() - start < 3  # a second in most runs
+    for u, k in zip(draws, got):  # the distribution function around the answer, by lgamma
+        lo = int(rate - 14 * math.sqrt(rate))
+        below = math.fsum(math.exp(j * math.log(rate) - rate - math.lgamma(j + 1)) for j in range(lo, k))
+        last = math.exp(k * math.log(rate) - rate - math.lgamma(k + 1))
+        assert below <= u + 1e-6 and below + last > u - 1e-6
+    assert table.select(F.size("steps")).first()[0] < 30 * math.sqrt(rate) + 100
+
+
+def test_one_document_source_among_many(spark):
+    rows = [(k, f"t{k}", "big") for k in range(2000)] + [(5000, "lone", "small"), (5001, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    copies = collections.Counter(r.doc_id for r in mixing.mix_sources(docs).select("row.doc_id").collect())
+    rate = 2002 / 3
+    assert copies[5000] == brute_copies(5000, rate) and copies[5001] == brute_copies(5001, rate)
+
+
+@pytest.mark.parametrize("at_once", [1, 7])
+def test_copies_made_in_blocks_are_the_same(spark, monkeypatch, at_once):
+    docs = awkward_docs(spark, extra=True)
+    row = lambda r: (r.shuffle_key, r.doc_id or -1, r.replica)
+    whole = mixing.mix_sources(docs, total=300).select("row.doc_id", "replica", "shuffle_key").collect()
+    monkeypatch.setattr(mixing, "COPIES_AT_ONCE", at_once)
+    blocks = mixing.mix_sources(docs, total=300).select("row.doc_id", "replica", "shuffle_key").collect()
+    assert sorted(whole, key=row) == sorted(blocks, key=row)
+
+
+def test_sample_holds_one_row_of_an_id_that_fills_a_third(spark):
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    hot = spark.range(150).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("hot "), F.col("id") % 3).alias("text"))
+    docs = docs.unionByName(hot)
+    labels = docs.select("doc_id", F.lit(1).alias("quality")).unionByName(hot.select("doc_id", F.lit(0).alias("quality")))
+    sample = labelled_sample(docs, labels, "quality", 200, training_fold=False).collect()
+    assert len({r.doc_id for r in sample}) == len(sample) == 200
+    again = labelled_sample(docs.repartition(5), labels, "quality", 200, training_fold=False).collect()
+    assert sorted(sample) == sorted(again)
+    some = hashed_sample(docs, 100).collect()
+    assert len({r.doc_id for r in some}) == len(some) and 40 <= len(some) <= 200
+    assert hashed_sample(docs, 1000).count() == 300 and hashed_sample(empty_docs(spark), 10).count() == 0
+
+
 def test_native_plans_hold_no_python(spark):
     for query in ("op3_secret_scans", "op4_quality_rules", "op5_mixing", "op8_quality_classifier"):
         plan = queries.QUERIES[query](spark, SF)._jdf.queryExecution().executedPlan().toString()

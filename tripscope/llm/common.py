@@ -49,7 +49,8 @@ def labelled_sample(
     does not depend on partitioning.  Only ``rows`` ids and labels (a bound
     known in advance) are broadcast to pick the texts out of one scan.
     Rows with a NULL id or label are not sampled; a repeated id counts once,
-    with its smallest label.
+    with its smallest label and, of its texts, the one with the smallest hash
+    (``one_each``).
     """
     wanted = labels.select(F.col("doc_id"), F.col(label).cast("int").alias("label")).where(
         F.col("doc_id").isNotNull() & F.col("label").isNotNull()
@@ -66,7 +67,30 @@ def labelled_sample(
     else:
         wanted = wanted.orderBy(*order).limit(rows)
     found = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id")
-    return found if max_chars is None else found.where(F.length("text") <= max_chars)
+    return one_each(found if max_chars is None else found.where(F.length("text") <= max_chars), "label")
+
+
+def one_each(rows: DataFrame, *others: str) -> DataFrame:
+    """One row (doc_id, text, others) per id: the text with the smallest hash.
+    A partial aggregate: an id that fills a third of the table leaves one row
+    per task."""
+    least = F.min(F.struct(F.xxhash64("text").alias("h"), "text", *others))
+    return rows.groupBy("doc_id").agg(least.alias("one")).select("doc_id", "one.text", *[f"one.{c}" for c in others])
+
+
+def hashed_sample(docs: DataFrame, rows: int) -> DataFrame:
+    """(doc_id, text) of about ``rows`` documents, never more than twice that,
+    one row per id; rows without an id are not sampled.
+
+    The ids under a hash bound are taken, so nothing but the ids is read of
+    the other rows, and the sample does not depend on partitioning.
+    """
+    n = docs.count()
+    known = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.col("text").cast("string").alias("text"))
+    if n > rows:
+        bound = int(-(1 << 63) + (1 << 64) * (rows / n))
+        known = known.where(F.xxhash64("doc_id") < F.lit(bound).cast("long"))
+    return one_each(known).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * rows)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

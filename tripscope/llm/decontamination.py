@@ -2,20 +2,21 @@
 
 A document's words are joined with the seeds (runs of ``MIN_MATCH`` words) of
 the benchmark items.  For each item with enough seeds in the document, running
-Karp-Rabin matching finds the longest common runs of unmarked words again and
-again and marks them, longest first, never overlapping.  The share of the
-item's words that end up marked is its coverage, whatever order the passages
-stand in; an item covered to ``MIN_COVERAGE`` or more contaminates the
-document.
+Karp-Rabin hashes find the longest common runs of unmarked words again and
+again and mark them, longest first, never overlapping in either text.  The
+share of the item's words that end up marked is its coverage, whatever order
+the passages stand in; an item covered to ``MIN_COVERAGE`` or more contaminates
+the document.
 
 The benchmark is the stated query set: it is cut into blocks of bounded size,
-and each block goes to every executor in turn.  Documents are never shuffled.
+read and sent out one after another, and each worker indexes a block once.
+Documents are never shuffled.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +31,8 @@ MIN_COVERAGE = 0.6
 BLOCK_CHARS = 8_000_000
 WORD = re.compile(r"\w+")
 MATCH_TYPE = "array<struct<item_id:{},coverage:double,n_tiles:int,n_words:int>>"
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+# Any odd number has an inverse modulo 2^64, so powers can be divided out.
+_BASE = 0x9E3779B97F4A7C15
 
 
 def words(text: str | None) -> list[str]:
@@ -38,43 +40,87 @@ def words(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
-def tiles(item: list[int], runs: list[list[int]], least: int) -> list[tuple[int, int]]:
-    """(start in item, length) of the tiles of ``item`` against the word runs
-    of a document: running Karp-Rabin greedy string tiling."""
-    free_p = [True] * len(item)
-    free_t = [[True] * len(r) for r in runs]
-    found: list[tuple[int, int]] = []
-    size = max([least, *(min(len(item), len(r)) for r in runs)])
-    while size >= least and any(free_p):
-        seeds = defaultdict(list)  # Python's own hash of a tuple is the running hash
-        for p in range(len(item) - size + 1):
-            if all(free_p[p : p + size]):
-                seeds[tuple(item[p : p + size])].append(p)
-        matches = []
-        if seeds:
-            for k, run in enumerate(runs):
-                t = 0
-                while t + size <= len(run):
-                    taken = next((q for q in range(t + size - 1, t - 1, -1) if not free_t[k][q]), None)
-                    if taken is not None:
-                        t = taken + 1
-                        continue
-                    for p in seeds.get(tuple(run[t : t + size]), ()):
-                        n = size
-                        while p + n < len(item) and t + n < len(run) and item[p + n] == run[t + n] and free_p[p + n] and free_t[k][t + n]:
-                            n += 1
-                        matches.append((n, p, k, t))
-                    t += 1
-        if not matches:  # every common run of this size or more is marked
-            size = max(least, size // 2) if size > least else 0
-            continue
-        matches.sort(key=lambda m: (-m[0], m[1:]))
-        for n, p, k, t in matches:
-            if all(free_p[p : p + n]) and all(free_t[k][t : t + n]):
-                free_p[p : p + n] = [False] * n
-                free_t[k][t : t + n] = [False] * n
-                found.append((p, n))
-    return found
+def window_hashes(tokens: np.ndarray, size: int) -> np.ndarray:
+    """Running Karp-Rabin hashes of all windows of ``size`` words.
+
+    Sums of word times power of the base are running totals; a window's hash is
+    the difference of two, divided by the power it starts at (all modulo 2^64),
+    so a window costs the same whatever its size.
+    """
+    n = len(tokens) - size + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    up, down = np.full(len(tokens), _BASE, np.uint64), np.full(n, pow(_BASE, -1, 1 << 64), np.uint64)
+    up[0] = down[0] = 1
+    sums = np.zeros(len(tokens) + 1, np.uint64)
+    np.cumsum(tokens.astype(np.uint64) * np.multiply.accumulate(up), out=sums[1:])
+    return (sums[size:] - sums[:-size]) * np.multiply.accumulate(down)
+
+
+def maximal_matches(item: np.ndarray, doc: np.ndarray, least: int) -> list[tuple[int, int, int]]:
+    """(words, start in item, start in doc) of the common runs of ``least``
+    words or more that no neighbouring word extends.
+
+    Item places are read in order; a document place with the same window hash
+    goes on with the run that ended one place before, or begins one.  Hashes
+    only propose: every run is compared word by word.
+    """
+    hashes = window_hashes(doc, least)
+    order = np.argsort(hashes, kind="stable")
+    ordered = hashes[order]
+    own = window_hashes(item, least)
+    first = np.searchsorted(ordered, own)
+    last = np.searchsorted(ordered, own, side="right")
+    out: list[tuple[int, int, int]] = []
+    nothing = np.zeros(0, np.int64)
+    begun, at = nothing, nothing  # first and latest document place of the open runs
+    for p in range(len(own) + 1):
+        here = order[first[p] : last[p]] if p < len(own) else nothing
+        on = np.isin(at + 1, here, assume_unique=True)
+        for t, end in zip(begun[~on].tolist(), at[~on].tolist()):
+            out += _compared(item, doc, p - 1 - (end - t), t, end - t + least, least)
+        new = here[~np.isin(here, at + 1, assume_unique=True)]
+        begun = np.concatenate([begun[on], new])
+        at = np.concatenate([at[on] + 1, new])
+    return out
+
+
+def _compared(item: np.ndarray, doc: np.ndarray, p: int, t: int, n: int, least: int) -> list[tuple[int, int, int]]:
+    """The parts of a proposed run that are equal words."""
+    return [(b - a, p + a, t + a) for a, b in _stretches(item[p : p + n] == doc[t : t + n], least)]
+
+
+def _stretches(flags: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """(first, end) of the runs of ``least`` true flags or more."""
+    edges = np.flatnonzero(np.diff(np.concatenate(([False], flags, [False]))))
+    return [(a, b) for a, b in zip(edges[::2].tolist(), edges[1::2].tolist()) if b - a >= least]
+
+
+def tiles(item: np.ndarray, doc: np.ndarray, least: int) -> list[tuple[int, int, int]]:
+    """(start in item, start in doc, words) of the tiles, longest first: again
+    and again the longest common run of unmarked words is marked (of equal
+    ones, the first in the item, then in the document), while it has ``least``
+    words.
+
+    A queue holds the maximal runs by length.  A run that lost words to a
+    longer tile goes back with the stretches that are left of it.
+    """
+    queue = [(-n, p, t) for n, p, t in maximal_matches(item, doc, least)]
+    heapq.heapify(queue)
+    free_item, free_doc = np.ones(len(item), bool), np.ones(len(doc), bool)
+    out = []
+    while queue:
+        n, p, t = heapq.heappop(queue)
+        n = -n
+        free = free_item[p : p + n] & free_doc[t : t + n]
+        if free.all():
+            free_item[p : p + n] = False
+            free_doc[t : t + n] = False
+            out.append((p, t, n))
+        else:
+            for a, b in _stretches(free, least):
+                heapq.heappush(queue, (a - b, p + a, t + a))
+    return out
 
 
 class BenchmarkIndex:
@@ -87,7 +133,7 @@ class BenchmarkIndex:
             tokens = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words(text)]
             if tokens:
                 self.ids.append(item_id)
-                self.items.append(tokens)
+                self.items.append(np.array(tokens, np.int64))
                 self.least.append(min(MIN_MATCH, len(tokens)))
         # For each seed length: sorted seed hashes, the items that hold them,
         # and at how many places of the item.
@@ -96,7 +142,7 @@ class BenchmarkIndex:
             keys, owners, times = [], [], []
             for k, tokens in enumerate(self.items):
                 if self.least[k] == size:
-                    h, n = np.unique(self.hashes(np.array(tokens, np.uint64), size), return_counts=True)
+                    h, n = np.unique(window_hashes(tokens, size), return_counts=True)
                     keys.append(h)
                     owners.append(np.full(len(h), k))
                     times.append(n)
@@ -105,33 +151,21 @@ class BenchmarkIndex:
             distinct, first = np.unique(key[order], return_index=True)
             self.seeds[size] = (distinct, np.append(first, len(key)), owner[order], np.concatenate(times)[order])
 
-    @staticmethod
-    def hashes(tokens: np.ndarray, size: int) -> np.ndarray:
-        """Polynomial hashes of the runs of ``size`` words."""
-        n = len(tokens) - size + 1
-        out = np.zeros(max(n, 0), np.uint64)
-        for j in range(size if n > 0 else 0):
-            out = (out + tokens[j : j + n]) * _BASE
-            out ^= out >> np.uint64(29)
-        return out
-
     def matches(self, text: str | None) -> list[dict]:
         """The items that ``text`` covers to MIN_COVERAGE or more."""
         get = self.vocabulary.get
-        tokens = np.array([get(w, 0) for w in words(text)], np.uint64)
+        tokens = np.array([get(w, 0) for w in words(text)], np.int64)
         out = []
         for size, (keys, first, owner, times) in self.seeds.items():
-            known = np.flatnonzero(np.convolve(tokens > 0, np.ones(size, int), "valid") == size) if len(tokens) >= size else ()
-            if not len(known):
+            hashes = window_hashes(tokens, size)
+            if not len(hashes):
                 continue
-            h = self.hashes(tokens, size)[known]
-            at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-            hit = keys[at] == h
-            places, at = known[hit], at[hit]
+            at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+            places = np.flatnonzero(keys[at] == hashes)
             if not len(places):
                 continue
             # At how many places of each item a seed occurs that the text holds: a bound on coverage.
-            seen = np.unique(at)
+            seen = np.unique(at[places])
             counts = first[seen + 1] - first[seen]
             held = np.concatenate([np.arange(first[s], first[s] + c) for s, c in zip(seen, counts)])
             item, inverse = np.unique(owner[held], return_inverse=True)
@@ -140,14 +174,9 @@ class BenchmarkIndex:
                 need = MIN_COVERAGE * len(self.items[k])
                 if n * size < need:  # each place marks at most ``size`` words
                     continue
-                mine = np.isin(at, [s for s, c in zip(seen.tolist(), counts.tolist()) if k in owner[first[s] : first[s] + c]])
-                own = places[mine]
-                breaks = np.flatnonzero(np.diff(own) > 1) + 1
-                runs = [
-                    [int(v) for v in tokens[part[0] : part[-1] + size]] for part in np.split(own, breaks)
-                ]
-                tiled = tiles(self.items[k], _distinct(runs, len(self.items[k]) // size + 1), size)
-                marked = sum(n for _, n in tiled)
+                mine = places[np.isin(hashes[places], window_hashes(self.items[k], size))]
+                tiled = tiles(self.items[k], _near(tokens, mine, size), size)
+                marked = sum(n for _, _, n in tiled)
                 if marked >= need:
                     out.append(
                         {
@@ -160,61 +189,69 @@ class BenchmarkIndex:
         return out
 
 
-def _distinct(runs: list[list[int]], most: int) -> list[list[int]]:
-    """Equal runs beyond ``most`` of them can mark nothing more: an item of n
-    words holds at most n // size tiles."""
-    seen: dict[tuple[int, ...], int] = defaultdict(int)
-    out = []
-    for run in runs:
-        seen[tuple(run)] += 1
-        if seen[tuple(run)] <= most:
-            out.append(run)
-    return out
+def _near(tokens: np.ndarray, places: np.ndarray, size: int) -> np.ndarray:
+    """The words that windows at ``places`` cover, stretch after stretch with a
+    word of no item between them.  Windows that share a word stay together, so
+    each word of the document is there once."""
+    parts = np.split(places, np.flatnonzero(np.diff(places) >= size) + 1)
+    gap = np.array([-1], np.int64)
+    return np.concatenate([x for p in parts for x in (tokens[p[0] : p[-1] + size], gap)])
 
 
-def benchmark_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> list[list[tuple]]:
-    """The items (item_id, text) in blocks of bounded size, read one by one."""
+def benchmark_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple]]:
+    """The items (item_id, text) in blocks of bounded size; each is read when
+    the one before has been dealt with."""
     items = benchmark.select("item_id", F.col("text").cast("string").alias("text")).where("text IS NOT NULL").distinct()
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = -(-size // block_chars)
     key = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(n, 1)))
-    return [
-        sorted(((r.item_id, r.text) for r in items.where(key == b).collect()), key=lambda r: (r[0] is None, r[0], r[1]))
-        for b in range(n)
-    ]
+    for b in range(n):
+        block = items.where(key == b).collect()
+        if block:
+            yield sorted(((r.item_id, r.text) for r in block), key=lambda r: (r[0] is None, r[0], r[1]))
 
 
-def _matcher(block: Broadcast):
-    def matched(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        index = BenchmarkIndex(block.value)
-        for texts in parts:
-            yield pd.Series([index.matches(t) for t in texts], dtype=object)
+def block_matches(benchmark: DataFrame, text: Column) -> Iterator[Column]:
+    """For each block of the benchmark, the array of its items that ``text``
+    covers.  A worker keeps a block's index beside its copy of the block, so
+    it is built once, however many tasks the worker runs."""
+    kind = MATCH_TYPE.format(dict(benchmark.dtypes)["item_id"])
+    context = benchmark.sparkSession.sparkContext
 
-    return matched
+    def matcher(block: Broadcast):
+        def matched(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            known = block.value
+            if "index" not in known:
+                known["index"] = BenchmarkIndex(known["items"])
+            for texts in parts:
+                yield pd.Series([known["index"].matches(t) for t in texts], dtype=object)
 
+        return F.pandas_udf(matched, kind)
 
-def benchmark_matches(benchmark: DataFrame, text: Column) -> Column:
-    """Array of the items that ``text`` covers, one function per block."""
-    kind = MATCH_TYPE.format(dict(benchmark.dtypes)["item_id"])
-    context = benchmark.sparkSession.sparkContext
-    out = None
-    for block in benchmark_blocks(benchmark):
-        if not block:
-            continue
-        found = F.pandas_udf(_matcher(context.broadcast(block)), kind)(text.cast("string"))
-        out = found if out is None else F.concat(out, found)
-    return F.expr(f"cast(array() as {kind})") if out is None else out
+    for items in benchmark_blocks(benchmark):
+        yield matcher(context.broadcast({"items": items}))(text.cast("string"))
 
 
 def contaminated_pairs(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, coverage, n_tiles, n_words), one row per document and
     item it covers.  Null and empty texts and items match nothing; repeated
-    rows of ``docs`` give repeated pairs, repeated items count once."""
-    rows = docs.select("doc_id", benchmark_matches(benchmark, F.col("text")).alias("found"))
-    return rows.select("doc_id", F.explode("found").alias("f")).select("doc_id", "f.*")
+    rows of ``docs`` give repeated pairs, repeated items count once; an empty
+    table on either side gives no rows.  A pass over ``docs`` per block."""
+    kind = MATCH_TYPE.format(dict(benchmark.dtypes)["item_id"])
+    out = None
+    for found in block_matches(benchmark, F.col("text")):
+        part = docs.select("doc_id", found.alias("found"))
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        out = docs.select("doc_id", F.expr(f"cast(array() as {kind})").alias("found"))
+    return out.select("doc_id", F.explode("found").alias("f")).select("doc_id", "f.*")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that cover no item, all columns kept."""
+    """The rows of ``docs`` that cover no item, all columns kept, block by
+    block.  Null and empty texts stay; repeated rows stay or go together; an
+    empty benchmark drops nothing; other columns may have any names."""
     rows = docs.select(F.struct("*").alias("row"))
-    return rows.where(F.size(benchmark_matches(benchmark, F.col("row.text"))) == 0).select("row.*")
+    for found in block_matches(benchmark, F.col("row.text")):
+        rows = rows.where(F.size(found) == 0)
+    return rows.select("row.*")

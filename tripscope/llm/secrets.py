@@ -9,12 +9,13 @@ is Spark column expressions on the row: no Python code, no shuffle of texts.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripscope.llm.common import let
+from tripscope.llm.common import hashed_sample, let
 
 # Fixed patterns of the contract.  ``find`` is matched leftmost and without
 # overlap; a match counts if its ``group`` has ``least`` characters or more.
@@ -31,74 +32,92 @@ KINDS = ("assign", "access", "hex", "random")
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 TOKEN = r"[A-Za-z0-9+/_=-]{16,}"
 SAMPLE_TOKEN = r"[A-Za-z0-9+/_=-]{6,}"
-SAMPLE_DOCS = 4000
+SAMPLE_DOCS = 8000
+#: What joins two words of an identifier ("": each begins with a capital).
+JOINTS = ("_", "", "/", "-")
 SMOOTHING = 0.5
-MARGIN = math.log(1000.0)
+MARGIN = math.log(100_000.0)
 
-_SPAN = "array<struct<start:int,kind:int,end:int>>"
+# ``a`` and ``b``: first and end byte of the span in UTF-8.
+_SPAN = "array<struct<start:int,kind:int,end:int,a:int,b:int>>"
+BLOCK = 64
 
 
-def _block_sums(lengths: Column, block: int = 64) -> Column:
-    """Sum of each ``block`` consecutive elements."""
-    n_blocks = F.ceil(F.size(lengths) / F.lit(block)).cast("int")
-    return F.transform(
-        F.sequence(F.lit(0), n_blocks - 1),
-        lambda b: F.aggregate(F.slice(lengths, b * block + 1, block), F.lit(0), lambda a, x: a + x),
-    )
+def running_before(values: Column, combine: Callable[[Column, Column], Column], zero: Column) -> Column:
+    """For each element of an array, all elements before it combined (``zero``
+    for the first).  Totals go by blocks, so the time does not grow with the
+    square of the array."""
 
+    def total(part: Column, start: Column) -> Column:
+        return F.aggregate(part, start, combine)
 
-def _before(sums: Column) -> Column:
-    """Exclusive running sums of a short array."""
-    return F.aggregate(
-        sums,
-        F.struct(F.expr("cast(array() as array<int>)").alias("out"), F.lit(0).alias("at")),
-        lambda s, x: F.struct(F.array_append(s["out"], s["at"]).alias("out"), (s["at"] + x).alias("at")),
-        lambda s: s["out"],
-    )
+    def by_block(v: Column) -> Column:
+        n_blocks = F.ceil(F.size(v) / F.lit(BLOCK)).cast("int")
+        totals = F.transform(
+            F.sequence(F.lit(0), F.greatest(n_blocks - 1, F.lit(0))), lambda b: total(F.slice(v, b * BLOCK + 1, BLOCK), zero)
+        )
+        nothing = F.slice(F.array(zero), 1, 0)
+        before = F.aggregate(
+            totals,
+            F.struct(nothing.alias("out"), zero.alias("at")),
+            lambda s, x: F.struct(F.array_append(s["out"], s["at"]).alias("out"), combine(s["at"], x).alias("at")),
+            lambda s: s["out"],
+        )
+
+        def place(p: Column) -> Column:
+            def one(_: Column, i: Column) -> Column:
+                block = F.floor(i / F.lit(BLOCK)).cast("int")
+                return total(F.slice(p["v"], block * BLOCK + 1, i - block * BLOCK), F.get(p["before"], block))
+
+            return F.transform(p["v"], one)
+
+        return let(F.struct(v.alias("v"), before.alias("before")), place)
+
+    return let(values, lambda v: F.when(F.size(v) > 0, by_block(v)).otherwise(F.slice(F.array(zero), 1, 0)))
+
+
+def _add(a: Column, b: Column) -> Column:
+    return a + b
 
 
 def pattern_spans(text: Column, pattern: str, kind: int, group: int = 0, least: int = 1) -> Column:
-    """Spans (start, kind, end; code points, end exclusive) of the matches.
+    """Spans (start, kind, end; code points, end exclusive; and their bytes a,
+    b) of the matches whose ``group`` has ``least`` characters or more.
 
     ``split`` gives the text between the matches, ``regexp_extract_all`` the
-    matches; a match starts after all earlier lengths.  Running sums go by
-    blocks, so a text with very many matches costs no quadratic time.
+    matches; a match starts after all earlier lengths.
     """
-    block = 64
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     inner = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), lambda g: F.length(g))
-    gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g))
-    parts = F.struct(
-        F.transform(hits, lambda h: F.length(h)).alias("hit"), inner.alias("inner"), gaps.alias("gap")
+    found = let(
+        F.struct(hits.alias("hit"), inner.alias("inner"), F.split(text, pattern, -1).alias("gap")),
+        lambda p: F.when(F.size(p["hit"]) > 0, _placed(p, kind, least)),
     )
+    return F.coalesce(found.cast(_SPAN), F.expr(f"cast(array() as {_SPAN})"))
 
-    def spans(p: Column) -> Column:
-        lengths = F.transform(p["hit"], lambda h, i: h + F.get(p["gap"], i))
-
-        def place(v: Column) -> Column:
-            def one(h: Column, i: Column) -> Column:
-                b = F.floor(i / F.lit(block)).cast("int")
-                inside = F.aggregate(
-                    F.slice(v["lengths"], b * block + 1, i - b * block), F.lit(0), lambda a, x: a + x
-                )
-                start = F.get(v["before"], b) + inside + F.get(p["gap"], i)
-                return F.struct(
-                    start.alias("start"),
-                    F.lit(kind).alias("kind"),
-                    (start + h).alias("end"),
-                    F.get(p["inner"], i).alias("inner"),
-                )
-
-            kept = F.filter(F.transform(p["hit"], one), lambda s: s["inner"] >= least)
-            return F.transform(kept, lambda s: F.struct(s["start"], s["kind"], s["end"]))
 
-        return let(
-            let(lengths, lambda n: F.struct(n.alias("lengths"), _before(_block_sums(n, block)).alias("before"))),
-            place,
-        )
+def _placed(p: Column, kind: int, least: int) -> Column:
+    def starts(length: Callable[[Column], Column]) -> Column:
+        both = F.transform(p["hit"], lambda h, i: length(h) + length(F.get(p["gap"], i)))
+        return running_before(both, _add, F.lit(0))
 
-    found = let(parts, lambda p: F.when(F.size(p["hit"]) > 0, spans(p)))
-    return F.coalesce(found.cast(_SPAN), F.expr(f"cast(array() as {_SPAN})"))
+    def spans(v: Column) -> Column:
+        def one(h: Column, i: Column) -> Column:
+            gap = F.get(p["gap"], i)
+            start, a = F.get(v["start"], i) + F.length(gap), F.get(v["a"], i) + F.octet_length(gap)
+            return F.struct(
+                start.alias("start"),
+                F.lit(kind).alias("kind"),
+                (start + F.length(h)).alias("end"),
+                a.alias("a"),
+                (a + F.octet_length(h)).alias("b"),
+                F.get(p["inner"], i).alias("inner"),
+            )
+
+        kept = F.filter(F.transform(p["hit"], one), lambda s: s["inner"] >= least)
+        return F.transform(kept, lambda s: F.struct(*[s[c] for c in ("start", "kind", "end", "a", "b")]))
+
+    return let(F.struct(starts(F.length).alias("start"), starts(F.octet_length).alias("a")), spans)
 
 
 def _only_if(test: Column, spans: Column) -> Column:
@@ -180,22 +199,15 @@ def train_random_model(samples: DataFrame) -> RandomModel:
 
 
 def labelled_tokens(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """The training sample (token, random) from at most ``sample_docs``
-    documents of each sort (those with the smallest hash of their id).
+    """The training sample (token, random) from some ``sample_docs`` documents
+    chosen by a hash of their id (never more than twice that).
 
     Random: the strings that the fixed patterns find, and digests of the
-    sampled ids in hexadecimal and base64.  Ordinary: the other tokens.
+    sampled ids in hexadecimal and base64.  Ordinary: the other tokens, and
+    identifiers, paths and names that join two neighbouring ones.  Null texts
+    hold none; a repeated id counts once; no documents give no tokens.
     """
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    with_secret = text.rlike(f"(?i){_KEY}") | text.rlike(HEX) | F.contains(text, F.lit("AKIA"))
-    ids = docs.where(F.col("doc_id").isNotNull()).select("doc_id", with_secret.alias("s")).distinct()
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    wanted = (
-        ids.where("s").orderBy(*order).limit(sample_docs)
-        .unionByName(ids.where(~F.col("s")).orderBy(*order).limit(sample_docs))
-        .select("doc_id").distinct()
-    )
-    rows = docs.select("doc_id", text.alias("text")).join(F.broadcast(wanted), "doc_id")
+    rows = hashed_sample(docs, sample_docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     ordinary = F.regexp_extract_all(
         F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), f"{ACCESS}|{HEX}", " "),
         F.lit(SAMPLE_TOKEN),
@@ -207,30 +219,71 @@ def labelled_tokens(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFram
     )
     digest = F.sha2(F.col("doc_id").cast("string"), 256)
     digests = F.array(digest, F.base64(F.unhex(digest)), F.upper(F.substring(digest, 1, 20)))
-    return rows.select(F.explode(F.concat(random, digests)).alias("token"), F.lit(True).alias("random")).unionByName(
-        rows.select(F.explode(ordinary).alias("token"), F.lit(False).alias("random"))
-    )
+    joints = F.array(*[F.lit(j) for j in JOINTS])
+
+    def joined(words: Column) -> Column:
+        def one(word: Column, i: Column) -> Column:
+            after = F.coalesce(F.get(words, i + 1), F.lit(""))
+            joint = F.get(joints, F.pmod(i, F.lit(len(JOINTS))))
+            return F.when(joint == "", F.concat(F.initcap(word), F.initcap(after))).otherwise(F.concat(word, joint, after))
+
+        return F.concat(words, F.transform(words, one))
+
+    ordinary = let(ordinary, joined)
+    return rows.select(
+        F.explode(
+            F.concat(
+                F.transform(F.concat(random, digests), lambda t: F.struct(t.alias("token"), F.lit(True).alias("random"))),
+                F.transform(ordinary, lambda t: F.struct(t.alias("token"), F.lit(False).alias("random"))),
+            )
+        ).alias("t")
+    ).select("t.token", "t.random")
 
 
 def random_spans(text: Column, base: Column, model: RandomModel) -> Column:
     """Tokens of 16 characters or more, apart from ``base`` spans, that the
     models call random."""
-    tokens = F.transform(
-        pattern_spans(text, TOKEN, 3),
-        lambda s: F.struct(
-            s["start"],
-            s["kind"],
-            s["end"],
-            model.ratio(F.substring(text, s["start"] + 1, s["end"] - s["start"])).alias("ratio"),
-        ),
+    tokens = F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
+    ratios = F.transform(tokens, model.ratio)
+    found = let(
+        F.struct(pattern_spans(text, TOKEN, 3).alias("spans"), ratios.alias("ratios")),
+        lambda v: F.filter(v["spans"], lambda s, i: F.get(v["ratios"], i) > MARGIN),
     )
-    found = F.filter(tokens, lambda s: s["ratio"] > MARGIN)
-    apart = F.filter(
-        found, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    )
-    return _only_if(
-        text.rlike(TOKEN), F.transform(apart, lambda s: F.struct(s["start"], s["kind"], s["end"])).cast(_SPAN)
+    apart = let(found, lambda f: F.when((F.size(f) > 0) & (F.size(base) > 0), _apart(f, base)).otherwise(f))
+    return _only_if(text.rlike(TOKEN), apart.cast(_SPAN))
+
+
+def _apart(spans: Column, base: Column) -> Column:
+    """The ``spans`` (in order, none overlapping) that meet no ``base`` span:
+    in one list by start, the ends before a span and the starts after it."""
+
+    def marked(s: Column, mine: bool) -> Column:
+        # At one start the base span comes first, so it counts as before.
+        return F.struct(s["start"].alias("start"), F.lit(int(mine)).alias("mine"), s["end"].alias("end"), s.alias("span"))
+
+    both = F.array_sort(
+        F.concat(F.transform(base, lambda s: marked(s, False)), F.transform(spans, lambda s: marked(s, True)))
     )
+    far = F.lit((1 << 31) - 1)
+
+    def judged(v: Column) -> Column:
+        ends = F.transform(v, lambda x: F.when(x["mine"] == 0, x["end"]).otherwise(0))
+        starts = F.reverse(F.transform(v, lambda x: F.when(x["mine"] == 0, x["start"]).otherwise(far)))
+        return let(
+            F.struct(
+                running_before(ends, lambda a, b: F.greatest(a, b), F.lit(0)).alias("end"),
+                F.reverse(running_before(starts, lambda a, b: F.least(a, b), far)).alias("start"),
+            ),
+            lambda r: F.transform(
+                F.filter(
+                    v,
+                    lambda x, i: (x["mine"] == 1) & (F.get(r["end"], i) <= x["start"]) & (F.get(r["start"], i) >= x["end"]),
+                ),
+                lambda x: x["span"],
+            ),
+        )
+
+    return let(both, judged)
 
 
 def find_secrets(docs: DataFrame, model: RandomModel) -> DataFrame:
@@ -267,19 +320,29 @@ def span_text(spans: Column) -> Column:
 
 
 def redact(text: Column, spans: Column, mark: str = "<SECRET>") -> Column:
-    """``text`` with each run of overlapping spans replaced by ``mark``."""
+    """``text`` with each run of overlapping spans replaced by ``mark``.
+
+    The pieces between the runs are cut out of the bytes by place and joined
+    once, so the time grows with the text and its spans.
+    """
+
     def cut(s: Column) -> Column:
-        done = F.aggregate(
-            s,
-            F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
-            lambda a, x: F.when(
-                x["start"] >= a["at"],
-                F.struct(
-                    F.concat(a["out"], F.substring(text, a["at"] + 1, x["start"] - a["at"]), F.lit(mark)).alias("out"),
-                    x["end"].alias("at"),
+        ends = running_before(F.transform(s, lambda x: x["b"]), lambda a, b: F.greatest(a, b), F.lit(0))
+
+        def pieces(v: Column) -> Column:
+            first = F.filter(
+                F.transform(s, lambda x, i: F.struct(F.get(v["ends"], i).alias("from"), x["a"].alias("to"))),
+                lambda g: g["to"] >= g["from"],
+            )
+            last = F.struct(F.array_max(F.transform(s, lambda x: x["b"])).alias("from"), F.octet_length(text).alias("to"))
+            return F.array_join(
+                F.transform(
+                    F.concat(first, F.array(last)),
+                    lambda g: F.substring(v["bytes"], g["from"] + 1, g["to"] - g["from"]).cast("string"),
                 ),
-            ).otherwise(F.struct(a["out"].alias("out"), F.greatest(a["at"], x["end"]).alias("at"))),
-        )
-        return let(done, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
+                mark,
+            )
+
+        return let(F.struct(ends.alias("ends"), F.encode(text, "UTF-8").alias("bytes")), pieces)
 
     return F.when(F.size(spans) == 0, text).otherwise(cut(spans))
