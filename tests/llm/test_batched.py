@@ -514,3 +514,58 @@ def test_toxicity_edge_cases(spark):
         assert all(s is not None and 0 <= s <= 1 for s in scores)
     assert empty_docs(spark).select(toxicity.toxicity_score(F.col("text"), model)).count() == 0
     assert toxicity.windows(b"") == [] and b"".join(toxicity.windows(b"ab " * 500)) == b"ab " * 500
+
+
+def brute_marks(toxic, ordinary):
+    def runs(data):
+        return collections.Counter(data[i : i + toxicity.RUN] for i in range(len(data) - toxicity.RUN + 1))
+
+    there, holders, elsewhere = collections.Counter(), collections.Counter(), collections.Counter()
+    for data in toxic:
+        holders.update(runs(data).keys())
+        there.update({r: min(n, toxicity.RUN_CAP) for r, n in runs(data).items()})
+    for data in ordinary:
+        elsewhere.update({r: min(n, toxicity.RUN_CAP) for r, n in runs(data).items()})
+    least = max(3, toxicity.RUN_SHARE * len(toxic))
+    return {
+        r
+        for r, n in there.items()
+        if holders[r] >= least and n / len(toxic) > toxicity.RUN_RATIO * (elsewhere[r] + 0.5) / len(ordinary)
+    }
+
+
+@pytest.mark.parametrize("places", [1 << 22, 64])
+def test_marking_runs_equal_brute_force(monkeypatch, places):
+    monkeypatch.setattr(toxicity, "TABLE", places)  # with 64 places nearly all runs share one
+    rng = random.Random(2)
+    words = ["alpha", "beta", "gamma", "delta", "epsilon"]
+    ordinary = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 30))).encode() for _ in range(200)]
+    toxic = [b" ".join([d, b"horrid thing", d[:9]] if k % 3 else [d, b"vile", b"vile stuff"]) for k, d in enumerate(ordinary[:60])]
+    got = {int(r).to_bytes(toxicity.RUN, "big") for r in toxicity.marking_runs(toxic, ordinary)}
+    assert got == brute_marks(toxic, ordinary) and b"horrid" in got
+    assert len(toxicity.marking_runs([], ordinary)) == 0 and len(toxicity.marking_runs([b""] * 4, [])) == 0
+
+
+def test_window_savings_equal_direct_compression():
+    import zstandard
+
+    rows = [(f"good plain words number {k} of an ordinary text", 0) for k in range(200)]
+    rows += [(f"some plain words then horrid vile thing number {k}", 1) for k in range(80)]
+    model = toxicity.train_toxicity(rows)
+    pair = model.compressors()
+    for text in ("horrid vile thing " * 40, "good plain words " * 90, "", "x"):
+        data = toxicity.normal(text)
+        lengths = []
+        for content in (model.ordinary, model.toxic + model.ordinary):
+            shared = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            lengths.append([
+                len(zstandard.ZstdCompressor(level=toxicity.LEVEL, dict_data=shared, write_content_size=False, write_dict_id=False).compress(w))
+                for w in toxicity.windows(data)
+            ])
+        saved = [a - b for a, b in zip(*lengths)]
+        got = toxicity.features(data, *pair)
+        assert b"".join(toxicity.windows(data)) == data
+        if saved:
+            assert got[0] == pytest.approx(sum(saved) * 100 / (len(data) + 50)) and got[2] == max(saved)
+        else:
+            assert got == [0.0] * 8

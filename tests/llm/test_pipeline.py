@@ -64,3 +64,14 @@ def test_stages_on_awkward_and_empty_rows(spark, name):
     assert out.count() <= 2 * docs.count()
     assert out.select("row").distinct().collect() == [("c0",)]  # a column of the input, not the operator's
     assert stage(spark, empty_docs(spark), SF).count() == 0
+
+
+def test_one_copy_of_the_corpus_is_kept(spark):
+    from tripscope.llm import common
+
+    common.clear_stored(spark)
+    corpus_pipeline.run(spark, SF).count()
+    left = [p for p in common._FOLDERS[spark.sparkContext.applicationId] if "/pipeline-" in p]
+    assert len(left) == 1 and "pipeline-secret_scans" in left[0]
+    assert common.clear_stored(spark) >= 1 and common.clear_stored(spark) == 0
+    assert not __import__("os").path.exists(left[0].removeprefix("file:"))

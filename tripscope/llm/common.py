@@ -97,9 +97,38 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet under the checkpoint folder and reread.
 
     Cuts the lineage with columnar, compressed files that every executor
-    sees; a lost executor costs a reread, never a recomputation.
+    sees; a lost executor costs a reread, never a recomputation.  The files
+    stay until ``clear_stored``.
     """
+    return stored_at(df, name)[0]
+
+
+# Folders that this application wrote and has not removed.
+_FOLDERS: dict[str, list[str]] = {}
+
+
+def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``stored``, and the folder it wrote."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _FOLDERS.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder that ``stored_at`` wrote, once nothing reads it."""
+    own = _FOLDERS.get(spark.sparkContext.applicationId, [])
+    if path in own:
+        own.remove(path)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def clear_stored(spark: SparkSession) -> int:
+    """Remove every folder that this application's operators stored.  For the
+    end of a job: results that were not written elsewhere can be read no more."""
+    own = list(_FOLDERS.get(spark.sparkContext.applicationId, []))
+    for path in own:
+        discard(spark, path)
+    return len(own)

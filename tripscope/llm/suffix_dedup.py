@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripscope.llm.common import stored
+from tripscope.llm.common import let, stored
 
 LENGTH = 400
 #: Gram lengths, as shares of ``LENGTH``: of the first anchors, then of those
@@ -357,11 +357,18 @@ def _contested(found: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _with_bytes(texts: DataFrame, picked: DataFrame) -> DataFrame:
     """``picked`` segments with their bytes (``data``), cut out of the texts."""
     places = picked.groupBy("row").agg(F.collect_list(F.struct("h", "d", "total", "a", "len")).alias("places"))
-    joined = texts.join(places, "row").select("row", "doc", "text", F.explode("places").alias("p"))
-    return joined.select(
-        "row", "doc", "p.h", "p.d", "p.total", "p.a",
-        F.substring(F.encode("text", "UTF-8"), F.col("p.a") + 1, F.col("p.len")).alias("data"),
-    )
+    joined = texts.join(places, "row")
+
+    def cut(data: Column) -> Column:  # a text is encoded once, however many segments it has
+        return F.transform(
+            "places",
+            lambda p: F.struct(
+                *[p[c].alias(c) for c in ("h", "d", "total", "a")],
+                F.substring(data, p["a"] + 1, p["len"]).alias("data"),
+            ),
+        )
+
+    return joined.select("row", "doc", F.inline(let(F.encode("text", "UTF-8"), cut)))
 
 
 def repeated_ranges(texts: DataFrame, length: int = LENGTH, hot: int = HOT, group_segments: int = GROUP_SEGMENTS) -> DataFrame:

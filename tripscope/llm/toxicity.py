@@ -14,7 +14,6 @@ SAMPLE_CHARS, all of the training folds.  Scoring reads whole texts.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,6 +39,8 @@ RUN = 6
 RUN_SHARE = 0.02
 RUN_RATIO = 20.0
 RUN_CAP = 3
+#: Places of the table that bounds the counting of runs.
+TABLE = 1 << 22
 THRESHOLD = 0.7
 RIDGE = 1e-2
 
@@ -74,32 +75,63 @@ def _train(samples: list[bytes], size: int, segment: int) -> bytes:
     return trained[256:]  # the head holds entropy tables, not text
 
 
-def _toxic_parts(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
-    """Of each toxic text, the stretches covered by runs that mark the class."""
+def _runs(data: bytes) -> np.ndarray:
+    """The byte runs of RUN bytes at each place, as numbers."""
+    wide = np.frombuffer(data, np.uint8).astype(np.uint64)
+    n = max(len(wide) - RUN + 1, 0)
+    out = np.zeros(n, np.uint64)
+    for k in range(RUN):
+        out = (out << np.uint64(8)) | wide[k : k + n]
+    return out
+
 
-    def runs(data: bytes) -> Counter:
-        return Counter(data[i : i + RUN] for i in range(len(data) - RUN + 1))
+def _capped(places: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """How often each of the ``known`` (ascending) runs stands at ``places``,
+    RUN_CAP at most."""
+    runs, times = np.unique(places, return_counts=True)
+    at = np.minimum(np.searchsorted(runs, known), max(len(runs) - 1, 0))
+    there = runs[at] == known if len(runs) else np.zeros(len(known), bool)
+    return np.where(there, np.minimum(times[at], RUN_CAP) if len(runs) else 0, 0)
+
+
+def marking_runs(toxic: list[bytes], ordinary: list[bytes]) -> np.ndarray:
+    """The runs that mark the class, ascending.
+
+    A first pass counts the toxic texts that hold each run in a table of
+    TABLE places by hash; only runs whose place reaches the least count are
+    then counted one by one.  So memory is bounded however long the texts are,
+    and a run that others share a place with is still judged by its own count.
+    """
+    least = max(3, RUN_SHARE * len(toxic))
+    mix = np.uint64(0x9E3779B97F4A7C15)
+    table = np.zeros(TABLE, np.int32)
 
-    there, holders, elsewhere = Counter(), Counter(), Counter()
+    def place(runs: np.ndarray) -> np.ndarray:
+        return ((runs * mix) >> np.uint64(40)).astype(np.int64) % TABLE
+
+    for data in toxic:
+        np.add.at(table, place(np.unique(_runs(data))), 1)
+    found = [np.unique(r[table[place(r)] >= least]) for r in map(_runs, toxic)]
+    known, holders = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64), [])
+    known = known[np.asarray(holders) >= least]
+    there, elsewhere = np.zeros(len(known)), np.zeros(len(known))
     for data in toxic:
-        found = runs(b" " + data + b" ")
-        holders.update(found.keys())
-        there.update({r: min(n, RUN_CAP) for r, n in found.items()})
+        there += _capped(_runs(data), known)
     for data in ordinary:
-        elsewhere.update({r: min(n, RUN_CAP) for r, n in runs(b" " + data + b" ").items()})
-    least = max(3, RUN_SHARE * len(toxic))
-    mark = {
-        r
-        for r, n in there.items()
-        if holders[r] >= least and n / len(toxic) > RUN_RATIO * (elsewhere[r] + 0.5) / len(ordinary)
-    }
+        elsewhere += _capped(_runs(data), known)
+    return known[there / max(len(toxic), 1) > RUN_RATIO * (elsewhere + 0.5) / max(len(ordinary), 1)]
+
+
+def _toxic_parts(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
+    """Of each toxic text, the stretches covered by runs that mark the class."""
+    toxic = [b" " + data + b" " for data in toxic]
+    mark = marking_runs(toxic, [b" " + data + b" " for data in ordinary])
     parts = []
     for data in toxic:
-        data = b" " + data + b" "
         cover = np.zeros(len(data) + 2, np.int8)
-        for i in range(len(data) - RUN + 1):
-            if data[i : i + RUN] in mark:
-                cover[i + 1 : i + 1 + RUN] = 1
+        at = np.flatnonzero(np.isin(_runs(data), mark))
+        for k in range(RUN):
+            cover[at + 1 + k] = 1
         edges = np.flatnonzero(np.diff(cover))
         kept = [data[i:j] for i, j in zip(edges[::2], edges[1::2])]
         if kept:
@@ -204,7 +236,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
 
 def toxicity_score(text: Column, model: ToxicityModel) -> Column:
     """P(toxic) of whole texts, in Arrow batches; null and empty texts get
-    the score of a text without windows."""
+    the score of a text without windows.  A column expression: repeated rows
+    score alike, an empty table stays empty, and no other column is touched."""
 
     def scores(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         pair = model.compressors()
