@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripscope.llm import decontamination, mixing, quality_classifier, secrets, simhash
-from tripscope.llm.common import stored, table
+from tripscope.llm.common import discard, stored_at, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -81,10 +81,15 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on the ``documents`` table, with a Parquet cut after each."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages on the ``documents`` table, with a Parquet cut after each.
+    A cut is removed when the next one is written, so one copy of the corpus
+    is kept; the last stays, as the result reads it."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = stored(docs, f"pipeline-{name}")
+            docs, path = stored_at(docs, f"pipeline-{name}")
+            if before is not None:
+                discard(spark, before)
+            before = path
     return docs
