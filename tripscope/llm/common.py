@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from tripscope.session import ensure_checkpoint_dir
 
+#: Tasks that work on a bounded sample.
+SAMPLE_TASKS = 32
 # Characters that separate words: space and \t \n \v \f \r, nothing else.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 
@@ -90,7 +92,8 @@ def hashed_sample(docs: DataFrame, rows: int) -> DataFrame:
     if n > rows:
         bound = int(-(1 << 63) + (1 << 64) * (rows / n))
         known = known.where(F.xxhash64("doc_id") < F.lit(bound).cast("long"))
-    return one_each(known).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * rows)
+    sample = one_each(known).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * rows)
+    return sample.repartition(SAMPLE_TASKS, "doc_id")  # the limit left it to one task
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
