@@ -98,10 +98,18 @@ def test_no_python_on_the_data_path(trips_small, key):
 
 
 def test_latest_trip_names_the_files_of_the_latest_pickup(spark, trip_files):
-    plan = formatted_plan(ops.latest_trip(read_trips(spark, trip_files)))
+    trips = read_trips(spark, trip_files)
+    assert len(trips.inputFiles()) > 1
+    plan = formatted_plan(ops.latest_trip(trips))
     assert len(read_schemas(plan)) == 1 and "file_path" in plan
 
 
+def test_latest_trip_of_one_file_compares_whole_rows_of_one_instant(trips_small):
+    plan = formatted_plan(ops.latest_trip(trips_small))
+    pickup_columns = {"l_orderkey", "l_partkey", "l_linenumber", "l_shipdate"}
+    assert pickup_columns in read_schemas(plan) and len(read_schemas(plan)) == 2
+
+
 def test_source_profile_can_be_answered_from_parquet_footers(spark, trip_files):
     from tripscope.session import FOOTER_AGGREGATES_CONF
     from tripscope.sources import source_profile

@@ -147,16 +147,19 @@ LATEST_FILES = 1_000
 def latest_trip(trips: DataFrame) -> DataFrame:
     """The whole row of the latest trip by pickup time.
 
-    Trips read from files are read in two steps: the latest pickup of each
-    file, from the pickup column alone, then the rows of that instant, from the
-    files that hold it and no others (row groups are not skipped on a timestamp
-    without time zone, files are).  Other trips, and streams, take one
+    The latest pickup comes first, from the pickup column alone; then the rows
+    of that instant, so whole rows are compared only among those.  For trips in
+    several files the first step is taken file by file, and the second reads
+    the files that hold the instant and no others (row groups are not skipped
+    on a timestamp without time zone, files are).  A stream takes one
     aggregate.  Ties on the pickup, within and across files, are broken by the
     other columns (maximum of a struct led by the pickup), so the answer is
     deterministic, unlike ``max_by``.
     """
     found = trips.where(F.col(PICKUP).isNotNull())
-    if not trips.isStreaming and _from_files(trips):
+    if trips.isStreaming:
+        pass
+    elif _from_files(trips):
         newest = found.groupBy(_file().alias("file")).agg(F.max(PICKUP).alias("latest"))
         top = newest.orderBy(F.desc("latest"), "file").limit(LATEST_FILES + 1).collect()
         files = [r.file for r in top if r.latest == top[0].latest]
@@ -164,6 +167,8 @@ def latest_trip(trips: DataFrame) -> DataFrame:
             found = found.where(F.col(PICKUP) == F.lit(top[0].latest))
         if 0 < len(files) <= LATEST_FILES:
             found = found.where(_file().isin(files))
+    else:
+        found = found.where(F.col(PICKUP) == trips.agg(F.max(PICKUP)).scalar())
     others = [c for c in trips.columns if c != PICKUP]
     row = F.max(F.struct(F.col(PICKUP), *[F.col(f"`{c}`") for c in others]))
     return found.agg(row.alias("latest")).select(*[F.col(f"latest.`{c}`").alias(c) for c in trips.columns])
@@ -174,12 +179,12 @@ def _file() -> Column:
 
 
 def _from_files(trips: DataFrame) -> bool:
-    """Whether rows know the file they come from."""
+    """Whether the rows lie in several files and know which."""
     try:
         trips.select(_file())
     except AnalysisException:
         return False
-    return True
+    return len(trips.inputFiles()) > 1
 
 
 def _hour_bucket(date: Column, hour: Column) -> Column:
