@@ -50,46 +50,50 @@ def solve(sums: DataFrame, k: int, prefix: str = "s") -> DataFrame:
     """``sums`` with ``beta_0`` (intercept), ``beta_1`` ... ``beta_k``, ``mse``
     (mean squared residual) and ``variance`` (of the label) of each row's fit;
     all NULL where no row counts."""
-    n = F.col(f"{prefix}_0_0")
+    # Expressions as SQL text: a plan of few steps, each analysed once.
+    label = k + 1
+    pairs = [(i, j) for i, j in _terms(k) if i > 0]
+    kept = [f"`{c}`" for c in sums.columns]
+    n = f"{prefix}_0_0"
 
-    def mean(i: int) -> Column:
-        return F.try_divide(F.col(f"{prefix}_0_{i}"), n)
+    def mean(i: int) -> str:
+        return f"try_divide({prefix}_0_{i}, {n})"
 
-    def cell(i: int, j: int) -> Column:
-        return F.col(f"__c_{min(i, j)}_{max(i, j)}")
+    def cell(i: int, j: int) -> str:
+        return f"__c_{min(i, j)}_{max(i, j)}"
+
+    def moment(i: int, j: int) -> str:
+        return f"try_divide({prefix}_{i}_{j}, {n}) - {mean(i)} * {mean(j)}"
 
-    label = k + 1
-    pairs = [(i, j) for i, j in _terms(k) if i > 0]
     # Central moments; those of the features stay for the tolerance.
-    out = sums.withColumns(
-        {f"__c_{i}_{j}": F.try_divide(F.col(f"{prefix}_{i}_{j}"), n) - mean(i) * mean(j) for i, j in pairs}
+    variances = [f"__v_{i}" for i in range(1, label + 1)]
+    out = sums.selectExpr(
+        *kept,
+        *[f"{moment(i, j)} AS {cell(i, j)}" for i, j in pairs],
+        *[f"{moment(i, i)} AS __v_{i}" for i in range(1, label + 1)],
     )
-    out = out.withColumns({f"__v_{i}": cell(i, i) for i in range(1, label + 1)})
     for p in range(1, k + 1):
         pivot = cell(p, p)
-        out = out.withColumn(f"__in_{p}", F.coalesce((F.col(f"__v_{p}") > 0) & (pivot > TOLERANCE * F.col(f"__v_{p}")), F.lit(False)))
-        swept = {}
+        used = f"coalesce(__v_{p} > 0 AND {pivot} > {TOLERANCE} * __v_{p}, false)"
+        swept = []
         for i, j in pairs:
             if i == p and j == p:
-                new = F.try_divide(F.lit(-1.0), pivot)
+                new = f"try_divide(-1.0D, {pivot})"
             elif p in (i, j):
-                new = F.try_divide(cell(i, j), pivot)
+                new = f"try_divide({cell(i, j)}, {pivot})"
             else:
-                new = cell(i, j) - F.try_divide(cell(i, p) * cell(p, j), pivot)
-            swept[f"__c_{i}_{j}"] = F.when(F.col(f"__in_{p}"), new).otherwise(cell(i, j))
-        out = out.withColumns(swept)
-    out = out.withColumns(
-        {f"beta_{p}": F.when(n > 0, F.when(F.col(f"__in_{p}"), cell(p, label)).otherwise(0.0)) for p in range(1, k + 1)}
-    )
-    intercept = reduce(lambda a, p: a - F.col(f"beta_{p}") * mean(p), range(1, k + 1), mean(label))
-    out = out.withColumns(
-        {
-            "beta_0": intercept,
-            "mse": not_negative(cell(label, label)),
-            "variance": not_negative(F.col(f"__v_{label}")),
-        }
+                new = f"{cell(i, j)} - try_divide({cell(i, p)} * {cell(p, j)}, {pivot})"
+            swept.append(f"CASE WHEN {used} THEN {new} ELSE {cell(i, j)} END AS {cell(i, j)}")
+        out = out.selectExpr(*kept, *variances, *[f"__in_{q}" for q in range(1, p)], f"{used} AS __in_{p}", *swept)
+    betas = {p: f"CASE WHEN {n} > 0 THEN CASE WHEN __in_{p} THEN {cell(p, label)} ELSE 0.0D END END" for p in range(1, k + 1)}
+    intercept = mean(label) + "".join(f" - ({beta}) * {mean(p)}" for p, beta in betas.items())
+    return out.selectExpr(
+        *kept,
+        f"{intercept} AS beta_0",
+        *[f"{beta} AS beta_{p}" for p, beta in betas.items()],
+        f"CASE WHEN {cell(label, label)} < 0 THEN 0.0D ELSE {cell(label, label)} END AS mse",
+        f"CASE WHEN __v_{label} < 0 THEN 0.0D ELSE __v_{label} END AS variance",
     )
-    return out.select(*sums.columns, *[f"beta_{p}" for p in range(k + 1)], "mse", "variance")
 
 
 def not_negative(value: Column) -> Column:
