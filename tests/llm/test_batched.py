@@ -3,6 +3,7 @@ counts, string tiling and compression distance, against brute force."""
 
 import collections
 import hashlib
+import math
 import random
 import re
 
@@ -527,10 +528,18 @@ def brute_marks(toxic, ordinary):
     for data in ordinary:
         elsewhere.update({r: min(n, toxicity.RUN_CAP) for r, n in runs(data).items()})
     least = max(3, toxicity.RUN_SHARE * len(toxic))
+
+    def evidence(a, b):
+        share = len(toxic) / (len(toxic) + len(ordinary))
+        parts = [(a, (a + b) * share), (b, (a + b) * (1 - share))]
+        return sum(2 * seen * math.log(seen / expected) for seen, expected in parts if seen)
+
     return {
         r
         for r, n in there.items()
-        if holders[r] >= least and n / len(toxic) > toxicity.RUN_RATIO * (elsewhere[r] + 0.5) / len(ordinary)
+        if holders[r] >= least
+        and n / len(toxic) > toxicity.RUN_RATIO * (elsewhere[r] + 0.5) / len(ordinary)
+        and evidence(n, elsewhere[r]) > toxicity.RUN_EVIDENCE
     }
 
 
@@ -546,6 +555,28 @@ def test_marking_runs_equal_brute_force(monkeypatch, places):
     assert len(toxicity.marking_runs([], ordinary)) == 0 and len(toxicity.marking_runs([b""] * 4, [])) == 0
 
 
+def test_toxic_pieces_are_parts_of_words_that_mark_the_class():
+    plain = [f"the plain words of text {k} go on".encode() for k in range(300)]
+    toxic = [d + b" vermin and horridly horridness " for d in plain[:60]] + [d + b" rare" for d in plain[:2]]
+    pieces = toxicity.toxic_pieces(toxic, plain)
+    assert pieces[b" vermin"] == 60 and pieces[b" horridly"] == 60 and pieces[b" horridness"] == 60
+    assert not any(b"rare" in w or b"plain" in w for w in pieces)
+    assert toxicity.toxic_pieces([], plain) == toxicity.toxic_pieces(plain[:9], plain) == {}
+
+
+def test_more_pieces_than_the_dictionary_holds(monkeypatch):
+    monkeypatch.setattr(toxicity, "TOXIC_BYTES", 512)
+    letters = random.Random(4)
+    odd = ["".join(letters.choice("qxzjkvw") for _ in range(12)) for _ in range(80)]
+    rows = [(f"the plain words of text {k} go on", 0) for k in range(300)]
+    rows += [(f"the words of text {k} " + " ".join(odd[(k * 7 + j) % 80] for j in range(12)), 1) for k in range(120)]
+    model = toxicity.train_toxicity(rows)
+    assert 0 < len(model.toxic) <= 512
+    pair = model.compressors()
+    scores = model.probability([toxicity.features(toxicity.normal(t), *pair) for t in (rows[0][0], rows[310][0])])
+    assert scores[0] < 0.5 < scores[1]
+
+
 def test_window_savings_equal_direct_compression():
     import zstandard
 
@@ -559,7 +590,7 @@ def test_window_savings_equal_direct_compression():
         for content in (model.ordinary, model.toxic + model.ordinary):
             shared = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             lengths.append([
-                len(zstandard.ZstdCompressor(level=toxicity.LEVEL, dict_data=shared, write_content_size=False, write_dict_id=False).compress(w))
+                len(zstandard.ZstdCompressor(level=toxicity.LEVEL, dict_data=shared, write_content_size=False, write_dict_id=False).compress(toxicity.LEAD + w))
                 for w in toxicity.windows(data)
             ])
         saved = [a - b for a, b in zip(*lengths)]

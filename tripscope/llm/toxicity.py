@@ -1,12 +1,13 @@
 """Toxicity by compression distance: two zstandard dictionaries, one score.
 
 An ordinary dictionary is trained on ordinary text.  A toxic dictionary is
-trained on the parts of toxic text that ordinary text does not share: byte
-runs many times as frequent in toxic documents.  Each window
-of a text is compressed with the ordinary dictionary alone and with the toxic
-one in front of it; what the second saves tells toxic windows from others.
-Logistic regression on the savings, fitted on labelled documents that trained
-neither dictionary, calibrates them to a probability.
+made of the parts of toxic text that ordinary text does not share: byte runs
+several times as frequent in toxic documents, by more than chance.  Each window
+of a text, a few words long, is compressed with the ordinary dictionary alone
+and with the toxic one in front of it; what the second saves tells toxic
+windows from others.  Logistic regression on the savings calibrates them to a
+probability: each fold of the labelled documents is measured with the
+dictionaries of the others, so no document calibrates what it trained.
 
 Fitting sees at most SAMPLE_ROWS documents of either label, none longer than
 SAMPLE_CHARS, all of the training folds.  Scoring reads whole texts.
@@ -14,6 +15,7 @@ SAMPLE_CHARS, all of the training folds.  Scoring reads whole texts.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,20 +29,30 @@ from tripscope.llm.common import labelled_sample
 
 SAMPLE_ROWS = 3000
 SAMPLE_CHARS = 20_000
-ORDINARY_BYTES = 1024
+ORDINARY_BYTES = 4096
 TOXIC_BYTES = 3072
-#: Bytes of a window (it ends at the next space) and the zstandard level.
-WINDOW = 128
-LEVEL = 13
+#: Bytes of a window (it ends at the next space) and the zstandard level.  The
+#: levels above search for the fewest bits by prices that short windows do not
+#: have, and pass over matches that would save bytes.
+WINDOW = 16
+LEVEL = 8
+#: Bytes before every window.  They take a few bytes under either dictionary and
+#: leave no window stored as it is, so that a saving of one byte is seen.
+LEAD = bytes(32)
 #: Length of the byte runs that tell the classes apart, the share of toxic
-#: documents that must hold one, how much rarer it is elsewhere, and how often
-#: one document counts at most.
+#: documents that must hold one, how much rarer it is elsewhere, how often one
+#: document counts at most, and the least likelihood ratio statistic.
 RUN = 6
 RUN_SHARE = 0.02
-RUN_RATIO = 20.0
+RUN_RATIO = 5.0
 RUN_CAP = 3
+RUN_EVIDENCE = 25.0
+#: A piece of toxic text is at least so long and found so often.
+PIECE_BYTES = 4
+PIECE_TIMES = 3
 #: Places of the table that bounds the counting of runs.
 TABLE = 1 << 22
+FOLDS = 3
 THRESHOLD = 0.7
 RIDGE = 1e-2
 
@@ -119,24 +131,47 @@ def marking_runs(toxic: list[bytes], ordinary: list[bytes]) -> np.ndarray:
         there += _capped(_runs(data), known)
     for data in ordinary:
         elsewhere += _capped(_runs(data), known)
-    return known[there / max(len(toxic), 1) > RUN_RATIO * (elsewhere + 0.5) / max(len(ordinary), 1)]
+    n, m = max(len(toxic), 1), max(len(ordinary), 1)
+    telling = _evidence(there, elsewhere, n, m) > RUN_EVIDENCE
+    return known[telling & (there / n > RUN_RATIO * (elsewhere + 0.5) / m)]
+
+
+def _evidence(there: np.ndarray, elsewhere: np.ndarray, n: int, m: int) -> np.ndarray:
+    """Twice the log-likelihood ratio of counts in n and m texts against one
+    rate for both."""
+    total = there + elsewhere
+    out = np.zeros(len(total))
+    for count, share in ((there, n / (n + m)), (elsewhere, m / (n + m))):
+        out += 2 * count * np.log(np.maximum(count, 1) / np.maximum(total * share, 1e-9))
+    return out
 
 
-def _toxic_parts(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
-    """Of each toxic text, the stretches covered by runs that mark the class."""
+def toxic_pieces(toxic: list[bytes], ordinary: list[bytes]) -> Counter:
+    """How often each piece, the part of a word (with the space before it) that
+    runs which mark the class cover, stands in the toxic texts."""
     toxic = [b" " + data + b" " for data in toxic]
     mark = marking_runs(toxic, [b" " + data + b" " for data in ordinary])
-    parts = []
+    pieces: Counter = Counter()
     for data in toxic:
         cover = np.zeros(len(data) + 2, np.int8)
         at = np.flatnonzero(np.isin(_runs(data), mark))
         for k in range(RUN):
             cover[at + 1 + k] = 1
         edges = np.flatnonzero(np.diff(cover))
-        kept = [data[i:j] for i, j in zip(edges[::2], edges[1::2])]
-        if kept:
-            parts.append(b"\n".join(kept))
-    return parts
+        for i, j in zip(edges[::2], edges[1::2]):
+            pieces.update(b" " + w for w in data[i:j].split(b" ") if len(w) >= PIECE_BYTES)
+    return Counter({w: n for w, n in pieces.items() if n >= PIECE_TIMES})
+
+
+def _toxic_dictionary(toxic: list[bytes], ordinary: list[bytes]) -> bytes:
+    """The pieces as they are where they fit; else zstandard picks from them,
+    each repeated as often as it was found.  Without pieces, from whole texts."""
+    pieces = toxic_pieces(toxic, ordinary)
+    if not pieces:
+        return _train(toxic, TOXIC_BYTES, 16)
+    if sum(map(len, pieces)) <= TOXIC_BYTES:
+        return b"".join(sorted(pieces))
+    return _train([w * n for w, n in sorted(pieces.items())], TOXIC_BYTES, 16)
 
 
 def features(data: bytes, ordinary, toxic) -> list[float]:
@@ -144,7 +179,8 @@ def features(data: bytes, ordinary, toxic) -> list[float]:
     parts = windows(data)
     if not parts:
         return [0.0] * 8
-    saved = np.array([len(ordinary.compress(w)) - len(toxic.compress(w)) for w in parts], float)
+    leads = [LEAD + w for w in parts]
+    saved = np.array([len(ordinary.compress(w)) - len(toxic.compress(w)) for w in leads], float)
     gain = np.maximum(saved, 0)
     top = np.sort(saved)[::-1]
     size = (len(data) + 50) / 100
@@ -202,28 +238,36 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return w, mean, scale
 
 
+def _dictionaries(texts: dict[int, list[bytes]]) -> tuple[bytes, bytes]:
+    ordinary = _train([w for t in texts[0] for w in windows(t, 256)], ORDINARY_BYTES, 64)
+    return ordinary, _toxic_dictionary(texts[1], texts[0])
+
+
 def train_toxicity(rows: list[tuple[str | None, int]], prior: float | None = None) -> ToxicityModel:
-    """Train on (text, label) rows; every other row of a class trains the
-    dictionaries, the rest calibrate.  ``prior``: the share of label 1 where
-    the rows are balanced by class.  Without both classes the score is the
-    smoothed share of label 1."""
+    """Train on (text, label) rows: every fold of a class is measured with
+    dictionaries of the other folds; the savings of all rows calibrate, and
+    the model's dictionaries are trained on all rows.
+    ``prior``: the share of label 1 where the rows are balanced by class.
+    Without two rows of either class the score is the smoothed share of label 1."""
     texts = {k: [normal(t) for t, y in rows if y == k] for k in (0, 1)}
     n = [len(texts[0]), len(texts[1])]
+    flat = (0.0,) * 8, (1.0,) * 8
     if min(n) < 2:
         share = (n[1] + 1) / (sum(n) + 2)
-        return ToxicityModel(b"", b"", (float(np.log(share / (1 - share))),) + (0.0,) * 8, (0.0,) * 8, (1.0,) * 8)
-    first = {k: v[::2] for k, v in texts.items()}
-    ordinary = _train([w for t in first[0] for w in windows(t, 256)], ORDINARY_BYTES, 64)
-    toxic = _train(_toxic_parts(first[1], first[0]) or first[1], TOXIC_BYTES, 16)
-    model = ToxicityModel(ordinary, toxic, (0.0,) * 9, (0.0,) * 8, (1.0,) * 8)
-    pair = model.compressors()
-    rest = [(t, k) for k in (0, 1) for t in texts[k][1::2]]
-    x = np.array([features(t, *pair) for t, _ in rest])
-    y = np.array([k for _, k in rest], float)
-    w, mean, scale = _logistic(x, y)
+        return ToxicityModel(b"", b"", (float(np.log(share / (1 - share))),) + (0.0,) * 8, *flat)
+    x, y = [], []
+    folds = min(FOLDS, *n)
+    for fold in range(folds):
+        content = _dictionaries({k: [t for i, t in enumerate(v) if i % folds != fold] for k, v in texts.items()})
+        pair = ToxicityModel(*content, (0.0,) * 9, *flat).compressors()
+        for k, v in texts.items():
+            x += [features(t, *pair) for t in v[fold::folds]]
+            y += [k] * len(v[fold::folds])
+    y = np.array(y, float)
+    w, mean, scale = _logistic(np.array(x), y)
     if prior is not None and 0 < prior < 1:
         w[0] += np.log(prior / (1 - prior)) - np.log(y.mean() / (1 - y.mean()))
-    return ToxicityModel(ordinary, toxic, tuple(w.tolist()), tuple(mean.tolist()), tuple(scale.tolist()))
+    return ToxicityModel(*_dictionaries(texts), tuple(w.tolist()), tuple(mean.tolist()), tuple(scale.tolist()))
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> ToxicityModel:
