@@ -282,6 +282,64 @@ def test_field_adds_what_the_patterns_miss(spark):
     assert pii.find_pii(awkward_docs(spark, extra=True), pii.fit_pii(empty_docs(spark))).count() == len(awkward_texts()) + 4
 
 
+def test_digits_of_added_spans_are_checked():
+    card, ip, phone, email = (pii.KINDS.index(k) for k in ("card", "ip", "phone", "email"))
+    assert pii.checked_kind("4111.1111.1111.1111", card) == card
+    assert pii.checked_kind("4111.1111.1111.1111", ip) == card  # what it passes as
+    assert pii.checked_kind("4111.1111.1111.1112", card) is None
+    assert pii.checked_kind("10.0.0.1/24", ip) == ip
+    assert pii.checked_kind("300.456.1.5", ip) is None
+    assert pii.checked_kind("555-867-5309", ip) == phone
+    assert pii.checked_kind("555-0134", phone) == phone
+    assert pii.checked_kind("555-0134", card) is None
+    assert pii.checked_kind("no digits", phone) is None
+    assert pii.checked_kind("info@localhost", email) == email
+    assert pii.checked_kind("9" * 100_000, card) is None
+
+
+def test_added_spans_of_planted_data(spark):
+    rng = random.Random(8)
+    d = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    name = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 8)))
+
+    def number(valid):
+        while True:
+            digits = d(16)
+            if pii._luhn(digits) == valid:
+                return digits
+
+    groups = lambda s, sep: sep.join(s[i : i + 4] for i in range(0, 16, 4))
+    planted = [
+        ("phone", lambda: f"({d(3)}) {d(3)}-{d(4)}"),
+        ("phone", lambda: f"{d(3)}-{d(3)}-{d(4)}"),
+        ("phone", lambda: f"{d(3)}.{d(3)}.{d(4)}"),
+        ("phone", lambda: f"1-800-{d(3)}-{d(4)}"),
+        ("card", lambda: groups(number(True), "  ")),
+        ("email", lambda: f"{name()}(at){name()}.com"),
+        ("email", lambda: f"{name()}@{name()}"),
+    ]
+    ordinary = [
+        lambda: number(False), lambda: f"20{d(2)}-0{rng.randint(1, 9)}-1{d(1)}", lambda: f"19{d(2)}",
+        lambda: f"v{d(1)}.{d(1)}.{d(2)}", lambda: f"${d(3)}.{d(2)}", lambda: "%032x" % rng.getrandbits(128),
+        lambda: f"{rng.randint(300, 999)}.{rng.randint(256, 999)}.1.7", lambda: f"{name()}-{name()}", lambda: f"@{name()}",
+    ]
+    texts = {r.doc_id: r.text for r in table(spark, SF, "documents").collect()}
+    tagger = pii.Tagger(pii.fit_pii(table(spark, SF, "documents")))
+    words = [t.split() for _, t in sorted(texts.items()) if t and not re.search("[0-9@]", t) and len(t.split()) > 30][:40]
+
+    def kinds(value):
+        own = rng.choice(words)
+        at = rng.randint(5, len(own) - 5)
+        text = " ".join([*own[at - 5 : at], value, *own[at : at + 5]])
+        base = pii.base_spans(text)
+        return {pii.NAMES[k] for w, tags in next(tagger.chunks([text])) for _, k, _ in pii._added(text, w, tags, base)}
+
+    found = [f"crf_{kind}" in kinds(make()) for kind, make in planted for _ in range(40)]
+    assert sum(found) / len(found) > 0.8
+    false = [bool(kinds(make())) for make in ordinary for _ in range(40)]
+    assert sum(false) / len(false) < 0.05
+
+
 def test_every_word_is_decoded(spark):
     field = pii.fit_pii(table(spark, SF, "documents"))
     plain = "we met and talked for a while in the old town hall and nobody minded the rain at all "
